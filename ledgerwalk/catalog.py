@@ -66,3 +66,32 @@ def _running_margin(b: MartBuild) -> DataFrame:
     return b.fct_cohort_repeat.select(
         "cohort_month", "first_order_experience", "period_index",
         "cumulative_contribution_margin", "cumulative_margin_per_customer")
+
+
+# K*: every metric of each dataset, at a natural grain
+from ledgerwalk.plans import analyses as A  # noqa: E402
+from ledgerwalk.plans.metrics import evaluate  # noqa: E402
+
+_METRIC_QUERIES = {
+    "metrics_order_lines": ("fct_order_items", ["category"],
+                            ["K101", "K102", "K103", "K104", "K105", "K106", "K107", "K108"]),
+    "metrics_fulfilment": ("fct_fulfilment_daily", ["fulfilment_centre", "carrier"],
+                           ["K201", "K202", "K203", "K204", "K205"]),
+    "metrics_discount": ("fct_discount_bands", ["category", "discount_band_rank", "discount_band"],
+                         ["K301", "K302", "K303", "K304"]),
+    "metrics_cohort": ("fct_cohort_repeat", ["first_order_experience", "period_index"],
+                       ["K401", "K402"]),
+    "metrics_payback": ("fct_channel_payback", ["acquisition_channel", "period_index"],
+                        ["K501", "K502", "K503"]),
+    "metrics_returns": ("fct_returns", ["return_reason"], ["K601", "K602"]),
+    "metrics_product": ("dim_product", ["category"], ["K701", "K702"]),
+}
+for _q, (_ds, _dims, _ms) in _METRIC_QUERIES.items():
+    QUERIES[_q] = (lambda b, ds=_ds, dims=_dims, ms=_ms: evaluate(getattr(b, ds), ds, dims, ms))
+
+# V*, A*
+for _i in range(1, 11):
+    QUERIES[f"sheet_{_i:02d}"] = getattr(A, f"sheet_{_i:02d}")
+for _a in ["answer_q1", "answer_q2", "answer_q3", "answer_q3_weekly", "answer_q4", "answer_q5",
+           "answer_breakeven", "answer_q6", "answer_return_products", "headline_kpis"]:
+    QUERIES[_a] = getattr(A, _a)

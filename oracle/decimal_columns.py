@@ -4,6 +4,11 @@ scripts/gen_decimal_columns.py). The oracle casts the same columns to DOUBLE."""
 from __future__ import annotations
 
 DECIMAL_COLUMNS: dict[str, list[str]] = {
+    'answer_q1': ['net_revenue', 'contribution_margin'],
+    'answer_q2': ['deep_discount_margin'],
+    'answer_q3': ['late_net_revenue'],
+    'answer_q6': ['margin_lost'],
+    'answer_return_products': ['margin_lost'],
     'basket_allocation': ['net_revenue', 'order_net_revenue'],
     'channel_cac': ['acquisition_spend'],
     'cohort_activity': ['net_revenue', 'contribution_margin'],
@@ -17,9 +22,18 @@ DECIMAL_COLUMNS: dict[str, list[str]] = {
     'fct_order_items': ['unit_price', 'gross_revenue', 'discount_amount', 'net_revenue', 'discount_rate', 'refund_amount', 'cogs', 'net_shipping_cost', 'realised_revenue', 'contribution_margin'],
     'fct_returns': ['refund_amount', 'margin_lost'],
     'first_order_per_customer': ['shipping_fee_charged', 'shipping_cost'],
+    'headline_kpis': ['net_revenue', 'contribution_margin'],
+    'metrics_fulfilment': ['revenue_on_late_parcels'],
+    'metrics_order_lines': ['margin_basis'],
+    'metrics_returns': ['margin_lost'],
     'order_item_economics': ['weight_kg', 'unit_price', 'gross_revenue', 'discount_amount', 'net_revenue', 'discount_rate', 'refund_amount', 'cogs_gross', 'cogs_recovered', 'cogs_net', 'shipping_cost_allocated', 'shipping_fee_allocated', 'net_shipping_cost', 'realised_revenue', 'contribution_margin'],
     'order_rollup': ['net_revenue', 'contribution_margin'],
     'running_margin': ['cumulative_contribution_margin'],
+    'sheet_01': ['margin_basis'],
+    'sheet_02': ['net_revenue'],
+    'sheet_03': ['contribution_margin'],
+    'sheet_07': ['revenue_on_late_parcels'],
+    'sheet_10': ['margin_lost'],
     'stg_marketing_spend': ['spend'],
     'stg_order_items': ['unit_price', 'discount_amount', 'gross_revenue', 'net_revenue', 'discount_rate'],
     'stg_orders': ['shipping_fee_charged', 'shipping_cost'],

@@ -29,3 +29,7 @@ SQL["running_margin"] = compose(
     "cumulative_margin_per_customer FROM fct_cohort_repeat", ["fct_cohort_repeat"])
 
 assert all(isinstance(v, str) for v in SQL.values()) and MODELS
+
+from oracle.analyses import SQL as _ANALYSES  # noqa: E402
+
+SQL.update(_ANALYSES)

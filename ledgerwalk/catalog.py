@@ -95,3 +95,10 @@ for _i in range(1, 11):
 for _a in ["answer_q1", "answer_q2", "answer_q3", "answer_q3_weekly", "answer_q4", "answer_q5",
            "answer_breakeven", "answer_q6", "answer_return_products", "headline_kpis"]:
     QUERIES[_a] = getattr(A, _a)
+
+# C*
+from ledgerwalk.plans import checks as C  # noqa: E402
+
+QUERIES.update(C.CONTRACTS)
+QUERIES["mart_fingerprint"] = C.c27_fingerprints
+QUERIES["schema_contract"] = C.c28_schema_contract

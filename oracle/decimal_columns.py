@@ -12,6 +12,12 @@ DECIMAL_COLUMNS: dict[str, list[str]] = {
     'basket_allocation': ['net_revenue', 'order_net_revenue'],
     'channel_cac': ['acquisition_spend'],
     'cohort_activity': ['net_revenue', 'contribution_margin'],
+    'contract_c15': ['lhs', 'rhs', 'gap'],
+    'contract_c16': ['lhs', 'rhs', 'gap'],
+    'contract_c17': ['lhs', 'rhs', 'gap'],
+    'contract_c18': ['lhs', 'rhs', 'gap'],
+    'contract_c22': ['lhs', 'rhs', 'gap'],
+    'contract_c23': ['lhs', 'rhs', 'gap'],
     'customer_first_order': ['first_order_net_revenue', 'first_order_margin'],
     'dim_customer': ['first_order_net_revenue', 'lifetime_net_revenue', 'lifetime_contribution_margin', 'lifetime_refunds'],
     'dim_product': ['unit_cost', 'list_price', 'weight_kg', 'list_margin_rate', 'gross_revenue', 'discount_amount', 'net_revenue', 'refund_amount', 'cogs', 'net_shipping_cost', 'contribution_margin'],

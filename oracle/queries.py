@@ -33,3 +33,7 @@ assert all(isinstance(v, str) for v in SQL.values()) and MODELS
 from oracle.analyses import SQL as _ANALYSES  # noqa: E402
 
 SQL.update(_ANALYSES)
+
+from oracle.contracts import SQL as _CONTRACTS  # noqa: E402
+
+SQL.update(_CONTRACTS)

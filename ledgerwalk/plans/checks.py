@@ -139,7 +139,7 @@ def c08_return_after_order(b: MartBuild) -> DataFrame:
 
 
 def c09_delivery_ordered(b: MartBuild) -> DataFrame:
-    return _count(b.stg.orders, "C09", "stg_orders",
+    return _count(b.orders, "C09", "stg_orders",
                   F.col("is_shipped") & (F.col("delivered_date") < F.col("shipped_date")))
 
 
@@ -147,7 +147,7 @@ def c10_pickups_excluded(b: MartBuild) -> DataFrame:
     return _union([
         _count(b.fct_fulfilment_daily, "C10", "fct_fulfilment_daily.store_pickup",
                F.col("fulfilment_centre") == "Store Pickup"),
-        _count(b.stg.orders, "C10", "stg_orders.pickup_promise",
+        _count(b.orders, "C10", "stg_orders.pickup_promise",
                ~F.col("is_shipped") & F.col("promised_delivery_date").isNotNull()),
     ])
 
@@ -212,7 +212,7 @@ def c17_net_identity(b: MartBuild) -> DataFrame:
 def c18_freight_reconciles(b: MartBuild) -> DataFrame:
     f = b.fct_order_items
     return _recon("C18", "net_shipping_cost", _sum(f, "net_shipping_cost"),
-                  _sum(b.stg.orders, F.col("shipping_cost") - F.col("shipping_fee_charged")),
+                  _sum(b.orders, F.col("shipping_cost") - F.col("shipping_fee_charged")),
                   ALLOCATION, _lines(f))
 
 
@@ -265,7 +265,7 @@ def c25_cohort_for_orderers(b: MartBuild) -> DataFrame:
 
 
 def c26_dates_in_window(b: MartBuild) -> DataFrame:
-    bounds = b.stg.orders.agg(F.min("order_date").alias("lo"), F.max("order_date").alias("hi"))
+    bounds = b.orders.agg(F.min("order_date").alias("lo"), F.max("order_date").alias("hi"))
     f = b.fct_order_items.select("order_date").crossJoin(F.broadcast(bounds))
     return _count(f, "C26", "fct_order_items.order_date",
                   (F.col("order_date") < F.col("lo")) | (F.col("order_date") > F.col("hi")))

@@ -56,19 +56,20 @@ def first_orders(orders: DataFrame) -> DataFrame:
     return first_per_key(orders, "customer_id", ["order_date", "order_id"])
 
 
-def line_fact(stg: Staged) -> DataFrame:
+def line_fact(stg: Staged, orders: DataFrame | None = None) -> DataFrame:
     """Wide line fact: I9's columns plus raw return fields and customer context."""
     items = stg.order_items
+    orders = stg.orders if orders is None else orders
     totals = group_totals(items, "order_id", "net_revenue",
                           "order_net_revenue", "order_line_count")
 
-    cohort = first_orders(stg.orders).select("customer_id", F.col("order_month").alias("cohort_month"))
+    cohort = first_orders(orders).select("customer_id", F.col("order_month").alias("cohort_month"))
     cust_ctx = stg.customers.select(
         "customer_id", "acquisition_channel", "region", F.lit(True).alias("_customer_known")
     ).join(cohort, "customer_id", "left")
 
     order_side = (
-        stg.orders.select(
+        orders.select(
             "order_id", "customer_id", "order_date", "order_month", "order_channel",
             "order_sequence", "is_shipped", "fulfilment_centre", "carrier", "is_on_time",
             "days_late", "promo_code", "shipping_cost", "shipping_fee_charged")

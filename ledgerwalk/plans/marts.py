@@ -53,16 +53,28 @@ class MartBuild:
 
     @property
     def spark(self) -> SparkSession:
-        return self.stg.orders.sparkSession
+        return self.stg.customers.sparkSession
 
     # ------------------------------------------------------------ intermediate
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+        if not self.materialise:
+            return df
+        from ledgerwalk.session import run_folder
+        from ledgerwalk.sources.publish import materialise_frame
+
+        if self.folder is None:
+            self.folder = run_folder(self.spark, "build")
+        return materialise_frame(df, self.folder, name)
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        """Staged order header; read by the economics, first orders, fulfilment, spine
+        and horizon - written once when materialising."""
+        return self._keep(self.stg.orders, "stg_orders")
+
     @cached_property
     def fact(self) -> DataFrame:
-        fact = E.line_fact(self.stg)
-        if self.materialise:
-            from ledgerwalk.sources.publish import materialise_frame
-            fact = materialise_frame(fact, self.folder, "line_fact")
-        return fact
+        return self._keep(E.line_fact(self.stg, self.orders), "line_fact")
 
     @cached_property
     def economics(self) -> DataFrame:
@@ -74,7 +86,7 @@ class MartBuild:
 
     @cached_property
     def bounds(self) -> DataFrame:
-        return G.spine_bounds(self.stg.orders, "order_month")
+        return G.spine_bounds(self.orders, "order_month")
 
     @cached_property
     def month_spine(self) -> DataFrame:
@@ -82,7 +94,7 @@ class MartBuild:
 
     @cached_property
     def first_orders(self) -> DataFrame:
-        return E.first_orders(self.stg.orders)
+        return E.first_orders(self.orders)
 
     @cached_property
     def order_rollup(self) -> DataFrame:
@@ -129,7 +141,7 @@ class MartBuild:
     @cached_property
     def horizon(self) -> DataFrame:
         """The data horizon as a one-row frame (never a driver value)."""
-        return self.stg.orders.agg(F.max("order_date").alias("as_of_date"))
+        return self.orders.agg(F.max("order_date").alias("as_of_date"))
 
     # ------------------------------------------------------------------ marts
     @cached_property
@@ -260,7 +272,7 @@ class MartBuild:
         """M5: shipped and delivered orders by order date x centre x carrier."""
         value = self.order_rollup.select("order_id", F.col("net_revenue").alias("_net"),
                                          F.col("contribution_margin").alias("_cm"))
-        o = (self.stg.orders
+        o = (self.orders
              .filter(F.col("is_shipped") & F.col("delivered_date").isNotNull())
              .join(value, "order_id"))
         on_time = F.col("is_on_time")

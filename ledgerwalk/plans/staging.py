@@ -7,12 +7,13 @@ only applies to text columns.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DecimalType, StringType
 
 from ledgerwalk.functions.dates import day_diff, month_start
 from ledgerwalk.functions.numeric import round_half
-from ledgerwalk.sources.extracts import Sources
 
 DEC12 = DecimalType(12, 2)
 RATE = DecimalType(9, 4)
@@ -143,12 +144,32 @@ def stg_marketing_spend(raw: DataFrame) -> DataFrame:
 
 
 class Staged:
-    """The six staging frames, built lazily from a :class:`Sources`."""
-
-    def __init__(self, src: Sources):
-        self.customers = stg_customers(src.customers)
-        self.products = stg_products(src.products)
-        self.orders = stg_orders(src.orders)
-        self.order_items = stg_order_items(src.order_items)
-        self.returns = stg_returns(src.returns)
-        self.marketing_spend = stg_marketing_spend(src.marketing_spend)
+    """The six staging frames, each built on first use from a :class:`Sources`-like
+    object (any object with the six source attributes)."""
+
+    def __init__(self, src):
+        self.src = src
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return stg_customers(self.src.customers)
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return stg_products(self.src.products)
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return stg_orders(self.src.orders)
+
+    @cached_property
+    def order_items(self) -> DataFrame:
+        return stg_order_items(self.src.order_items)
+
+    @cached_property
+    def returns(self) -> DataFrame:
+        return stg_returns(self.src.returns)
+
+    @cached_property
+    def marketing_spend(self) -> DataFrame:
+        return stg_marketing_spend(self.src.marketing_spend)

@@ -102,3 +102,9 @@ from ledgerwalk.plans import checks as C  # noqa: E402
 QUERIES.update(C.CONTRACTS)
 QUERIES["mart_fingerprint"] = C.c27_fingerprints
 QUERIES["schema_contract"] = C.c28_schema_contract
+
+# G* on the second domain
+from ledgerwalk.plans.events import events_daily_cohort  # noqa: E402
+
+QUERIES["events_daily_cohort"] = lambda b: events_daily_cohort(
+    b.spark.read.parquet(f"{b.src.sf_dir}/events.parquet"))

@@ -21,6 +21,7 @@ DECIMAL_COLUMNS: dict[str, list[str]] = {
     'customer_first_order': ['first_order_net_revenue', 'first_order_margin'],
     'dim_customer': ['first_order_net_revenue', 'lifetime_net_revenue', 'lifetime_contribution_margin', 'lifetime_refunds'],
     'dim_product': ['unit_cost', 'list_price', 'weight_kg', 'list_margin_rate', 'gross_revenue', 'discount_amount', 'net_revenue', 'refund_amount', 'cogs', 'net_shipping_cost', 'contribution_margin'],
+    'events_daily_cohort': ['acquisition_cost', 'purchase_value', 'cumulative_value', 'cumulative_value_net_of_cost'],
     'fct_channel_payback': ['acquisition_spend', 'net_revenue', 'contribution_margin', 'cumulative_contribution_margin', 'cumulative_margin_net_of_cac'],
     'fct_cohort_repeat': ['net_revenue', 'contribution_margin', 'cumulative_contribution_margin'],
     'fct_discount_bands': ['gross_revenue', 'discount_given', 'net_revenue', 'contribution_margin'],

@@ -37,3 +37,33 @@ SQL.update(_ANALYSES)
 from oracle.contracts import SQL as _CONTRACTS  # noqa: E402
 
 SQL.update(_CONTRACTS)
+
+SQL["events_daily_cohort"] = """
+WITH ev AS (SELECT user_id, event_type, CAST(ts AS DATE) AS day,
+                   CAST(value AS DECIMAL(12,2)) AS value FROM events),
+members AS (SELECT user_id, min(day) AS cohort_day FROM ev WHERE event_type = 'signup' GROUP BY 1),
+sizes AS (SELECT cohort_day, count(*) AS cohort_users FROM members GROUP BY 1),
+cost AS (SELECT day, CAST(sum(value) AS DECIMAL(38,2)) AS acquisition_cost
+         FROM ev WHERE event_type = 'click' GROUP BY 1),
+cohorts AS (SELECT s.cohort_day, s.cohort_users,
+                   CAST(coalesce(c.acquisition_cost, 0) AS DECIMAL(38,2)) AS acquisition_cost
+            FROM sizes s LEFT JOIN cost c ON c.day = s.cohort_day),
+activity AS (SELECT m.cohort_day, e.day, count(DISTINCT e.user_id) AS active_users,
+                    CAST(sum(e.value) AS DECIMAL(38,2)) AS purchase_value
+             FROM ev e JOIN members m ON m.user_id = e.user_id
+             WHERE e.event_type = 'purchase' GROUP BY 1, 2),
+spine AS (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM ev),
+grid AS (SELECT c.*, s.day, date_diff('day', c.cohort_day, s.day) AS period_index
+         FROM cohorts c JOIN spine s ON s.day >= c.cohort_day)
+SELECT g.cohort_day, g.day, g.period_index, g.cohort_users, g.acquisition_cost,
+       coalesce(a.active_users, 0) AS active_users,
+       CAST(coalesce(a.purchase_value, 0) AS DECIMAL(38,2)) AS purchase_value,
+       round(CAST(coalesce(a.active_users, 0) AS DOUBLE) / g.cohort_users, 4) AS active_rate,
+       CAST(sum(coalesce(a.purchase_value, 0)) OVER w AS DECIMAL(38,2)) AS cumulative_value,
+       CAST(sum(coalesce(a.purchase_value, 0)) OVER w - g.acquisition_cost AS DECIMAL(38,2))
+           AS cumulative_value_net_of_cost,
+       round(CAST(sum(coalesce(a.purchase_value, 0)) OVER w AS DOUBLE)
+             / nullif(CAST(g.acquisition_cost AS DOUBLE), 0), 4) AS payback_ratio
+FROM grid g LEFT JOIN activity a ON a.cohort_day = g.cohort_day AND a.day = g.day
+WINDOW w AS (PARTITION BY g.cohort_day ORDER BY g.period_index
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""

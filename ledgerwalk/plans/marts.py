@@ -98,7 +98,11 @@ class MartBuild:
 
     @cached_property
     def order_rollup(self) -> DataFrame:
-        """I12 (widened): one row per order of the line fact, all additive measures."""
+        """I12 (widened): one row per order of the line fact, all additive measures.
+        Four consumers (first-order experience, lifetime, fulfilment, cohort activity)."""
+        return self._keep(self._order_rollup(), "order_rollup")
+
+    def _order_rollup(self) -> DataFrame:
         f = self.fact
         return f.groupBy("order_id", "customer_id", "order_date", "order_month",
                          "_customer_known").agg(
@@ -146,7 +150,10 @@ class MartBuild:
     # ------------------------------------------------------------------ marts
     @cached_property
     def dim_customer(self) -> DataFrame:
-        """M1."""
+        """M1 (kept when materialising: both cohort marts and the line fact's checks read it)."""
+        return self._keep(self._dim_customer(), "dim_customer")
+
+    def _dim_customer(self) -> DataFrame:
         lifetime = self.order_rollup.groupBy("customer_id").agg(
             F.count(F.lit(1)).alias("_orders"),
             F.sum("order_lines").alias("_lines"),
@@ -427,3 +434,15 @@ class MartBuild:
     # ------------------------------------------------------------------ all
     def marts(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in MART_COLUMNS}
+
+    def write_marts(self, folder: str, fmt: str = "parquet") -> dict[str, str]:
+        """Store every mart under ``folder``; marts already stored by the build are
+        copied by reading their files, not recomputed."""
+        import os
+
+        paths = {}
+        for name, df in self.marts().items():
+            path = os.path.join(folder, name)
+            df.write.mode("overwrite").format(fmt).save(path)
+            paths[name] = path
+        return paths

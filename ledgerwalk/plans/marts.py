@@ -44,8 +44,12 @@ class MartBuild:
     """The model DAG over one set of sources."""
 
     def __init__(self, src: Sources, band_edges=DEFAULT_BAND_EDGES,
-                 materialise: bool = False, folder: str | None = None):
+                 materialise: bool = False, folder: str | None = None,
+                 fact_path: str | None = None):
+        """``fact_path``: read the wide line fact from a stored (e.g. restated) copy
+        instead of computing it."""
         self.src = src
+        self.fact_path = fact_path
         self.stg = Staged(src)
         self.band_edges = tuple(band_edges)
         self.materialise = materialise
@@ -74,6 +78,8 @@ class MartBuild:
 
     @cached_property
     def fact(self) -> DataFrame:
+        if self.fact_path:
+            return self.spark.read.parquet(self.fact_path)
         return self._keep(E.line_fact(self.stg, self.orders), "line_fact")
 
     @cached_property

@@ -37,6 +37,12 @@ def test_restate_replaces_only_touched_month(spark):
     assert before["I2"] == 8 and after["I2"] == 0
     restate_months(MartBuild(_src(spark, new)), late, path)  # replay: same result
     assert _margins(spark, path) == after
+    # cumulative marts rebuilt from the restated fact see the late return
+    stored = MartBuild(_src(spark, new), fact_path=path)
+    fresh = MartBuild(_src(spark, new))
+    key = ["cohort_month", "first_order_experience", "period_index"]
+    assert sorted(stored.fct_cohort_repeat.select(*key, "contribution_margin").collect()) == \
+        sorted(fresh.fct_cohort_repeat.select(*key, "contribution_margin").collect())
 
 
 def test_stream_of_return_files(spark):

@@ -71,3 +71,16 @@ def test_fingerprint_independent_of_partitions(spark):
         prints.append(sorted(tuple(r) for r in C.c27_fingerprints(MartBuild(src)).collect()))
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert prints[0] == prints[1] == prints[2]
+
+
+def test_single_pass_reports_agree_with_individual_checks(broken):
+    report = {(r["contract"], r["subject"]): r["violations"]
+              for r in C.run_contracts(broken).collect()}
+    for fn in (C.c07_returned_le_ordered, C.c11_band_boundaries, C.c19_cogs_recovery):
+        for r in fn(broken).collect():
+            assert report[(r["contract"], r["subject"])] == r["violations"]
+    recon = {r["contract"]: r["gap"] for r in C.run_reconciliations(broken).collect()
+             if r["contract"] in ("C15", "C16", "C17")}
+    for fn in (C.c15_margin_identity, C.c16_realised_identity, C.c17_net_identity):
+        r = fn(broken).collect()[0]
+        assert recon[r["contract"]] == r["gap"]

@@ -441,14 +441,23 @@ class MartBuild:
     def marts(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in MART_COLUMNS}
 
-    def write_marts(self, folder: str, fmt: str = "parquet") -> dict[str, str]:
-        """Store every mart under ``folder``; marts already stored by the build are
-        copied by reading their files, not recomputed."""
+    def write_marts(self, folder: str, fmt: str = "parquet", parallel: int = 4) -> dict[str, str]:
+        """Store every mart under ``folder``.
+
+        All plans (and the shared intermediates they materialise) are resolved in the
+        calling thread first; the independent mart writes are then submitted as
+        concurrent Spark jobs, so small marts do not leave the cluster idle.
+        """
         import os
+        from concurrent.futures import ThreadPoolExecutor
+
+        frames = self.marts()
 
-        paths = {}
-        for name, df in self.marts().items():
+        def write(item):
+            name, df = item
             path = os.path.join(folder, name)
             df.write.mode("overwrite").format(fmt).save(path)
-            paths[name] = path
-        return paths
+            return name, path
+
+        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+            return dict(pool.map(write, frames.items()))

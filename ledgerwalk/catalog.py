@@ -108,3 +108,9 @@ from ledgerwalk.plans.events import events_daily_cohort  # noqa: E402
 
 QUERIES["events_daily_cohort"] = lambda b: events_daily_cohort(
     b.spark.read.parquet(f"{b.src.sf_dir}/events.parquet"))
+
+
+# T8 option
+from ledgerwalk.plans.economics import exact_freight_allocation  # noqa: E402
+
+QUERIES["freight_allocation_exact"] = lambda b: exact_freight_allocation(b.stg, b.orders)

@@ -21,3 +21,31 @@ def allocate_share(value, total, n) -> Column:
         F.when(total > 0, value.cast("double") / total.cast("double"))
         .otherwise(F.lit(1.0) / n.cast("double"))
     )
+
+
+def allocate_exact(df: DataFrame, key: str, line_id: str, total_cents: str, share: str,
+                   out: str = "allocated_cents") -> DataFrame:
+    """T8 (optional): largest-remainder split of an integer total per ``key``.
+
+    Each row gets floor(|total| x share) cents; the cents still missing go one each to
+    the rows with the largest fractional remainders (ties by ``line_id``), and the sign
+    of the total is put back - so the rows of a key add up to the total exactly.
+    Ranking by remainder uses the skew-safe ranking with the remainder's percentile as
+    the block, so a key with a third of all rows is still spread over many tasks.
+    """
+    from ledgerwalk.operators.ranking import row_number_within
+
+    total = F.col(total_cents).cast("long")
+    raw = F.abs(total).cast("double") * F.col(share).cast("double")
+    base = F.floor(raw).cast("long")
+    d = (df.withColumn("_al_base", base)
+         .withColumn("_al_rem", raw - F.col("_al_base").cast("double"))
+         .withColumn("_al_block", (F.lit(99) - F.floor(F.col("_al_rem") * 100)).cast("int")))
+    missing = d.groupBy(key).agg(
+        (F.abs(F.first(total, ignorenulls=True)) - F.sum("_al_base")).alias("_al_missing"))
+    ranked = row_number_within(d, [key], "_al_block",
+                               [F.col("_al_rem").desc(), F.col(line_id)], "_al_rank")
+    j = ranked.join(missing, key)
+    cents = F.col("_al_base") + F.when(F.col("_al_rank") <= F.col("_al_missing"), 1).otherwise(0)
+    return j.withColumn(out, (F.signum(total) * cents).cast("long")).drop(
+        "_al_base", "_al_rem", "_al_block", "_al_rank", "_al_missing")

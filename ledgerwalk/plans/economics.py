@@ -135,3 +135,24 @@ def line_fact(stg: Staged, orders: DataFrame | None = None) -> DataFrame:
 def order_item_economics(fact: DataFrame) -> DataFrame:
     """The published column set of the line economics."""
     return fact.select(*ECONOMICS_COLUMNS)
+
+
+def exact_freight_allocation(stg: Staged, orders: DataFrame | None = None) -> DataFrame:
+    """T8 option: net freight per line by largest remainder, so the lines of an order
+    add up to its header freight to the penny (the published margin walk keeps the
+    per-line rounding)."""
+    from ledgerwalk.operators.allocation import allocate_exact
+
+    orders = stg.orders if orders is None else orders
+    alloc = basket_allocation(stg.order_items)
+    hdr = orders.select(
+        "order_id",
+        ((F.col("shipping_cost") - F.col("shipping_fee_charged")) * 100).cast("long")
+        .alias("freight_cents"))
+    lines = alloc.join(hdr, "order_id")
+    out = allocate_exact(lines, "order_id", "order_item_id", "freight_cents", "revenue_share",
+                         "freight_cents_allocated")
+    return out.select(
+        "order_item_id", "order_id", "revenue_share", "freight_cents",
+        (F.col("freight_cents_allocated").cast(DecimalType(20, 0)) / 100)
+        .cast(DecimalType(14, 2)).alias("net_shipping_cost_exact"))

@@ -29,6 +29,7 @@ DECIMAL_COLUMNS: dict[str, list[str]] = {
     'fct_order_items': ['unit_price', 'gross_revenue', 'discount_amount', 'net_revenue', 'discount_rate', 'refund_amount', 'cogs', 'net_shipping_cost', 'realised_revenue', 'contribution_margin'],
     'fct_returns': ['refund_amount', 'margin_lost'],
     'first_order_per_customer': ['shipping_fee_charged', 'shipping_cost'],
+    'freight_allocation_exact': ['net_shipping_cost_exact'],
     'headline_kpis': ['net_revenue', 'contribution_margin'],
     'metrics_fulfilment': ['revenue_on_late_parcels'],
     'metrics_order_lines': ['margin_basis'],

@@ -67,3 +67,20 @@ SELECT g.cohort_day, g.day, g.period_index, g.cohort_users, g.acquisition_cost,
 FROM grid g LEFT JOIN activity a ON a.cohort_day = g.cohort_day AND a.day = g.day
 WINDOW w AS (PARTITION BY g.cohort_day ORDER BY g.period_index
              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+
+SQL["freight_allocation_exact"] = compose("""
+SELECT order_item_id, order_id, revenue_share, freight_cents,
+       CAST(sign(freight_cents) * (base + CASE WHEN rk <= missing THEN 1 ELSE 0 END) / 100
+            AS DECIMAL(14,2)) AS net_shipping_cost_exact
+FROM (SELECT x.*, row_number() OVER (PARTITION BY order_id ORDER BY rem DESC, order_item_id) AS rk,
+             abs(freight_cents) - sum(base) OVER (PARTITION BY order_id) AS missing
+      FROM (SELECT a.order_item_id, a.order_id, a.revenue_share,
+                   CAST((o.shipping_cost - o.shipping_fee_charged) * 100 AS BIGINT) AS freight_cents,
+                   CAST(floor(CAST(abs(CAST((o.shipping_cost - o.shipping_fee_charged) * 100 AS BIGINT)) AS DOUBLE)
+                              * a.revenue_share) AS BIGINT) AS base,
+                   CAST(abs(CAST((o.shipping_cost - o.shipping_fee_charged) * 100 AS BIGINT)) AS DOUBLE)
+                       * a.revenue_share
+                   - CAST(floor(CAST(abs(CAST((o.shipping_cost - o.shipping_fee_charged) * 100 AS BIGINT)) AS DOUBLE)
+                                * a.revenue_share) AS DOUBLE) AS rem
+            FROM basket_allocation a JOIN stg_orders o ON o.order_id = a.order_id) x)""",
+                                          ["basket_allocation", "stg_orders"])

@@ -148,3 +148,16 @@ def test_contracts_pass_on_clean_fixture(build):
 
     bad = [r for r in run_contracts(build).collect() if not r["ok"]]
     assert bad == []
+
+
+def test_exact_freight_allocation_reconciles_to_the_penny(build):
+    from ledgerwalk.plans.economics import exact_freight_allocation
+
+    rows = exact_freight_allocation(build.stg, build.orders).collect()
+    o3 = sorted(r["net_shipping_cost_exact"] for r in rows if r["order_id"] == "O3")
+    assert o3 == [D("3.33"), D("3.33"), D("3.34")]
+    by_order = {}
+    for r in rows:
+        by_order.setdefault(r["order_id"], [D(0), r["freight_cents"]])
+        by_order[r["order_id"]][0] += r["net_shipping_cost_exact"]
+    assert all(total * 100 == cents for total, cents in by_order.values())

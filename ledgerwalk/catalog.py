@@ -90,6 +90,7 @@ for _q, (_ds, _dims, _ms) in _METRIC_QUERIES.items():
     QUERIES[_q] = (lambda b, ds=_ds, dims=_dims, ms=_ms: evaluate(getattr(b, ds), ds, dims, ms))
 
 # V*, A*
+QUERIES["sheet_01_net_revenue"] = lambda b: A.sheet_01(b, margin_basis="Net Revenue")
 for _i in range(1, 11):
     QUERIES[f"sheet_{_i:02d}"] = getattr(A, f"sheet_{_i:02d}")
 for _a in ["answer_q1", "answer_q2", "answer_q3", "answer_q3_weekly", "answer_q4", "answer_q5",

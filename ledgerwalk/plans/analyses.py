@@ -67,10 +67,11 @@ def sheet_06(b: MartBuild) -> DataFrame:
                     ["fulfilment_centre", "carrier"], ["K201"])
 
 
-def sheet_06_heatmap(b: MartBuild) -> DataFrame:
-    """V6 as a centre x carrier matrix (carriers as columns)."""
+def sheet_06_heatmap(b: MartBuild, carriers: list[str] | None = None) -> DataFrame:
+    """V6 as a centre x carrier matrix (carriers as columns). Pass ``carriers`` to
+    skip the extra job that finds the pivot values."""
     f = b.fct_fulfilment_daily
-    return (f.groupBy("fulfilment_centre").pivot("carrier")
+    return (f.groupBy("fulfilment_centre").pivot("carrier", carriers)
             .agg(_div(F.sum("on_time_orders"), F.sum("orders"))))
 
 

@@ -77,6 +77,10 @@ SQL["sheet_01"] = compose("""
 SELECT category, CAST(sum(contribution_margin) AS DECIMAL(38,2)) AS margin_basis
 FROM fct_order_items GROUP BY category""", ["fct_order_items"])
 
+SQL["sheet_01_net_revenue"] = compose("""
+SELECT category, CAST(sum(net_revenue) AS DECIMAL(38,2)) AS margin_basis
+FROM fct_order_items GROUP BY category""", ["fct_order_items"])
+
 SQL["sheet_02"] = compose(f"""
 SELECT product_id, category, {D('sum(contribution_margin)', 'sum(net_revenue)')} AS realised_margin_rate,
        {D('sum(list_margin_rate)', 'count(list_margin_rate)')} AS avg_list_margin_rate,

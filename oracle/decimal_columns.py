@@ -38,6 +38,7 @@ DECIMAL_COLUMNS: dict[str, list[str]] = {
     'order_rollup': ['net_revenue', 'contribution_margin'],
     'running_margin': ['cumulative_contribution_margin'],
     'sheet_01': ['margin_basis'],
+    'sheet_01_net_revenue': ['margin_basis'],
     'sheet_02': ['net_revenue'],
     'sheet_03': ['contribution_margin'],
     'sheet_07': ['revenue_on_late_parcels'],

@@ -53,3 +53,30 @@ def shared_dir(spark: SparkSession) -> str:
 def run_folder(spark: SparkSession, name: str) -> str:
     """A new, unique sub-folder of the shared folder for one build run."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def scale_conf(input_bytes: int, executor_cores: int, executors: int,
+               target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized to the input, for spark-submit or ``SparkSession.builder.config``.
+
+    * Shuffle partitions: the line fact is shuffled a few times at roughly its input
+      size, so aim for ~``target_partition_bytes`` per reduce task, never fewer tasks
+      than cores; AQE coalesces small ones and splits skewed ones at run time.
+    * Scan splits of 256 MB keep parquet row groups whole and task counts moderate.
+    * Skew: a partition is skewed above 5x the median and 512 MB, then split.
+    * Broadcast stays size-checked (64 MB) - only one-row/fixed-size frames are hinted.
+    """
+    cores = max(1, executor_cores * executors)
+    shuffle = max(cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.session.timeZone": "UTC",
+    }

@@ -51,3 +51,11 @@ def test_member_filter_and_dimension_override(cohort_like):
 def test_metric_on_wrong_dataset_is_refused(cohort_like):
     with pytest.raises(ValueError):
         evaluate(cohort_like, "fct_cohort_repeat", ["period_index"], ["K101"])
+
+
+def test_scale_conf_sizes_partitions():
+    from ledgerwalk.session import scale_conf
+
+    c = scale_conf(100 * 2**40, executor_cores=8, executors=1000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert scale_conf(1, 4, 2)["spark.sql.shuffle.partitions"] == "8"

@@ -45,8 +45,11 @@ def shared_dir(spark: SparkSession) -> str:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="ledgerwalk-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
         spark.sparkContext.setCheckpointDir(path)
+        try:
+            spark.conf.set("spark.checkpoint.dir", path)
+        except Exception:  # noqa: BLE001 - core setting may be read-only at runtime
+            pass
     return path
 
 

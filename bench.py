@@ -15,7 +15,6 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -33,7 +32,6 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     from pyspark.sql import SparkSession
 
-    scratch = tempfile.mkdtemp(prefix="ledgerwalk-bench-")
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("ledgerwalk-bench")
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
@@ -41,17 +39,17 @@ def main() -> None:
              .config("spark.sql.shuffle.partitions", str(cpus * 2))
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.session.timeZone", "UTC")
-             .config("spark.checkpoint.dir", scratch)
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
 
     from ledgerwalk.catalog import QUERIES
     from ledgerwalk.plans.marts import MartBuild
+    from ledgerwalk.session import run_folder
     from ledgerwalk.sources.binding import BINDING_BAND_EDGES, ingest_driver_tables
 
     # warm-up: the same build and queries once on the smallest tables (JVM JIT and
     # whole-stage codegen compile per plan shape; the timed runs below are steady state)
-    warm = tempfile.mkdtemp(prefix="warm-", dir=scratch)
+    warm = run_folder(spark, "bench-warm")
     small = ingest_driver_tables(spark, "/root/testdata/sf0.001", warm)
     wb = MartBuild(small, band_edges=BINDING_BAND_EDGES, materialise=True,
                    folder=os.path.join(warm, "build"))
@@ -62,13 +60,13 @@ def main() -> None:
 
     # 1. ingest: bind the driver tables onto the six input contracts, store as parquet
     t0 = time.time()
-    extracts = tempfile.mkdtemp(prefix="extracts-", dir=scratch)
+    extracts = run_folder(spark, "bench-extracts")
     src = ingest_driver_tables(spark, sf_dir, extracts)
     ingest = time.time() - t0
 
     # 2. full build from the six extracts: economics materialised once, 8 marts written
     t0 = time.time()
-    folder = tempfile.mkdtemp(prefix="build-", dir=scratch)
+    folder = run_folder(spark, "bench-build")
     b = MartBuild(src, band_edges=BINDING_BAND_EDGES, materialise=True, folder=folder)
     b.write_marts(os.path.join(folder, "marts"))
     full_build = time.time() - t0

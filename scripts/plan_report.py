@@ -9,7 +9,6 @@ from __future__ import annotations
 import os
 import re
 import sys
-import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -37,7 +36,9 @@ def main() -> None:
 
     from ledgerwalk.sources.contracts import SOURCE_NAMES
 
-    stored = ingest_driver_tables(spark, sf, tempfile.mkdtemp(prefix="lw-plans-"))
+    from ledgerwalk.session import run_folder
+
+    stored = ingest_driver_tables(spark, sf, run_folder(spark, "plan-report"))
     # events are read from the driver folder
     src = SimpleNamespace(sf_dir=sf, **{n: getattr(stored, n) for n in SOURCE_NAMES})
     spark.conf.set("spark.sql.adaptive.enabled", "false")

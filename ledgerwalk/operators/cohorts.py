@@ -46,13 +46,13 @@ def dense_grid(cohorts: DataFrame, start: str, bounds: DataFrame, step: str = "m
     """
     interval = F.expr(f"INTERVAL 1 {step.upper()}")
     g = cohorts.crossJoin(F.broadcast(bounds)).filter(F.col(start) <= F.col("hi"))
-    g = g.withColumn(out, F.explode(F.sequence(F.greatest(F.col(start), F.col("lo")),
-                                               F.col("hi"), interval)))
+    steps = F.explode(F.sequence(F.greatest(F.col(start), F.col("lo")), F.col("hi"), interval))
+    g = g.select(*cohorts.columns, steps.alias(out))
     if step == "month":
         idx = month_diff(start, out)
     else:
         idx = F.datediff(F.col(out), F.col(start)).cast("long")
-    return g.drop("lo", "hi").withColumn(index, idx)
+    return g.select("*", idx.alias(index))
 
 
 def zero_fill(grid: DataFrame, activity: DataFrame, keys: list[str], grid_step: str,
@@ -60,10 +60,9 @@ def zero_fill(grid: DataFrame, activity: DataFrame, keys: list[str], grid_step:
     """Left join activity onto the grid and turn missing measures into zero."""
     a = activity.withColumnRenamed(activity_step, grid_step)
     joined = grid.join(a, keys + [grid_step], "left")
-    for m in measures:
-        dtype = a.schema[m].dataType
-        joined = joined.withColumn(m, F.coalesce(F.col(m), F.lit(0).cast(dtype)))
-    return joined
+    filled = {m: F.coalesce(F.col(m), F.lit(0).cast(a.schema[m].dataType)).alias(m)
+              for m in measures}
+    return joined.select(*[filled.get(c, F.col(c)) for c in joined.columns])
 
 
 def running_total(value, keys: list[str], order: str) -> Column:

@@ -13,4 +13,5 @@ def first_per_key(df: DataFrame, key: str, order: list) -> DataFrame:
     not reach the exchange with all of its rows.
     """
     w = Window.partitionBy(key).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    ranked = df.select("*", F.row_number().over(w).alias("_rn"))
+    return ranked.filter(F.col("_rn") == 1).select(*df.columns)

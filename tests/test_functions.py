@@ -33,3 +33,21 @@ def test_banding_edges_zero_and_null(spark):
     assert [g[0] for g in got] == ["0%", "0%", "1-10%", "10-20%", "10-20%", "20-30%", "30%+",
                                    "30%+", "1-10%"]
     assert [g[1] for g in got] == [0, 0, 1, 2, 2, 3, 4, 4, 1]
+
+
+def test_round_half_agrees_with_duckdb_on_random_and_halfway_values(spark):
+    import random
+
+    import duckdb
+
+    rnd = random.Random(11)
+    xs = [rnd.uniform(-1000, 1000) for _ in range(2000)]
+    xs += [k / 1000 + 0.0005 * s for k in range(-1000, 1000, 1) for s in (1,)]  # half-way
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    got2 = [r[0] for r in df.select(round_half("x", 2)).collect()]
+    got4 = [r[0] for r in df.select(round_half("x", 4)).collect()]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t AS SELECT * FROM (SELECT unnest(?) AS x)", [xs])
+    want = con.execute("SELECT round(x, 2), round(x, 4) FROM t").fetchall()
+    assert [w[0] for w in want] == got2
+    assert [w[1] for w in want] == got4

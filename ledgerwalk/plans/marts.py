@@ -345,8 +345,13 @@ class MartBuild:
 
     @cached_property
     def repeat_members(self) -> DataFrame:
-        return self.dim_customer.filter(F.col("cohort_month").isNotNull()).select(
+        """Customers with a first order, pinned to cohort month and experience. These are
+        the dim_customer rows with a cohort (one dim row per staged customer), taken
+        from their sources so the lifetime aggregate is not planned."""
+        cfo = self.customer_first_order.select(
             "customer_id", "cohort_month", "first_order_experience")
+        return (self.stg.customers.select("customer_id").join(cfo, "customer_id")
+                .filter(F.col("cohort_month").isNotNull()))
 
     @cached_property
     def repeat_cohort_size(self) -> DataFrame:
@@ -386,10 +391,16 @@ class MartBuild:
             ratio(cum, F.col("cohort_customers"), 2).alias("cumulative_margin_per_customer"),
         )
 
+    @cached_property
+    def signup_members(self) -> DataFrame:
+        """Signup cohort of every customer (the dim_customer columns come straight from
+        the staged customers, one dim row per customer)."""
+        return self.stg.customers.select("customer_id", "acquisition_channel", "signup_month")
+
     @cached_property
     def payback_cohort_size(self) -> DataFrame:
         """G1 for M8: signup cohorts, never-ordered customers included."""
-        return G.cohort_size(self.dim_customer, ["acquisition_channel", "signup_month"])
+        return G.cohort_size(self.signup_members, ["acquisition_channel", "signup_month"])
 
     @cached_property
     def spend_by_month(self) -> DataFrame:
@@ -412,8 +423,7 @@ class MartBuild:
     @cached_property
     def payback_activity(self) -> DataFrame:
         """G2 for M8."""
-        members = self.dim_customer.select("customer_id", "acquisition_channel", "signup_month")
-        a = self.customer_month.join(members, "customer_id")
+        a = self.customer_month.join(self.signup_members, "customer_id")
         return a.groupBy("acquisition_channel", "signup_month", "order_month").agg(
             F.count(F.lit(1)).alias("active_customers"),
             F.sum("net_revenue").cast(MONEY_SUM).alias("net_revenue"),

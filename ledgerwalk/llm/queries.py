@@ -9,6 +9,28 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .line_dedup import LINE_DEDUP_SQL, line_dedup_report
 from .mixing import MIX_SQL, mix_report
+from .packed_ids import packed_ids_report
+from .packing import packing_report
+from .token_counts import token_count_report
+
+
+def tokenizer(name: str) -> str:
+    """Path of a public vocabulary file; the package that holds them is found at run time."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing_report(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count_report(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+def op5_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_ids_report(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
 def op6_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,7 +42,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_curriculum_mix, op10_line_dedup)
+    f.__name__: f for f in (op2_best_fit_packing, op3_token_counts, op5_packed_ids,
+                              op6_curriculum_mix, op10_line_dedup)
 }
 
 SQL: dict[str, str] = {"op6_curriculum_mix": MIX_SQL, "op10_line_dedup": LINE_DEDUP_SQL}

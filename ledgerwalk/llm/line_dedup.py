@@ -32,8 +32,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     * repeated rows of one id are one document; each row comes back, each with the same
       decisions. A line that stands more than once in the keeper stays as often.
     * a document that loses every line stays, with the text ''. Empty table: no rows.
-    * a very frequent line is counted with map-side combine, and the join of its
-      occurrences to its single count row is one that AQE can split.
+    * a very frequent line is counted with map-side combine. The shared lines are stored
+      before they are joined: Spark then broadcasts them if their size allows, and can
+      split the join at a frequent line if not.
     """
     rest = [F.col(c) for c in docs.columns if c not in (id_col, text_col)]
     rows = docs.select(
@@ -45,8 +46,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lines = store(lines.where(F.char_length("key") >= min_chars)
                   .select("id", "text_hash", "pos", *hash128(F.col("key"))), "line-hashes")
 
-    shared = (lines.groupBy("h1", "h2").agg(F.countDistinct("id").alias("n"), F.max("id").alias("keeper"))
-              .where(F.col("n") >= min_docs).select("h1", "h2", "keeper"))
+    shared = store(lines.groupBy("h1", "h2")
+                   .agg(F.countDistinct("id").alias("n"), F.max("id").alias("keeper"))
+                   .where(F.col("n") >= min_docs).select("h1", "h2", "keeper"), "shared-lines")
     drops = (lines.join(shared, ["h1", "h2"]).where(~F.col("id").eqNullSafe(F.col("keeper")))
              .groupBy(F.col("id").alias("drop_id"), F.col("text_hash").alias("drop_hash"))
              .agg(F.collect_set("pos").alias("drop")))

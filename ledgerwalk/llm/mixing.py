@@ -150,7 +150,8 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = docs.select(F.struct(*docs.columns).alias("row"),
                        *keyed(F.col(id_col), F.xxhash64(text_col), F.col(source_col)))
     number = F.row_number().over(W.partitionBy(*keys).orderBy(*keys))
-    out = rows.join(plan, keys).select("row", F.explode(F.get("entries", number - 1)).alias("position"))
+    out = rows.join(plan, keys).withColumn("mine", F.get("entries", number - 1))
+    out = out.select("row", F.explode("mine").alias("position"))
     return out.repartitionByRange("position").sortWithinPartitions("position").select("row.*")
 
 
@@ -167,7 +168,8 @@ MIX_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, source IS NULL AS is_null, coalesce(source, '') AS name,
          md5(coalesce(doc_id::VARCHAR, '')) AS h,
-         len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+'))::BIGINT AS size
+         len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+'))::BIGINT AS size
   FROM documents),
 s AS (
   SELECT is_null, name, sum(size)::BIGINT AS source_size,

@@ -24,8 +24,9 @@ from .common import bounded_sample, small_batches, store
 SAMPLE_ROWS, CANDIDATES, LEXICON = 20_000, 50_000, 3_000
 #: Folds of the sample; the last one calibrates.
 FOLDS = 5
-#: Toxic documents of the sample in which a term must occur, and its least log-odds.
-SUPPORT, LEAST_ODDS = 3, 1.5
+#: Toxic documents of the sample in which a term must occur, and its least log-odds after
+#: two standard errors are taken off.
+SUPPORT, LEAST_ODDS = 3, 1.0
 #: Lengths of the word beginnings that are terms, as "lowe*"; whole words are terms too.
 BEGINNINGS = range(3, 9)
 #: Words that a worker remembers the weight of.
@@ -57,7 +58,7 @@ def terms_of(word: str) -> list[str]:
 
 
 def learn_lexicon(counts: dict[str, list[list[int]]], rows: list[list[int]], without: int | None) -> dict[str, float]:
-    """Terms and their log-odds; ``counts`` and ``rows`` hold [clean, toxic] documents by fold.
+    """Terms and their cautious log-odds; ``counts`` and ``rows`` hold [clean, toxic] documents by fold.
 
     ``without``: the fold that the lexicon must not have learnt from."""
     folds = [f for f in range(FOLDS) if f != without]
@@ -67,6 +68,7 @@ def learn_lexicon(counts: dict[str, list[list[int]]], rows: list[list[int]], wit
         b, a = (sum(by_fold[f][y] for f in folds) for y in (0, 1))
         if a >= SUPPORT:
             odds = math.log((a + 0.5) / (toxic + 1)) - math.log((b + 0.5) / (clean + 1))
+            odds -= 2 * math.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
             if odds >= LEAST_ODDS:
                 found.append((odds * math.sqrt(a), term, odds))
     return {term: odds for _, term, odds in sorted(found, key=lambda x: (-x[0], x[1]))[:LEXICON]}

@@ -44,8 +44,9 @@ def position_at(share: Column, knots: Knots) -> Column:
         if area > 0:
             q = (share * F.lit(total) - F.lit(done)) / F.lit(area)  # share of this piece
             s = q * F.lit(a + b)
-            root = F.sqrt(F.lit(a * a) + F.lit(b - a) * s)
-            pieces.append(((done + area) / total, F.lit(t0) + F.lit(t1 - t0) * s / (F.lit(a) + root)))
+            root = F.sqrt(F.greatest(F.lit(0.0), F.lit(a * a) + F.lit(b - a) * s))
+            pieces.append(((done + area) / total, F.when(
+                s > 0, F.lit(t0) + F.lit(t1 - t0) * s / (F.lit(a) + root)).otherwise(F.lit(t0))))
             done += area
     out = pieces[-1][1]
     for upto, t in reversed(pieces[:-1]):

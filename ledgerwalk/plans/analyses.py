@@ -1,7 +1,7 @@
 """Chart queries V1-V10 and analytical answers A1-A7 over the marts.
 
 Windows here only ever run over already-aggregated rows (categories, lanes,
-reasons), and totals for shares are one-row aggregates broadcast to the groups.
+reasons); totals for shares are such windows, so no mart is planned twice.
 """
 
 from __future__ import annotations
@@ -9,20 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerwalk.functions.dates import month_start
-from ledgerwalk.functions.numeric import MONEY_SUM
+from ledgerwalk.functions.numeric import MONEY_SUM, exact_avg, ratio as _div
 from ledgerwalk.plans.marts import MartBuild
-from ledgerwalk.plans.metrics import evaluate, in_range
+from ledgerwalk.plans.metrics import METRICS, evaluate, in_range
 
-
-def _div(a, b):
-    a = F.col(a) if isinstance(a, str) else a
-    b = F.col(b) if isinstance(b, str) else b
-    return F.try_divide(a.cast("double"), b.cast("double"))
-
-
-def _with_total(df: DataFrame, col: str, out: str) -> DataFrame:
-    """Attach the grand total of ``col`` (one-row aggregate, broadcast)."""
-    return df.crossJoin(F.broadcast(df.agg(F.sum(col).alias(out))))
+def _all():
+    """All rows of an aggregated frame (categories, lanes, reasons): totals for shares."""
+    return Window.partitionBy()
 
 
 # ------------------------------------------------------------------ sheets
@@ -34,12 +27,10 @@ def sheet_01(b: MartBuild, margin_basis: str = "Contribution Margin") -> DataFra
 
 def sheet_02(b: MartBuild) -> DataFrame:
     """V2 Promised vs Realised Margin, per product."""
-    d = b.dim_product
-    m = evaluate(d, "dim_product", ["product_id", "category"], ["K701"])
-    extra = d.groupBy("product_id", "category").agg(
-        _div(F.sum("list_margin_rate"), F.count("list_margin_rate")).alias("avg_list_margin_rate"),
+    return b.dim_product.groupBy("product_id", "category").agg(
+        METRICS["K701"].build({}).alias(METRICS["K701"].name),
+        exact_avg("list_margin_rate").alias("avg_list_margin_rate"),
         F.sum("net_revenue").cast(MONEY_SUM).alias("net_revenue"))
-    return m.join(extra, ["product_id", "category"])
 
 
 def sheet_03(b: MartBuild) -> DataFrame:
@@ -108,12 +99,11 @@ def answer_q1(b: MartBuild) -> DataFrame:
     g = f.groupBy("category").agg(
         F.sum("net_revenue").cast(MONEY_SUM).alias("net_revenue"),
         F.sum("contribution_margin").cast(MONEY_SUM).alias("contribution_margin"))
-    g = _with_total(g, "net_revenue", "_total")
     by_rev = Window.orderBy(F.col("net_revenue").desc())
     by_cm = Window.orderBy(F.col("contribution_margin").desc())
     return g.select(
         "category", "net_revenue",
-        _div("net_revenue", "_total").alias("revenue_share"),
+        _div("net_revenue", F.sum("net_revenue").over(_all())).alias("revenue_share"),
         "contribution_margin",
         _div("contribution_margin", "net_revenue").alias("contribution_margin_rate"),
         F.rank().over(by_rev).alias("revenue_rank"),
@@ -123,15 +113,19 @@ def answer_q1(b: MartBuild) -> DataFrame:
 
 def answer_q2(b: MartBuild, deep_rank: int = 2) -> DataFrame:
     """A2 Discount response by category x band, with the category's deep-discount roll-up."""
-    d = b.fct_discount_bands
-    g = d.groupBy("category", "discount_band_rank", "discount_band").agg(
+    deep = F.col("discount_band_rank") >= deep_rank
+    g = b.fct_discount_bands.groupBy("category", "discount_band_rank", "discount_band").agg(
         F.sum("units").alias("units"),
-        _div(F.sum("contribution_margin"), F.sum("units")).alias("margin_per_unit"),
-        _div(F.sum("units"), F.sum("order_lines")).alias("units_per_line"))
-    deep = d.filter(F.col("discount_band_rank") >= deep_rank).groupBy("category").agg(
-        F.sum("units").alias("deep_discount_units"),
-        F.sum("contribution_margin").cast(MONEY_SUM).alias("deep_discount_margin"))
-    return g.join(deep, "category", "left")
+        F.sum("order_lines").alias("_lines"),
+        F.sum("contribution_margin").cast(MONEY_SUM).alias("_margin"))
+    category = Window.partitionBy("category")  # a category's bands, already aggregated
+    return g.select(
+        "category", "discount_band_rank", "discount_band", "units",
+        _div("_margin", "units").alias("margin_per_unit"),
+        _div("units", "_lines").alias("units_per_line"),
+        F.sum(F.when(deep, F.col("units"))).over(category).alias("deep_discount_units"),
+        F.sum(F.when(deep, F.col("_margin"))).over(category).cast(MONEY_SUM)
+        .alias("deep_discount_margin"))
 
 
 def answer_q3(b: MartBuild) -> DataFrame:
@@ -141,9 +135,9 @@ def answer_q3(b: MartBuild) -> DataFrame:
         F.sum("orders").alias("orders"),
         _div(F.sum("on_time_orders"), F.sum("orders")).alias("on_time_rate"),
         F.sum("late_net_revenue").cast(MONEY_SUM).alias("late_net_revenue"))
-    g = _with_total(g, "late_net_revenue", "_total")
+    total = F.sum("late_net_revenue").over(_all())
     return g.select("fulfilment_centre", "carrier", "orders", "on_time_rate", "late_net_revenue",
-                    _div("late_net_revenue", "_total").alias("late_revenue_share"))
+                    _div("late_net_revenue", total).alias("late_revenue_share"))
 
 
 def answer_q3_weekly(b: MartBuild) -> DataFrame:
@@ -171,31 +165,27 @@ def answer_q4(b: MartBuild, months: int = 12, period: int = 6) -> DataFrame:
         F.count(F.lit(1)).alias("customers"),
         F.count_if(F.col("is_repeat_customer")).alias("repeat_customers"),
         _div(F.count_if(F.col("is_repeat_customer")), F.count(F.lit(1))).alias("repeat_rate"))
-    clean = g.filter(F.col("first_order_experience") == "Clean").select(
-        F.col("repeat_rate").alias("_clean_rate"))
+    clean = F.max(F.when(F.col("first_order_experience") == "Clean", F.col("repeat_rate"))).over(_all())
     p = (b.fct_cohort_repeat.crossJoin(cut)
          .filter((F.col("cohort_month") <= F.col("cutoff_month"))
                  & (F.col("period_index") == period))
          .groupBy("first_order_experience")
          .agg(_div(F.sum("active_customers"), F.sum("cohort_customers"))
               .alias("period_active_rate")))
-    return (g.join(F.broadcast(clean), F.lit(True), "left")
-            .join(p, "first_order_experience", "left")
+    g = g.select("*", (F.col("repeat_rate") - clean).alias("gap_to_clean"))
+    return (g.join(p, "first_order_experience", "left")
             .select("first_order_experience", "customers", "repeat_customers", "repeat_rate",
-                    (F.col("repeat_rate") - F.col("_clean_rate")).alias("gap_to_clean"),
-                    "period_active_rate"))
+                    "gap_to_clean", "period_active_rate"))
 
 
 def answer_q5(b: MartBuild, period: int = 12) -> DataFrame:
     """A5 Payback ``period`` months after signup, by channel."""
-    return evaluate(b.fct_channel_payback, "fct_channel_payback", ["acquisition_channel"],
-                    ["K501", "K503"],
-                    filters=[F.col("period_index") == period], period_fixed=True).join(
-        b.fct_channel_payback.filter(F.col("period_index") == period)
-        .groupBy("acquisition_channel")
-        .agg(_div(F.sum("cumulative_contribution_margin"), F.sum("cohort_customers"))
-             .alias("margin_per_customer")),
-        "acquisition_channel")
+    k = METRICS["K501"], METRICS["K503"]
+    return (b.fct_channel_payback.filter(F.col("period_index") == period)
+            .groupBy("acquisition_channel")
+            .agg(*[m.build({}).alias(m.name) for m in k],
+                 _div(F.sum("cumulative_contribution_margin"), F.sum("cohort_customers"))
+                 .alias("margin_per_customer")))
 
 
 def answer_breakeven(b: MartBuild) -> DataFrame:
@@ -213,42 +203,62 @@ def answer_q6(b: MartBuild) -> DataFrame:
     r = b.fct_returns.groupBy("return_reason").agg(
         F.sum("margin_lost").cast(MONEY_SUM).alias("margin_lost"),
         F.count(F.lit(1)).alias("returns"))
-    r = _with_total(_with_total(r, "margin_lost", "_tm"), "returns", "_tn")
+    lost, count = F.sum("margin_lost").over(_all()), F.sum("returns").over(_all())
     by_m = Window.orderBy(F.col("margin_lost").desc(), F.col("return_reason"))
     by_n = Window.orderBy(F.col("returns").desc())
     run = by_m.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return r.select(
         "return_reason", "margin_lost", "returns",
         _div("margin_lost", "returns").alias("margin_lost_per_return"),
-        _div("margin_lost", "_tm").alias("share_of_margin_lost"),
-        _div("returns", "_tn").alias("share_of_returns"),
+        _div("margin_lost", lost).alias("share_of_margin_lost"),
+        _div("returns", count).alias("share_of_returns"),
         F.rank().over(Window.orderBy(F.col("margin_lost").desc())).alias("rank_by_margin"),
         F.rank().over(by_n).alias("rank_by_count"),
-        _div(F.sum("margin_lost").over(run), F.col("_tm")).alias("cumulative_share"),
+        _div(F.sum("margin_lost").over(run), lost).alias("cumulative_share"),
     )
 
 
-def answer_return_products(b: MartBuild, k: int = 5) -> DataFrame:
-    """A6b Top-k products per return reason by margin lost, with the unit return rate."""
+def answer_return_products(b: MartBuild, top: int | None = None) -> DataFrame:
+    """A6b Products driving returns: every reason x product, with its share of the reason's
+    margin lost and the unit return rate. ``top``: keep only so many products per reason.
+
+    The reason totals are an aggregate joined back (a handful of rows); a rank is
+    computed only for ``top``, and block-wise, so that no task holds a whole reason.
+    """
     r = b.fct_returns.groupBy("return_reason", "product_id").agg(
         F.sum("quantity_returned").alias("units_returned"),
-        F.sum("margin_lost").cast(MONEY_SUM).alias("margin_lost"))
-    sold = b.dim_product.select("product_id", "category", "units_sold")
-    w = Window.partitionBy("return_reason").orderBy(F.col("margin_lost").desc(), "product_id")
-    top = r.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    return top.join(sold, "product_id", "left").select(
-        "return_reason", "rank", "product_id", "category", "units_returned", "margin_lost",
-        _div("units_returned", "units_sold").alias("unit_return_rate"))
+        F.sum("margin_lost").cast(MONEY_SUM).alias("margin_lost"),
+        F.first("category").alias("category"))
+    if top is not None:
+        from ledgerwalk.operators.ranking import row_number_within
+
+        block = F.floor(F.log2(F.greatest(F.lit(1.0), F.col("margin_lost").cast("double"))) * -8)
+        r = row_number_within(r.withColumn("_block", block), ["return_reason"], "_block",
+                              [F.col("margin_lost").desc(), F.col("product_id")], "_rank")
+        r = r.filter(F.col("_rank") <= top).drop("_block", "_rank")
+    lost = b.fct_returns.groupBy("return_reason").agg(
+        F.sum("margin_lost").cast(MONEY_SUM).alias("_lost"))
+    sold = b.fact.groupBy("product_id").agg(F.sum("quantity").alias("units_sold"))
+    return (r.join(F.broadcast(lost), r["return_reason"].eqNullSafe(lost["return_reason"]))
+            .drop(lost["return_reason"]).join(sold, "product_id", "left")
+            .select("return_reason", "product_id", "category", "units_returned", "margin_lost",
+                    _div("margin_lost", "_lost").alias("share_of_reason"),
+                    _div("units_returned", "units_sold").alias("unit_return_rate")))
 
 
 def headline_kpis(b: MartBuild) -> DataFrame:
-    """A7 Headline KPIs: one row."""
-    f = b.fct_order_items.agg(
-        F.sum("net_revenue").cast(MONEY_SUM).alias("net_revenue"),
-        F.sum("contribution_margin").cast(MONEY_SUM).alias("contribution_margin"),
-        _div(F.sum("contribution_margin"), F.sum("net_revenue")).alias("contribution_margin_rate"),
-        F.countDistinct("order_id").alias("orders"))
-    d = b.fct_fulfilment_daily.agg(
-        _div(F.sum("on_time_orders"), F.sum("orders")).alias("on_time_rate"))
-    c = b.dim_customer.agg(F.count(F.lit(1)).alias("customers"))
-    return f.crossJoin(d).crossJoin(c)
+    """A7 Headline KPIs: one row, from the order rollup joined once to the order header."""
+    r = b.order_rollup.select("order_id", "_customer_known", "net_revenue", "contribution_margin")
+    known = F.col("_customer_known")
+    sent = F.col("is_shipped") & F.col("delivered_date").isNotNull()
+    o = b.orders.select("order_id", "is_shipped", "delivered_date", "is_on_time").join(r, "order_id")
+    one = o.agg(
+        F.sum(F.when(known, F.col("net_revenue"))).cast(MONEY_SUM).alias("net_revenue"),
+        F.sum(F.when(known, F.col("contribution_margin"))).cast(MONEY_SUM).alias("contribution_margin"),
+        F.count_if(known).alias("orders"),
+        _div(F.count_if(sent & F.col("is_on_time")), F.count_if(sent)).alias("on_time_rate"))
+    customers = b.stg.customers.agg(F.count(F.lit(1)).alias("customers"))
+    return one.crossJoin(F.broadcast(customers)).select(
+        "net_revenue", "contribution_margin",
+        _div("contribution_margin", "net_revenue").alias("contribution_margin_rate"),
+        "orders", "on_time_rate", "customers")

@@ -1,8 +1,10 @@
 """Intermediate models I10-I14 and the eight marts M1-M8.
 
-:class:`MartBuild` wires the model DAG lazily. With ``materialise=True`` the wide
-line fact - read by six consumers - is written once to the shared folder and
-re-read, which cuts its lineage and avoids recomputing the economics per mart.
+:class:`MartBuild` wires the model DAG lazily. The order rollup, which several marts
+read more than once, is always written to the shared folder and read again; with
+``materialise=True`` so are the order header and the wide line fact, which cuts their
+lineage and avoids recomputing the economics per mart. ``stored`` gives marts from one
+such build, for checks that read many of them.
 """
 
 from __future__ import annotations
@@ -54,14 +56,15 @@ class MartBuild:
         self.band_edges = tuple(band_edges)
         self.materialise = materialise
         self.folder = folder
+        self._stored: dict[str, DataFrame] | None = None
 
     @property
     def spark(self) -> SparkSession:
         return self.stg.customers.sparkSession
 
     # ------------------------------------------------------------ intermediate
-    def _keep(self, df: DataFrame, name: str) -> DataFrame:
-        if not self.materialise:
+    def _keep(self, df: DataFrame, name: str, always: bool = False) -> DataFrame:
+        if not (self.materialise or always):
             return df
         from ledgerwalk.session import run_folder
         from ledgerwalk.sources.publish import materialise_frame
@@ -105,8 +108,8 @@ class MartBuild:
     @cached_property
     def order_rollup(self) -> DataFrame:
         """I12 (widened): one row per order of the line fact, all additive measures.
-        Four consumers (first-order experience, lifetime, fulfilment, cohort activity)."""
-        return self._keep(self._order_rollup(), "order_rollup")
+        Stored: the customer profile, fulfilment and cohort activity read it, some twice."""
+        return self._keep(self._order_rollup(), "order_rollup", always=True)
 
     def _order_rollup(self) -> DataFrame:
         f = self.fact
@@ -122,31 +125,56 @@ class MartBuild:
             F.bool_or("is_returned").alias("had_return"),
         )
 
+    @cached_property
+    def customer_profile(self) -> DataFrame:
+        """First order and lifetime of each ordering customer in one pass: the order header
+        meets its rollup once, and one aggregate per customer keeps the sums and the
+        first order's columns (min_by on date and order id)."""
+        r = self.order_rollup.select(
+            "order_id", "had_return", "order_lines", "units", "net_revenue",
+            "contribution_margin", "refund_amount", "returned_lines")
+        o = self.orders.join(r, "order_id", "left")
+        first = F.min_by(
+            F.struct("order_id", "order_date", "order_month", "order_channel", "fulfilment_centre",
+                     "carrier", "is_on_time", "days_late", "had_return", "net_revenue",
+                     "contribution_margin"),
+            F.struct("order_date", "order_id"))
+        sold = F.col("order_lines").isNotNull()  # orders without lines have no lifetime
+        return o.groupBy("customer_id").agg(
+            first.alias("first"),
+            F.count_if(sold).alias("_orders"),
+            F.sum("order_lines").alias("_lines"),
+            F.sum("units").alias("_units"),
+            F.sum("net_revenue").alias("_net"),
+            F.sum("contribution_margin").alias("_cm"),
+            F.sum("refund_amount").alias("_refunds"),
+            F.sum("returned_lines").alias("_returned"),
+            F.max(F.when(sold, F.col("order_date"))).alias("last_order_date"),
+        )
+
     @cached_property
     def customer_first_order(self) -> DataFrame:
         """One row per ordering customer describing the first order."""
-        r = self.order_rollup.select(
-            "order_id", "had_return",
-            F.col("net_revenue").alias("_first_net"),
-            F.col("contribution_margin").alias("_first_margin"))
-        f = self.first_orders.join(r, "order_id", "left")
-        on_time = F.coalesce(F.col("is_on_time"), F.lit(True))
-        returned = F.coalesce(F.col("had_return"), F.lit(False))
-        return f.select(
-            "customer_id",
-            F.col("order_id").alias("first_order_id"),
-            F.col("order_date").alias("first_order_date"),
-            F.col("order_month").alias("cohort_month"),
-            F.col("order_channel").alias("first_order_channel"),
-            F.col("fulfilment_centre").alias("first_order_fulfilment_centre"),
-            F.col("carrier").alias("first_order_carrier"),
+        return self.customer_profile.select("customer_id", *self._first_order_columns())
+
+    @staticmethod
+    def _first_order_columns() -> list[F.Column]:
+        on_time = F.coalesce(F.col("first.is_on_time"), F.lit(True))
+        returned = F.coalesce(F.col("first.had_return"), F.lit(False))
+        return [
+            F.col("first.order_id").alias("first_order_id"),
+            F.col("first.order_date").alias("first_order_date"),
+            F.col("first.order_month").alias("cohort_month"),
+            F.col("first.order_channel").alias("first_order_channel"),
+            F.col("first.fulfilment_centre").alias("first_order_fulfilment_centre"),
+            F.col("first.carrier").alias("first_order_carrier"),
             on_time.alias("first_order_on_time"),
-            F.coalesce(F.col("days_late"), F.lit(0).cast("long")).alias("first_order_days_late"),
+            F.coalesce(F.col("first.days_late"), F.lit(0).cast("long")).alias("first_order_days_late"),
             returned.alias("first_order_returned"),
-            F.coalesce(F.col("_first_net"), F.lit(0)).cast(DEC12).alias("first_order_net_revenue"),
-            F.coalesce(F.col("_first_margin"), F.lit(0)).cast(DEC12).alias("first_order_margin"),
+            F.coalesce(F.col("first.net_revenue"), F.lit(0)).cast(DEC12).alias("first_order_net_revenue"),
+            F.coalesce(F.col("first.contribution_margin"), F.lit(0)).cast(DEC12).alias("first_order_margin"),
             experience_label(on_time, returned).alias("first_order_experience"),
-        )
+        ]
 
     @cached_property
     def horizon(self) -> DataFrame:
@@ -156,27 +184,10 @@ class MartBuild:
     # ------------------------------------------------------------------ marts
     @cached_property
     def dim_customer(self) -> DataFrame:
-        """M1 (kept when materialising: both cohort marts and the line fact's checks read it)."""
-        return self._keep(self._dim_customer(), "dim_customer")
-
-    def _dim_customer(self) -> DataFrame:
-        lifetime = self.order_rollup.groupBy("customer_id").agg(
-            F.count(F.lit(1)).alias("_orders"),
-            F.sum("order_lines").alias("_lines"),
-            F.sum("units").alias("_units"),
-            F.sum("net_revenue").alias("_net"),
-            F.sum("contribution_margin").alias("_cm"),
-            F.sum("refund_amount").alias("_refunds"),
-            F.sum("returned_lines").alias("_returned"),
-            F.max("order_date").alias("last_order_date"),
-        )
-        cfo = self.customer_first_order.select(
-            "customer_id", "cohort_month", "first_order_date", "first_order_channel",
-            "first_order_experience", "first_order_on_time", "first_order_returned",
-            "first_order_net_revenue")
-        c = (self.stg.customers
-             .join(cfo, "customer_id", "left")
-             .join(lifetime, "customer_id", "left")
+        """M1: every staged customer, with the profile of those who ordered."""
+        profile = self.customer_profile.select("*", *self._first_order_columns())
+        # a customer without an order has no first order, so nothing of it is defaulted
+        c = (self.stg.customers.join(profile, "customer_id", "left")
              .crossJoin(F.broadcast(self.horizon)))
         orders = F.coalesce(F.col("_orders"), F.lit(0).cast("long"))
         net = F.coalesce(F.col("_net"), F.lit(0)).cast(MONEY_SUM)
@@ -448,6 +459,18 @@ class MartBuild:
         )
 
     # ------------------------------------------------------------------ all
+    def stored(self) -> dict[str, DataFrame]:
+        """All marts, written once by a materialising build and read again: for checks
+        that compare marts with each other."""
+        if self._stored is None:
+            from ledgerwalk.session import run_folder
+
+            folder = run_folder(self.spark, "marts")
+            full = MartBuild(self.src, self.band_edges, materialise=True, folder=f"{folder}/build")
+            self._stored = {m: self.spark.read.parquet(path)
+                            for m, path in full.write_marts(f"{folder}/marts").items()}
+        return self._stored
+
     def marts(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in MART_COLUMNS}
 

@@ -12,13 +12,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerwalk.functions.numeric import MONEY_SUM
-
-
-def _div(a: Column, b: Column) -> Column:
-    return F.try_divide(a.cast("double"), b.cast("double"))
+from ledgerwalk.functions.numeric import MONEY_SUM, ratio as _div
 
 
 def _s(c: str) -> Column:
@@ -37,6 +33,7 @@ class Metric:
 # The parameter value that selects contribution margin in K108.
 MARGIN_BASIS_DEFAULT = "Contribution Margin"
 
+# The 26 published measure formulas.
 _M = [
     Metric("K101", "fct_order_items", "contribution_margin_rate", "ratio",
            lambda p: _div(_s("contribution_margin"), _s("net_revenue"))),
@@ -125,29 +122,37 @@ def summable(dataset: str, column: str) -> bool:
 
 def evaluate(df: DataFrame, dataset: str, dims: list, metrics: list[str],
              filters: list[Column] | None = None, params: dict | None = None,
-             period_fixed: bool = False) -> DataFrame:
-    """Filter, group by ``dims`` and compute the named metrics (aliased by name)."""
+             period: int | None = None, sums: list[str] | None = None) -> DataFrame:
+    """Filter, group by ``dims`` and compute the named metrics (aliased by name).
+
+    ``period``: fix ``period_index`` at this value, which a semi-additive metric needs
+    where the period isn't grouped. ``sums``: plain columns to sum beside the metrics;
+    columns that label rather than measure are refused.
+    """
     params = params or {}
+    for c in sums or []:
+        if not summable(dataset, c):
+            raise ValueError(f"{dataset}.{c} is a dimension and is never summed")
+    if period is not None:
+        df = df.filter(F.col("period_index") == period)
     ms = [metric(r, dataset) for r in metrics]
     for m in ms:
         if m.dataset != dataset:
             raise ValueError(f"{m.id} is defined on {m.dataset}, not {dataset}")
     dim_names = [d if isinstance(d, str) else None for d in dims]
     if any(m.kind == "semi-additive" for m in ms) and "period_index" not in dim_names \
-            and not period_fixed:
+            and period is None:
         raise ValueError("semi-additive metrics need period_index grouped or fixed")
     for f in filters or []:
         df = df.filter(f)
     grouped = df.groupBy(*dims) if dims else df.groupBy()
-    out = grouped.agg(*[m.build(params).alias(m.name) for m in ms])
+    out = grouped.agg(*[m.build(params).alias(m.name) for m in ms],
+                      *[F.sum(c).alias(c) for c in sums or []])
     shares = [m for m in ms if m.kind == "share"]
     if shares:
-        # share of total over the aggregated rows: a one-row total, broadcast
-        total = out.agg(*[F.sum(m.name).alias(f"_total_{m.name}") for m in shares])
-        out = out.crossJoin(F.broadcast(total))
-        for m in shares:
-            out = out.withColumn(m.name, _div(F.col(m.name), F.col(f"_total_{m.name}"))) \
-                     .drop(f"_total_{m.name}")
+        # share of total: a window over the aggregated rows only
+        total = Window.partitionBy()
+        out = out.withColumns({m.name: _div(F.col(m.name), F.sum(m.name).over(total)) for m in shares})
     return out
 
 

@@ -37,20 +37,19 @@ def get_spark(app: str = "ledgerwalk", master: str | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for materialised intermediates.
 
-    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only when
-    neither is set - local tests - a fresh local folder is created and registered.
+    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir). A local master
+    has one machine, so there a fresh temporary folder will do where neither is set; on
+    a cluster each executor would write to its own disk, so that is an error.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
-    if not path:
-        path = tempfile.mkdtemp(prefix="ledgerwalk-ckpt-")
-        spark.sparkContext.setCheckpointDir(path)
-        try:
-            spark.conf.set("spark.checkpoint.dir", path)
-        except Exception:  # noqa: BLE001 - core setting may be read-only at runtime
-            pass
-    return path
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if path:
+        return path
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
+    path = tempfile.mkdtemp(prefix="ledgerwalk-ckpt-")
+    spark.sparkContext.setCheckpointDir(path)
+    return spark.sparkContext.getCheckpointDir()
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
@@ -58,13 +57,21 @@ def run_folder(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a run folder (by Hadoop's file system, so any shared store will do)."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def scale_conf(input_bytes: int, executor_cores: int, executors: int,
-               target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+               target_partition_bytes: int = 1 << 30) -> dict[str, str]:
     """Settings sized to the input, for spark-submit or ``SparkSession.builder.config``.
 
     * Shuffle partitions: the line fact is shuffled a few times at roughly its input
       size, so aim for ~``target_partition_bytes`` per reduce task, never fewer tasks
-      than cores; AQE coalesces small ones and splits skewed ones at run time.
+      than cores; AQE coalesces small ones and splits skewed ones at run time. 100 TB
+      gives 102,400 reduce tasks; with as many map tasks that is some 10^10 blocks, so
+      push-based shuffle (an external shuffle service that merges blocks) is expected.
     * Scan splits of 256 MB keep parquet row groups whole and task counts moderate.
     * Skew: a partition is skewed above 5x the median and 512 MB, then split.
     * Broadcast stays size-checked (64 MB) - only one-row/fixed-size frames are hinted.
@@ -76,7 +83,8 @@ def scale_conf(input_bytes: int, executor_cores: int, executors: int,
         "spark.sql.files.maxPartitionBytes": str(256 << 20),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.shuffle.push.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),

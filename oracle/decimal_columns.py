@@ -1,5 +1,5 @@
 """Columns that are exact decimals in the Spark output, per query (generated by
-scripts/gen_decimal_columns.py). The oracle casts the same columns to DOUBLE."""
+scripts/check_oracle.py --gen). The oracle casts the same columns to DOUBLE."""
 
 from __future__ import annotations
 

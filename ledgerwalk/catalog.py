@@ -115,3 +115,13 @@ QUERIES["events_daily_cohort"] = lambda b: events_daily_cohort(
 from ledgerwalk.plans.economics import exact_freight_allocation  # noqa: E402
 
 QUERIES["freight_allocation_exact"] = lambda b: exact_freight_allocation(b.stg, b.orders)
+
+
+@register("order_items_from_text")
+def _order_items_from_text(b: MartBuild) -> DataFrame:
+    """S1 and the published band edges: the line fact from all-string CSV extracts."""
+    from ledgerwalk.session import run_folder
+    from ledgerwalk.sources.binding import store_as_text
+
+    text = store_as_text(b.src, run_folder(b.spark, "text-extracts"))
+    return MartBuild(text).fct_order_items

@@ -35,6 +35,7 @@ DECIMAL_COLUMNS: dict[str, list[str]] = {
     'metrics_order_lines': ['margin_basis'],
     'metrics_returns': ['margin_lost'],
     'order_item_economics': ['weight_kg', 'unit_price', 'gross_revenue', 'discount_amount', 'net_revenue', 'discount_rate', 'refund_amount', 'cogs_gross', 'cogs_recovered', 'cogs_net', 'shipping_cost_allocated', 'shipping_fee_allocated', 'net_shipping_cost', 'realised_revenue', 'contribution_margin'],
+    'order_items_from_text': ['unit_price', 'gross_revenue', 'discount_amount', 'net_revenue', 'discount_rate', 'refund_amount', 'cogs', 'net_shipping_cost', 'realised_revenue', 'contribution_margin'],
     'order_rollup': ['net_revenue', 'contribution_margin'],
     'running_margin': ['cumulative_contribution_margin'],
     'sheet_01': ['margin_basis'],

@@ -61,6 +61,12 @@ ITEM_ID = ("concat_ws('-', CAST(l.l_orderkey AS VARCHAR), CAST(l.l_linenumber AS
            "CAST(CAST(l.l_quantity AS INTEGER) AS VARCHAR), "
            "CAST(CAST(l.l_extendedprice AS DECIMAL(12,2)) AS VARCHAR))")
 
+#: A line's discount; orders with key 7 modulo 50 are given away.
+DISCOUNT = ("CAST(CASE WHEN l.l_orderkey % 50 = 7 "
+            "THEN CAST(l.l_extendedprice AS DECIMAL(12,2)) * CAST(l.l_quantity AS INTEGER) "
+            "ELSE round(CAST(l.l_extendedprice AS DECIMAL(12,2)) * CAST(l.l_quantity AS INTEGER) "
+            "* CAST(l.l_discount AS DECIMAL(4,2)), 2) END AS DECIMAL(12,2))")
+
 # ------------------------------------------------------------------ binding
 model("b_geo", [], """
 SELECT n.n_nationkey, n.n_name, r.r_name FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey""")
@@ -93,7 +99,7 @@ SELECT l_orderkey, sum(l_quantity) AS order_qty, max(CAST(l_shipdate AS DATE)) A
 FROM lineitem GROUP BY l_orderkey""")
 
 model("b_order_hdr", ["b_customer", "b_line_agg"], """
-SELECT o.o_orderkey AS order_id, o.o_custkey AS customer_id,
+SELECT o.o_orderkey AS order_id, o.o_custkey + (o.o_custkey % 10 = 0)::INTEGER AS customer_id,
        CAST(o.o_orderdate AS DATE) AS order_date, o.o_orderpriority AS order_channel,
        CASE WHEN o.o_orderstatus <> 'P' THEN 1 ELSE 0 END AS is_shipped,
        CASE WHEN o.o_orderstatus <> 'P' THEN c.r_name ELSE 'Store Pickup' END AS fulfilment_centre,
@@ -128,8 +134,7 @@ model("raw_order_items", [], f"""
 SELECT {ITEM_ID} AS order_item_id, l.l_orderkey AS order_id, l.l_partkey AS product_id,
        CAST(l.l_quantity AS INTEGER) AS quantity,
        CAST(l.l_extendedprice AS DECIMAL(12,2)) AS unit_price,
-       CAST(round(CAST(l.l_extendedprice AS DECIMAL(12,2)) * CAST(l.l_quantity AS INTEGER)
-                  * CAST(l.l_discount AS DECIMAL(4,2)), 2) AS DECIMAL(12,2)) AS discount_amount
+       {DISCOUNT} AS discount_amount
 FROM lineitem l""")
 
 model("raw_returns", ["b_order_hdr"], f"""
@@ -140,8 +145,7 @@ SELECT 'RET-' || {ITEM_ID} AS return_id, {ITEM_ID} AS order_item_id,
        'Reason ' || CAST(l.l_linenumber % 6 AS VARCHAR) AS return_reason,
        CASE WHEN l.l_linestatus = 'O' THEN 1 ELSE 0 END AS restocked,
        CAST(round(CAST(CAST(l.l_extendedprice AS DECIMAL(12,2)) * CAST(l.l_quantity AS INTEGER)
-                       - CAST(round(CAST(l.l_extendedprice AS DECIMAL(12,2)) * CAST(l.l_quantity AS INTEGER)
-                                    * CAST(l.l_discount AS DECIMAL(4,2)), 2) AS DECIMAL(12,2)) AS DOUBLE)
+                       - {DISCOUNT} AS DOUBLE)
                   * (CASE WHEN l.l_linenumber % 2 = 0 OR CAST(l.l_quantity AS INTEGER) = 1
                           THEN CAST(l.l_quantity AS INTEGER) ELSE 1 END)
                   / CAST(l.l_quantity AS INTEGER), 2) AS DECIMAL(12,2)) AS refund_amount
@@ -488,3 +492,15 @@ summed AS (
 SELECT *, {money('cumulative_contribution_margin - acquisition_spend')} AS cumulative_margin_net_of_cac,
        {per('cumulative_contribution_margin', 'acquisition_spend', 4)} AS payback_ratio
 FROM summed""")
+
+# the line fact from text extracts: ids are strings and the published band edges apply
+model("fct_order_items_from_text", ["fct_order_items"], """
+SELECT * REPLACE (
+         CAST(order_id AS VARCHAR) AS order_id, CAST(customer_id AS VARCHAR) AS customer_id,
+         CAST(product_id AS VARCHAR) AS product_id,
+         CASE WHEN discount_rate = 0 THEN '0%' WHEN discount_rate < 0.1 THEN '1-10%'
+              WHEN discount_rate < 0.2 THEN '10-20%' WHEN discount_rate < 0.3 THEN '20-30%'
+              ELSE '30%+' END AS discount_band,
+         CASE WHEN discount_rate = 0 THEN 0 WHEN discount_rate < 0.1 THEN 1 WHEN discount_rate < 0.2 THEN 2
+              WHEN discount_rate < 0.3 THEN 3 ELSE 4 END AS discount_band_rank)
+FROM fct_order_items""")

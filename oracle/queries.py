@@ -19,6 +19,7 @@ for _n in ["stg_customers", "stg_products", "stg_orders", "stg_order_items", "st
            "fct_channel_payback", "channel_cac"]:
     SQL[_n] = _model(_n)
 
+SQL["order_items_from_text"] = _model("fct_order_items_from_text")
 SQL["cohort_size"] = _model("repeat_cohort_size")
 SQL["cohort_activity"] = _model("repeat_activity")
 SQL["dense_grid"] = compose(

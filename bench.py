@@ -4,7 +4,9 @@ Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 Prints one JSON line. ``value`` is the wall time of the full build from the six
 input extracts (parquet): staging -> order header and line economics materialised
 once -> 8 marts written. ``ingest_sec`` is the separate step that binds the
-driver tables onto the six extracts and stores them. Per-query times plan each
+driver tables onto the six extracts and stores them. ``baseline_size`` is the same build
+over about as many lines as the baseline states (30,832): the orders with an even key of
+the sf0.01 tables. Per-query times plan each
 headline query lazily from the extracts into a no-op sink (full computation, no
 driver collect, nothing shared between queries).
 """
@@ -44,8 +46,9 @@ def main() -> None:
 
     from ledgerwalk.catalog import QUERIES
     from ledgerwalk.plans.marts import MartBuild
-    from ledgerwalk.session import run_folder
+    from ledgerwalk.session import drop_folder, run_folder
     from ledgerwalk.sources.binding import BINDING_BAND_EDGES, ingest_driver_tables
+    from ledgerwalk.sources.contracts import SOURCE_NAMES
 
     # warm-up: the same build and queries once on the smallest tables (JVM JIT and
     # whole-stage codegen compile per plan shape; the timed runs below are steady state)
@@ -71,6 +74,29 @@ def main() -> None:
     b.write_marts(os.path.join(folder, "marts"))
     full_build = time.time() - t0
 
+    # the same build at the size of the baseline's one stated figure
+    baseline = None
+    near = "/root/testdata/sf0.01"
+    if os.path.isdir(near):
+        from ledgerwalk.sources.extracts import Sources
+
+        at = run_folder(spark, "bench-baseline")
+        full = ingest_driver_tables(spark, near, os.path.join(at, "all"))
+        half = {n: getattr(full, n) for n in SOURCE_NAMES}
+        even = half["orders"].filter("order_id % 2 = 0")
+        half["orders"] = even
+        half["order_items"] = half["order_items"].join(even.select("order_id"), "order_id", "left_semi")
+        half["returns"] = half["returns"].join(half["order_items"].select("order_item_id"),
+                                               "order_item_id", "left_semi")
+        for n, df in half.items():
+            df.write.parquet(os.path.join(at, "half", n))
+            half[n] = spark.read.parquet(os.path.join(at, "half", n))
+        lines = half["order_items"].count()
+        t0 = time.time()
+        MartBuild(Sources.from_dict(half), band_edges=BINDING_BAND_EDGES, materialise=True,
+                  folder=os.path.join(at, "build")).write_marts(os.path.join(at, "marts"))
+        baseline = {"lines": lines, "build_sec": round(time.time() - t0, 3)}
+
     # 3. headline queries, each planned lazily from the extracts (nothing reused)
     times = {}
     for q in HEADLINE:
@@ -85,11 +111,14 @@ def main() -> None:
         "value": round(full_build, 3),
         "ingest_sec": round(ingest, 3),
         "ingest_plus_build_sec": round(ingest + full_build, 3),
+        "baseline_size": baseline,
         "unit": "sec",
         "queries": times,
         "sf": float(m.group(1)) if m else None,
         "cpus": cpus,
     }))
+    for made in [warm, extracts, folder] + ([at] if baseline else []):
+        drop_folder(spark, made)
     spark.stop()
 
 

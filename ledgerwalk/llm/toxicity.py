@@ -57,7 +57,7 @@ def terms_of(word: str) -> list[str]:
     return [word] + [word[:n] + "*" for n in BEGINNINGS if n < len(word)]
 
 
-def learn_lexicon(counts: dict[str, list[list[int]]], rows: list[list[int]], without: int | None) -> dict[str, float]:
+def learn_lexicon(counts: dict[str, list], rows: list[list[int]], without: int | None) -> dict[str, float]:
     """Terms and their cautious log-odds; ``counts`` and ``rows`` hold [clean, toxic] documents by fold.
 
     ``without``: the fold that the lexicon must not have learnt from."""
@@ -247,11 +247,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     kinds = "term string, fold int, toxic int, n long"
     frequent = (sample.where("toxic = 1").mapInArrow(_count_terms(None), kinds).groupBy("term")
                 .agg(F.sum("n").alias("n")).where(F.col("n") >= SUPPORT).orderBy(F.desc("n"), "term").limit(CANDIDATES))
-    only = frozenset(r["term"] for r in frequent.select("term").collect())
-    counts: dict[str, list[list[int]]] = {t: [[0, 0] for _ in range(FOLDS)] for t in only}
-    for r in sample.mapInArrow(_count_terms(only), kinds).groupBy("term", "fold", "toxic").agg(
-            F.sum("n").alias("n")).collect():
-        counts[r["term"]][r["fold"]][r["toxic"]] = r["n"]
+    only = frozenset(frequent.select("term").toArrow()["term"].to_pylist())
+    # one row a term with a column for each fold and label, handed over as Arrow columns
+    cells = [F.sum(F.when((F.col("fold") == f) & (F.col("toxic") == y), F.col("n")).otherwise(0)).alias(f"n{f}{y}")
+             for f in range(FOLDS) for y in (0, 1)]
+    by_term = sample.mapInArrow(_count_terms(only), kinds).groupBy("term").agg(*cells).toArrow()
+    numbers = list(zip(*(by_term[f"n{f}{y}"].to_pylist() for f in range(FOLDS) for y in (0, 1))))
+    counts = {t: [n[2 * f:2 * f + 2] for f in range(FOLDS)] for t, n in zip(by_term["term"].to_pylist(), numbers)}
     lexicons = [learn_lexicon(counts, rows, f) for f in [*range(FOLDS), None]]
 
     row = F.struct("toxic").alias("row")

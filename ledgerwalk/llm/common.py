@@ -21,11 +21,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Hold the session's Arrow batches at ``rows`` rows at most (whole texts are long)."""
+    """Ready the session for Python work on whole texts: Arrow batches of ``rows`` rows at most,
+    and workers that find this package where the driver found it (by path; a cluster that
+    doesn't share that path gets the package by ``--py-files``)."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key))
     if now <= 0 or now > rows:
         spark.conf.set(key, str(rows))
+    home = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if home not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([home, *paths])
 
 
 def store(df: DataFrame, name: str) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 from .common import bounded_sample, small_batches, store
 from .groups import components, in_blocks, spanning_edges, whole_groups
 
-#: Distinct vectors aimed at per cell, and the most pivots that are ever broadcast.
+#: Distinct vectors aimed at per cell, and the most pivots (of all labels) that tasks get.
 CELL, MOST_PIVOTS = 2_000, 4_096
 #: Vectors of a cell that a task compares at once; beyond, blocks.
 BLOCK = 4_096
@@ -43,7 +43,8 @@ def _distances(x, pivots):
 
 def _cells(pivots_of: dict, radius: dict | None, eps: float):
     """Without radii: each vector's home cell and its distance. With them: a row for the home
-    cell and for each cell that the bounds don't rule out."""
+    cell and for each cell of the label that the bounds don't rule out. A label without
+    pivots is one cell."""
     def assign(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
@@ -53,26 +54,32 @@ def _cells(pivots_of: dict, radius: dict | None, eps: float):
             for label in dict.fromkeys(labels):
                 at = np.flatnonzero([x == label for x in labels])
                 part = b.take(pa.array(at))
-                first, pivots = pivots_of[label]
-                d = _distances(unit_rows(part["vector"]), pivots)
-                home = d.argmin(axis=1)
-                own = d[np.arange(len(at)), home]
-                if radius is None:
-                    yield pa.record_batch([pa.array(home + first, pa.int32()), pa.array(own)], ["cell", "r"])
-                    continue
-                r = np.array([radius.get(first + k, -4.0) for k in range(len(pivots))])
-                between = _distances(pivots, pivots)[home]
-                # a partner y in cell k is no farther from pivot k than from x's home pivot, and
-                # d(x, y) <= eps; by the triangle inequality
-                keep = (d <= own[:, None] + 2 * eps + SLACK) & (d <= r + eps + SLACK)
-                # and eps reaches over the bisector of the two pivots (distance of x to it)
-                keep &= d * d - (own * own)[:, None] <= 2 * between * eps + SLACK
-                keep[np.arange(len(at)), home] = True
-                row, cell = np.nonzero(keep)
+                pivots = pivots_of.get(label)
+                if pivots is None:
+                    row, cell, home = np.arange(len(at)), np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+                    if radius is None:
+                        continue
+                else:
+                    d = _distances(unit_rows(part["vector"]), pivots)
+                    home = d.argmin(axis=1)
+                    own = d[np.arange(len(at)), home]
+                    if radius is None:
+                        yield pa.record_batch([part["label"], pa.array(home, pa.int32()), pa.array(own)],
+                                              ["label", "cell", "r"])
+                        continue
+                    r = np.array([radius.get((label, k), -4.0) for k in range(len(pivots))])
+                    between = _distances(pivots, pivots)[home]
+                    # a partner y in cell k is no farther from pivot k than from x's home pivot, and
+                    # d(x, y) <= eps; by the triangle inequality
+                    keep = (d <= own[:, None] + 2 * eps + SLACK) & (d <= r + eps + SLACK)
+                    # and eps reaches over the bisector of the two pivots (distance of x to it)
+                    keep &= d * d - (own * own)[:, None] <= 2 * between * eps + SLACK
+                    keep[np.arange(len(at)), home] = True
+                    row, cell = np.nonzero(keep)
                 out = part.take(pa.array(row))
-                yield pa.record_batch([pa.array(cell + first, pa.int32()), pa.array(cell == home[row]),
+                yield pa.record_batch([out["label"], pa.array(cell, pa.int32()), pa.array(cell == home[row]),
                                        out["node"], out["copies"], out["vector"]],
-                                      ["cell", "home", "node", "copies", "vector"])
+                                      ["label", "cell", "home", "node", "copies", "vector"])
     return assign
 
 
@@ -89,7 +96,7 @@ def _join_cells(cosine: float):
                 hit[i, j] = math.fsum(x[i] * y[j]) >= cosine
             return hit
 
-        for table, starts in whole_groups(batches, ["cell", "lo", "hi"], rows=2_000):
+        for table, starts in whole_groups(batches, ["label", "cell", "lo", "hi"], rows=2_000):
             ends = np.append(starts[1:], len(table))
             for s, e in zip(starts.tolist(), ends.tolist()):
                 part = table.slice(s, e - s)
@@ -134,7 +141,8 @@ def embedding_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     * equal vectors of a label are compared once, as one node with its number of copies;
       they link with each other. Rows that share an id count as copies like any others.
     * vectors of one label must have the same length. Empty table: no rows.
-    * a cell of any size is compared in blocks of bounded size. Other columns aren't read.
+    * labels without pivots in the sample are one cell; a cell of any size is compared in
+      blocks of bounded size. Other columns aren't read.
     """
     spark = vectors.sparkSession
     small_batches(spark, 2_000)
@@ -148,32 +156,29 @@ def embedding_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     nodes = store(rows.where("ok").groupBy("label", "vector").agg(
         F.min("id").alias("node"), F.count("*").alias("copies")), "vector-nodes")
 
-    # pivots: by the hash of the vector, in proportion to each label's number of vectors
-    total = nodes.count()
-    want = min(MOST_PIVOTS, max(1, math.ceil(total / CELL)))
+    # pivots: a bounded sample of the vectors, so labels have them in proportion to their size
+    import numpy as np
+
     eps = math.sqrt(2.0 - 2.0 * cosine)
-    pivots_of = {}
-    picked = bounded_sample(nodes, want, "node").select("label", "vector").collect()
-    one_each = nodes.groupBy("label").agg(F.min_by("vector", "node").alias("vector")).collect()
+    want = min(MOST_PIVOTS, math.ceil(nodes.count() / CELL))
     by_label: dict = {}
-    for r in [*one_each, *picked]:
+    for r in bounded_sample(nodes, want, "node").select("label", "vector").collect():
         by_label.setdefault(r["label"], []).append([float(v) for v in r["vector"]])
-    import numpy as np
-
-    first = 0
-    for label in sorted(by_label, key=str):
-        x = np.unique(np.array(by_label[label]), axis=0)
-        pivots_of[label] = (first, x / np.sqrt((x * x).sum(axis=1, keepdims=True)))
-        first += len(x)
+    pivots_of = {}
+    for label, sample in by_label.items():
+        x = np.unique(np.array(sample), axis=0)
+        if len(x) > 1:
+            pivots_of[label] = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
     shape = nodes.select("label", "node", "copies", "vector")
-    radius = {r["cell"]: r["r"] for r in shape.mapInArrow(_cells(pivots_of, None, eps), "cell int, r double")
-              .groupBy("cell").agg(F.max("r").alias("r")).collect()}
-    vector_kind = vectors.schema[vector_col].dataType.simpleString()
-    cells = shape.mapInArrow(_cells(pivots_of, radius, eps),
-                             f"cell int, home boolean, node {kind}, copies long, vector {vector_kind}")
-    by = ["cell", "lo", "hi"]
-    found = store(in_blocks(store(cells, "cells"), ["cell"], "node", BLOCK).repartition(*by)
+    label_kind, vector_kind = (nodes.schema[c].dataType.simpleString() for c in ("label", "vector"))
+    radius = {(r["label"], r["cell"]): r["r"] for r in shape.mapInArrow(
+        _cells(pivots_of, None, eps), f"label {label_kind}, cell int, r double")
+        .groupBy("label", "cell").agg(F.max("r").alias("r")).collect()} if pivots_of else {}
+    cells = shape.mapInArrow(_cells(pivots_of, radius, eps), f"label {label_kind}, cell int, home boolean, "
+                             f"node {kind}, copies long, vector {vector_kind}")
+    by = ["label", "cell", "lo", "hi"]
+    found = store(in_blocks(store(cells, "cells"), ["label", "cell"], "node", BLOCK).repartition(*by)
                   .sortWithinPartitions(*by).mapInArrow(_join_cells(cosine), f"a {kind}, b {kind}, n long"),
                   "vector-links")
     groups = store(components(found.where("n = 0").select("a", "b")), "components")

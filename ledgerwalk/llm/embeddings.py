@@ -196,3 +196,23 @@ def embedding_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
 def embedding_report(vectors: DataFrame) -> DataFrame:
     """The contract's rows: cosine 0.93 among vectors of equal label."""
     return embedding_links(vectors).withColumnRenamed("id", "vec_id")
+
+
+#: The same rows by comparing all pairs of a label; components by passing smaller ids along links.
+EMBEDDING_SQL = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable AS a JOIN usable AS b USING (label)
+  WHERE a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.93),
+reached(id, low) AS (
+  SELECT vec_id, vec_id FROM usable
+  UNION SELECT links.a, low FROM links JOIN reached ON links.b = id WHERE low < links.a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(low, vec_id) AS component_id,
+       coalesce(low, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) USING (vec_id)
+LEFT JOIN (SELECT id AS vec_id, min(low) AS low FROM reached GROUP BY id) USING (vec_id)
+"""

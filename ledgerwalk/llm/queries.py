@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
-from .embeddings import embedding_report
+from .embeddings import EMBEDDING_SQL, embedding_report
 from .licenses import license_report
 from .line_dedup import LINE_DEDUP_SQL, line_dedup_report
 from .mixing import MIX_SQL, mix_report
@@ -72,4 +72,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                             op9_repetition_rules, op10_line_dedup)
 }
 
-SQL: dict[str, str] = {"op6_curriculum_mix": MIX_SQL, "op10_line_dedup": LINE_DEDUP_SQL}
+SQL: dict[str, str] = {"op6_curriculum_mix": MIX_SQL, "op8_embedding_dedup": EMBEDDING_SQL,
+                       "op10_line_dedup": LINE_DEDUP_SQL}

@@ -41,6 +41,18 @@ def test_against_all_pairs(spark):
     assert rows_of(got, "vec_id", "n_links", "component_id", "kept") == brute(rows)
 
 
+def test_against_sql(spark):
+    import duckdb
+
+    rows = vectors(3, 120) + [(1000, [0.0] * 16, 1), (1001, None, 1), (1002, [1.0] * 16, None)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    con = duckdb.connect()
+    con.register("embeddings", df.toArrow())
+    want = sorted(con.sql(embeddings.EMBEDDING_SQL).fetchall())
+    assert rows_of(embedding_report(df), "vec_id", "n_links", "component_id", "kept") == want
+    assert sum(r[1] for r in want) > 100
+
+
 def test_many_cells_and_blocks_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(embeddings, "CELL", 15)
     monkeypatch.setattr(embeddings, "BLOCK", 20)

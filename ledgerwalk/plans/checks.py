@@ -288,25 +288,25 @@ def c21_fulfilment_counts(b: MartBuild) -> DataFrame:
 
 # --------------------------------------------------------------- agreement
 def c22_net_revenue_agrees(b: MartBuild) -> DataFrame:
-    marts = b.stored()
+    k = b.kept
     return _union([
-        _recon("C22", f"{m}.{c}", _two(marts["fct_order_items"], F.col("net_revenue"),
-                                       marts[m], F.col(c)), PENCE)
+        _recon("C22", f"{m}.{c}", _two(k.fct_order_items, F.col("net_revenue"),
+                                       getattr(k, m), F.col(c)), PENCE)
         for m, c in [("dim_product", "net_revenue"), ("dim_customer", "lifetime_net_revenue"),
                      ("fct_discount_bands", "net_revenue")]])
 
 
 def c23_margin_agrees(b: MartBuild) -> DataFrame:
-    marts, cm = b.stored(), F.col("contribution_margin")
+    k, cm = b.kept, F.col("contribution_margin")
     return _union([
-        _recon("C23", f"{m}.contribution_margin", _two(marts["fct_order_items"], cm, marts[m], cm), PENCE)
+        _recon("C23", f"{m}.contribution_margin", _two(k.fct_order_items, cm, getattr(k, m), cm), PENCE)
         for m in ["dim_product", "fct_discount_bands"]])
 
 
 def c24_customer_orders_agree(b: MartBuild) -> DataFrame:
-    marts = b.stored()
-    per = marts["fct_order_items"].groupBy("customer_id").agg(F.countDistinct("order_id").alias("n"))
-    c = marts["dim_customer"].select("customer_id", "orders").join(per, "customer_id", "left")
+    k = b.kept
+    per = k.fct_order_items.groupBy("customer_id").agg(F.countDistinct("order_id").alias("n"))
+    c = k.dim_customer.select("customer_id", "orders").join(per, "customer_id", "left")
     return _count(c, "C24", "dim_customer.orders",
                   F.col("orders") != F.coalesce(F.col("n"), F.lit(0)))
 

@@ -459,16 +459,24 @@ class MartBuild:
         )
 
     # ------------------------------------------------------------------ all
+    @cached_property
+    def kept(self) -> "MartBuild":
+        """This build with its shared intermediates stored: for checks that compare a few
+        marts, each then a short plan over the stored line fact or rollup."""
+        if self.materialise:
+            return self
+        from ledgerwalk.session import run_folder
+
+        return MartBuild(self.src, self.band_edges, materialise=True,
+                         folder=run_folder(self.spark, "build"))
+
     def stored(self) -> dict[str, DataFrame]:
-        """All marts, written once by a materialising build and read again: for checks
-        that compare marts with each other."""
+        """All marts, written once from ``kept`` and read again: for checks of every mart."""
         if self._stored is None:
             from ledgerwalk.session import run_folder
 
-            folder = run_folder(self.spark, "marts")
-            full = MartBuild(self.src, self.band_edges, materialise=True, folder=f"{folder}/build")
-            self._stored = {m: self.spark.read.parquet(path)
-                            for m, path in full.write_marts(f"{folder}/marts").items()}
+            paths = self.kept.write_marts(run_folder(self.spark, "marts"))
+            self._stored = {m: self.spark.read.parquet(path) for m, path in paths.items()}
         return self._stored
 
     def marts(self) -> dict[str, DataFrame]:

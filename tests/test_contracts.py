@@ -115,7 +115,7 @@ def variant(build, **frames):
         else:
             b.__dict__[name] = change(getattr(build, name))
     b._stored = stored
-    b.__dict__.update(stored)
+    b.__dict__.update(stored, kept=b)
     return b
 
 

@@ -24,15 +24,8 @@ def month_spine(bounds: DataFrame, out: str = "month") -> DataFrame:
         F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias(out))
 
 
-def day_spine(bounds: DataFrame, out: str = "day") -> DataFrame:
-    return bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias(out))
-
-
-def cohort_size(members: DataFrame, keys: list[str], out: str = "cohort_customers",
-                drop_null: str | None = None) -> DataFrame:
+def cohort_size(members: DataFrame, keys: list[str], out: str = "cohort_customers") -> DataFrame:
     """G1: fixed denominator per cohort."""
-    if drop_null:
-        members = members.filter(F.col(drop_null).isNotNull())
     return members.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
 
 

@@ -1,11 +1,9 @@
 """Order-line economics I1-I9: the margin walk from list price to contribution margin.
 
-Decisions made once, here:
-  * freight is an order cost, allocated to lines by share of net revenue, with an
-    even split when the basket has no positive revenue;
-  * a refund reverses revenue in full, cost of goods is only recovered for
-    restocked units;
-  * returns are attributed to the order month.
+Rules that every later model inherits: a basket's parcel costs go to its lines in
+proportion to what they earned (equally, if the basket earned nothing); refunds are taken
+off in full, while goods count as recovered only when units went back on the shelf; and a
+return belongs to the month of its order.
 
 Plan shape: basket totals are an aggregate (map-side combined) joined to the
 order header at order grain; the customer context that the published line fact
@@ -56,10 +54,18 @@ def first_orders(orders: DataFrame) -> DataFrame:
     return first_per_key(orders, "customer_id", ["order_date", "order_id"])
 
 
-def line_fact(stg: Staged, orders: DataFrame | None = None) -> DataFrame:
-    """Wide line fact: I9's columns plus raw return fields and customer context."""
+def line_fact(stg: Staged, orders: DataFrame | None = None, months: DataFrame | None = None) -> DataFrame:
+    """Wide line fact: I9's columns plus raw return fields and customer context.
+
+    ``months`` (column ``order_month``): only lines of orders in these months, which are
+    picked before any other join; first orders are still those of all orders.
+    """
     items = stg.order_items
     orders = stg.orders if orders is None else orders
+    picked = orders
+    if months is not None:
+        picked = orders.join(F.broadcast(months), "order_month", "left_semi")
+        items = items.join(picked.select("order_id"), "order_id", "left_semi")
     totals = group_totals(items, "order_id", "net_revenue",
                           "order_net_revenue", "order_line_count")
 
@@ -69,7 +75,7 @@ def line_fact(stg: Staged, orders: DataFrame | None = None) -> DataFrame:
     ).join(cohort, "customer_id", "left")
 
     order_side = (
-        orders.select(
+        picked.select(
             "order_id", "customer_id", "order_date", "order_month", "order_channel",
             "order_sequence", "is_shipped", "fulfilment_centre", "carrier", "is_on_time",
             "days_late", "promo_code", "shipping_cost", "shipping_fee_charged")

@@ -51,7 +51,7 @@ def stg_customers(raw: DataFrame) -> DataFrame:
 
 
 def stg_products(raw: DataFrame) -> DataFrame:
-    """Typed money plus the list margin rate the buying team quotes."""
+    """Typed product attributes and the margin rate at list price."""
     price = _typed(raw, "list_price", DEC12)
     cost = _typed(raw, "unit_cost", DEC12)
     rate = F.try_divide(price.cast("double") - cost.cast("double"),

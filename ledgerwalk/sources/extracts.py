@@ -26,10 +26,6 @@ class Sources:
         require_sources(frames)
         return cls(**{n: frames[n] for n in SOURCE_NAMES})
 
-    def register_views(self, prefix: str = "raw_") -> None:
-        for name in SOURCE_NAMES:
-            getattr(self, name).createOrReplaceTempView(prefix + name)
-
 
 def require_sources(available, names=SOURCE_NAMES) -> None:
     """S3: fail before planning anything, listing every missing source at once."""

@@ -13,9 +13,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from ledgerwalk.plans.economics import line_fact
 from ledgerwalk.plans.marts import MartBuild
 from ledgerwalk.plans.staging import stg_returns
 from ledgerwalk.sources.contracts import RAW_CONTRACTS
@@ -44,10 +45,11 @@ def affected_months(build: MartBuild, new_returns_raw: DataFrame) -> DataFrame:
 def restate_months(build: MartBuild, new_returns_raw: DataFrame, fact_path: str) -> None:
     """Recompute the line fact for the touched months and replace only those partitions.
 
-    ``build`` must read sources that already include the new returns.
+    ``build`` must read sources that already include the new returns. Orders and lines of
+    other months are dropped before the fact's joins (one row per month, broadcast).
     """
     months = affected_months(build, new_returns_raw)
-    part = build.fact.join(F.broadcast(months), "order_month", "left_semi")
+    part = line_fact(build.stg, build.orders, months)
     cols = [c for c in part.columns if c != "order_month"] + ["order_month"]
     (part.select(*cols).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")

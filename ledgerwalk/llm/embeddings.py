@@ -28,10 +28,10 @@ SLACK = 1e-6
 
 
 def unit_rows(column):
-    """Unit vectors in double precision of an Arrow list column without nulls."""
+    """Unit vectors in double precision of an Arrow list column: no nulls, one length."""
     import numpy as np
 
-    x = np.vstack([np.asarray(v, dtype=np.float64) for v in column.to_pylist()])
+    x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
@@ -140,7 +140,7 @@ def embedding_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
       non-finite components, links with nothing: 0 links, its own id as component.
     * equal vectors of a label are compared once, as one node with its number of copies;
       they link with each other. Rows that share an id count as copies like any others.
-    * vectors of one label must have the same length. Empty table: no rows.
+    * vectors of different length link with nothing. Empty table: no rows.
     * labels without pivots in the sample are one cell; a cell of any size is compared in
       blocks of bounded size. Other columns aren't read.
     """
@@ -148,7 +148,9 @@ def embedding_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     small_batches(spark, 2_000)
     kind = vectors.schema[id_col].dataType.simpleString()
     values = F.col("vector")
-    rows = vectors.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(vector_col).alias("vector"))
+    label = F.concat_ws(":", F.size(vector_col), F.col(label_col).cast("string"))
+    rows = vectors.select(F.col(id_col).alias("id"), F.when(F.col(label_col).isNotNull(), label).alias("label"),
+                          F.col(vector_col).alias("vector"))
     bad = F.exists(values, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     some = F.exists(values, lambda v: v != 0)
     rows = store(rows.withColumn("ok", F.coalesce(

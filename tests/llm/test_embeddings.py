@@ -16,7 +16,7 @@ def brute(rows, cosine=0.93):
                 and any(v))
     good = [(i, np.array(v, dtype=np.float32).astype(float), y) for i, v, y in rows if ok(v, y, i)]
     links = [(a, b) for a in range(len(good)) for b in range(a) if good[a][2] == good[b][2]
-             and good[a][1] @ good[b][1] / math.sqrt((good[a][1] @ good[a][1]) * (good[b][1] @ good[b][1])) >= cosine - 1e-12]
+             and len(good[a][1]) == len(good[b][1]) and good[a][1] @ good[b][1] / math.sqrt((good[a][1] @ good[a][1]) * (good[b][1] @ good[b][1])) >= cosine - 1e-12]
     n = {}
     for a, b in links:
         for x in (a, b):
@@ -68,7 +68,7 @@ def test_unusable_vectors_copies_ties_and_clashing_names(spark):
     v = [1.0, 2.0, 3.0]
     rows = [(9, v, 1), (4, v, 1), (6, v, 1), (5, v, None), (3, v, 2), (10, None, 1), (11, [0.0, 0.0, 0.0], 1),
             (12, [1.0, None, 2.0], 1), (13, [float("nan"), 1.0, 1.0], 1), (14, [float("inf"), 1.0, 1.0], 1), (15, [], 1),
-            (None, v, 1), (16, [2.0, 4.0, 6.0], 1), (17, [-1.0, -2.0, -3.0], 1)]
+            (None, v, 1), (18, [1.0, 2.0], 1), (19, [2.0, 4.0], 1), (16, [2.0, 4.0, 6.0], 1), (17, [-1.0, -2.0, -3.0], 1)]
     df = spark.createDataFrame(rows, SCHEMA)
     want = brute(rows)
     assert rows_of(embedding_report(df), "vec_id", "n_links", "component_id", "kept") == want

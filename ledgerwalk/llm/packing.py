@@ -1,6 +1,7 @@
 """Best-fit packing of documents into token sequences by hierarchical residual packing.
 
-Every partition tokenises its documents and packs them best-fit; nearly full bins are
+Every partition tokenises its documents; the pieces are dealt evenly over tasks of bounded
+size, whatever the order of the files, and packed best-fit there. Nearly full bins are
 emitted and the underfull ones become items of the next round, in which the bins of
 ``FAN_IN`` tasks meet and are packed best-fit again, and so on up a tree of tasks. Only
 piece descriptions move, never texts or ids.
@@ -15,6 +16,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import small_batches, store
 
+#: Pieces that one task packs, about.
+TASK_PIECES = 20_000
 #: Tasks whose underfull bins meet in one task of the next round.
 FAN_IN = 8
 #: A bin with this share of its capacity is emitted at once.
@@ -22,8 +25,8 @@ NEARLY_FULL = 0.998
 #: Underfull bins that one task passes on; it emits the fullest of any more as they are.
 PASS_ON = 20_000
 
-PIECES = ("id {id}, piece int, start long, length long, ids_crc32 long, "
-          "sequence_id long, offset long, fill long, task int")
+PIECES = "id {id}, piece int, start long, length long, ids_crc32 long"
+PLACED = (PIECES + ", sequence_id long, offset long, fill long, task int")
 
 
 def best_fit(lengths: Sequence[int], capacity: int) -> tuple[list[int], list[int], list[int]]:
@@ -57,46 +60,52 @@ def best_fit(lengths: Sequence[int], capacity: int) -> tuple[list[int], list[int
     return bins, offsets, fill
 
 
-def _pack_partition(path: str, end_id: int, capacity: int):
-    def pack(batches: Iterator) -> Iterator:
-        import numpy as np
+def _piece_lengths(path: str, end_id: int, capacity: int):
+    """(id, text) -> the pieces of each document, batch by batch."""
+    def cut(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        from pyspark import TaskContext
 
         from .encode import encoder
 
-        enc, task = encoder(path), TaskContext.get().partitionId()
-        end = end_id.to_bytes(4, "little")
-        ids, piece, start, length, crc = [], [], [], [], []
-        id_type = None
+        enc, end = encoder(path), end_id.to_bytes(4, "little")
         for b in batches:
-            id_type = b.schema.field("id").type
-            texts = [t or "" for t in b["text"].to_pylist()]
-            for doc, got in zip(b["id"].to_pylist(), enc.ids(texts)):
+            of, piece, start, length, crc = [], [], [], [], []
+            for row, got in enumerate(enc.ids([t or "" for t in b["text"].to_pylist()])):
                 got += end
                 for k, at in enumerate(range(0, len(got), 4 * capacity)):
                     part = got[at:at + 4 * capacity]
-                    ids.append(doc)
+                    of.append(row)
                     piece.append(k)
                     start.append(at // 4)
                     length.append(len(part) // 4)
                     crc.append(zlib.crc32(part))
-        if not ids:
+            yield pa.record_batch({
+                "id": b["id"].take(pa.array(of, pa.int64())), "piece": pa.array(piece, pa.int32()),
+                "start": pa.array(start, pa.int64()), "length": pa.array(length, pa.int64()),
+                "ids_crc32": pa.array(crc, pa.int64())})
+    return cut
+
+
+def _pack_partition(capacity: int):
+    """Pack the pieces of one task, which come longest first."""
+    def pack(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        task, held = TaskContext.get().partitionId(), [b for b in batches if b.num_rows]
+        if not held:
             return
-        lengths = np.array(length, dtype=np.int64)
-        order = np.lexsort((np.arange(len(ids)), -lengths))
-        bins, offsets, fill = best_fit(lengths[order].tolist(), capacity)
-        bin_of, at = np.empty(len(ids), np.int64), np.empty(len(ids), np.int64)
-        bin_of[order], at[order] = bins, offsets
-        fill = np.array(fill, dtype=np.int64)
-        whole = pa.record_batch({
-            "id": pa.array(ids, id_type), "piece": pa.array(piece, pa.int32()),
-            "start": pa.array(start, pa.int64()), "length": pa.array(lengths),
-            "ids_crc32": pa.array(crc, pa.int64()),
-            "sequence_id": pa.array((np.int64(task) << 32) + bin_of), "offset": pa.array(at),
-            "fill": pa.array(fill[bin_of]), "task": pa.array(np.full(len(ids), task, np.int32))})
-        for at in range(0, len(whole), 10_000):
-            yield whole.slice(at, 10_000)
+        bins, offsets, fill = best_fit([n for b in held for n in b["length"].to_pylist()], capacity)
+        bin_of, fill = np.array(bins, dtype=np.int64), np.array(fill, dtype=np.int64)
+        columns = {"sequence_id": pa.array((np.int64(task) << 32) + bin_of), "offset": pa.array(offsets, pa.int64()),
+                   "fill": pa.array(fill[bin_of]), "task": pa.array(np.full(len(bins), task, np.int32))}
+        at = 0
+        for b in held:
+            n = b.num_rows
+            yield pa.record_batch([*b.columns, *(c.slice(at, n) for c in columns.values())],
+                                  [*b.schema.names, *columns])
+            at += n
     return pack
 
 
@@ -128,16 +137,20 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int, capacity:
 
     * null text: empty, that is one piece with ``end_id`` alone. Null ids are kept.
     * repeated rows are packed each on its own. Empty table: no rows.
-    * other columns of ``docs`` aren't read. Each round's bins are stored in the shared
-      folder, so that a lost executor can't change a packing that a later round has used.
+    * other columns of ``docs`` aren't read. Pieces and each round's bins are stored in the
+      shared folder, so that a lost executor can't change a packing that a later round has used.
+    * pieces are dealt in turn from each stored split to all tasks, in the order of their rows'
+      hashes: every task gets its share of each split, and repeated or null ids stay spread.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    schema = PIECES.format(id=docs.schema[id_col].dataType.simpleString())
+    pieces, schema = (x.format(id=docs.schema[id_col].dataType.simpleString()) for x in (PIECES, PLACED))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    bins = store(texts.mapInArrow(_pack_partition(tokenizer_path, end_id, capacity), schema), "pack-0")
+    cut = store(texts.mapInArrow(_piece_lengths(tokenizer_path, end_id, capacity), pieces), "pack-pieces")
+    tasks = max(1, -(-cut.count() // TASK_PIECES))
+    dealt = cut.repartition(tasks).sortWithinPartitions(F.desc("length"), "id", "piece", "ids_crc32")
+    bins = store(dealt.mapInArrow(_pack_partition(capacity), schema), "pack-0")
     enough = int(capacity * NEARLY_FULL)
-    tasks = (bins.agg(F.max("task")).first()[0] or 0) + 1
     done, level = [], 0
     while tasks > 1:
         level += 1

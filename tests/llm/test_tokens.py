@@ -1,6 +1,6 @@
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -129,6 +129,27 @@ def test_packing_few_passed_on_and_small_capacity(spark, monkeypatch):
     assert packing_report(documents(spark, [(1, None)]), WORD).first()["length"] == 1
 
 
+@pytest.mark.parametrize("long, short, per_long, least", [(21, 19, 1, 120), (30, 10, 1, 120), (36, 2, 2, 120)])
+def test_packing_of_files_in_order_of_length(spark, monkeypatch, long, short, per_long, least):
+    """Pieces of one split meet those of all others: files sorted by length need no more sequences."""
+    docs = [(i, " ".join(["a"] * (long - 1))) for i in range(120)]
+    docs += [(1000 + i, " ".join(["a"] * (short - 1))) for i in range(120 * per_long)]
+    df = documents(spark, docs).repartitionByRange(6, "doc_id")
+    assert check_packing(pack_documents(df, WORD, 1, capacity=40).collect(), docs, 40) == least
+    monkeypatch.setattr(packing, "TASK_PIECES", 60)
+    tasks = -(-len(docs) // 60)
+    assert check_packing(pack_documents(df, WORD, 1, capacity=40).collect(), docs, 40) <= least + 2 * tasks
+
+
+def test_packing_spreads_repeated_and_null_ids(spark, monkeypatch):
+    monkeypatch.setattr(packing, "TASK_PIECES", 50)
+    docs = [(None, "a b")] * 200 + [(7, "a b c")] * 200
+    rows = pack_documents(documents(spark, docs).repartition(3), WORD, 1, capacity=11).collect()
+    check_packing(rows, docs, 11)
+    tasks = Counter(r["sequence_id"] >> 32 & 0xffffff for r in rows if r["sequence_id"] >> 56 == 0)
+    assert len(tasks) == 8 and max(tasks.values()) <= 60
+
+
 def test_best_fit_takes_the_fullest_bin_that_holds():
     bins, offsets, fill = best_fit([7, 6, 3, 4, 10, 1], 10)
     assert bins == [0, 1, 0, 1, 2, 3] and offsets == [0, 0, 7, 6, 0, 0] and fill == [10, 10, 10, 1]

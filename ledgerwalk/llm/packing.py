@@ -22,11 +22,13 @@ TASK_PIECES = 20_000
 FAN_IN = 8
 #: A bin with this share of its capacity is emitted at once.
 NEARLY_FULL = 0.998
-#: Underfull bins that one task passes on; it emits the fullest of any more as they are.
+#: Underfull bins that one task passes on, the emptiest; it emits any more as they are. Best-fit
+#: leaves one bin of half its capacity or less per task at most and two fuller ones can't merge, so
+#: a round joins ``FAN_IN`` pairs per task at most and needs no more than so many of the emptiest.
 PASS_ON = 20_000
 
 PIECES = "id {id}, piece int, start long, length long, ids_crc32 long"
-PLACED = (PIECES + ", sequence_id long, offset long, fill long, task int")
+PLACED = (PIECES + ", sequence_id long, offset long, fill long, task int, up boolean")
 
 
 def best_fit(lengths: Sequence[int], capacity: int) -> tuple[list[int], list[int], list[int]]:
@@ -86,7 +88,17 @@ def _piece_lengths(path: str, end_id: int, capacity: int):
     return cut
 
 
-def _pack_partition(capacity: int):
+def _passed_on(fill, enough: int, pass_on: int):
+    """Which bins of a task go up: the ``pass_on`` emptiest underfull ones, by fill and number."""
+    import numpy as np
+
+    up = np.zeros(len(fill), dtype=bool)
+    emptiest = np.argsort(fill, kind="stable")[:pass_on]
+    up[emptiest] = fill[emptiest] < enough
+    return up
+
+
+def _pack_partition(capacity: int, enough: int, pass_on: int):
     """Pack the pieces of one task, which come longest first."""
     def pack(batches: Iterator) -> Iterator:
         import numpy as np
@@ -99,7 +111,8 @@ def _pack_partition(capacity: int):
         bins, offsets, fill = best_fit([n for b in held for n in b["length"].to_pylist()], capacity)
         bin_of, fill = np.array(bins, dtype=np.int64), np.array(fill, dtype=np.int64)
         columns = {"sequence_id": pa.array((np.int64(task) << 32) + bin_of), "offset": pa.array(offsets, pa.int64()),
-                   "fill": pa.array(fill[bin_of]), "task": pa.array(np.full(len(bins), task, np.int32))}
+                   "fill": pa.array(fill[bin_of]), "task": pa.array(np.full(len(bins), task, np.int32)),
+                   "up": pa.array(_passed_on(fill, enough, pass_on)[bin_of])}
         at = 0
         for b in held:
             n = b.num_rows
@@ -109,7 +122,7 @@ def _pack_partition(capacity: int):
     return pack
 
 
-def _merge_bins(capacity: int, level: int):
+def _merge_bins(capacity: int, enough: int, pass_on: int, level: int):
     """Pack the bins of one task of the tree again; a bin is an item of its fill."""
     def merge(key, pieces):
         import numpy as np
@@ -120,11 +133,11 @@ def _merge_bins(capacity: int, level: int):
         item_bin, item_offset, fill = best_fit(fills[order].tolist(), capacity)
         to, shift = np.empty(len(bins), np.int64), np.empty(len(bins), np.int64)
         to[order], shift[order] = item_bin, item_offset
-        task = int(key[0])
+        task, fill = int(key[0]), np.array(fill, dtype=np.int64)
         return pieces.assign(
             sequence_id=(np.int64(level) << 56) + (np.int64(task) << 32) + to[bin_of],
             offset=pieces["offset"].to_numpy() + shift[bin_of],
-            fill=np.array(fill, dtype=np.int64)[to[bin_of]], task=np.int32(task))
+            fill=fill[to[bin_of]], task=np.int32(task), up=_passed_on(fill, enough, pass_on)[to[bin_of]])
     return merge
 
 
@@ -149,23 +162,15 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int, capacity:
     cut = store(texts.mapInArrow(_piece_lengths(tokenizer_path, end_id, capacity), pieces), "pack-pieces")
     tasks = max(1, -(-cut.count() // TASK_PIECES))
     dealt = cut.repartition(tasks).sortWithinPartitions(F.desc("length"), "id", "piece", "ids_crc32")
-    bins = store(dealt.mapInArrow(_pack_partition(capacity), schema), "pack-0")
-    enough = int(capacity * NEARLY_FULL)
+    bounds = (capacity, int(capacity * NEARLY_FULL), PASS_ON)
+    bins = store(dealt.mapInArrow(_pack_partition(*bounds), schema), "pack-0")
     done, level = [], 0
     while tasks > 1:
         level += 1
-        # the fullest of a task's underfull bins stop here when there are too many to pass on
-        over = (bins.where(F.col("fill") < enough).groupBy("task").agg(
-            F.countDistinct("sequence_id").alias("n"),
-            F.percentile_approx("fill", F.lit(0.5)).alias("half")).where(F.col("n") > PASS_ON)
-            .select("task", "half"))
-        marked = bins.join(F.broadcast(over), "task", "left").withColumn(
-            "up", (F.col("fill") < enough) & (F.col("half").isNull() | (F.col("fill") < F.col("half"))))
-        done.append(marked.where(~F.col("up")).select(bins.columns))
+        done.append(bins.where("NOT up"))
         tasks = -(-tasks // FAN_IN)
-        bins = store(marked.where("up").select(bins.columns)
-                     .withColumn("task", F.floor(F.col("task") / FAN_IN).cast("int"))
-                     .groupBy("task").applyInPandas(_merge_bins(capacity, level), schema), f"pack-{level}")
+        bins = store(bins.where("up").withColumn("task", F.floor(F.col("task") / FAN_IN).cast("int"))
+                     .groupBy("task").applyInPandas(_merge_bins(*bounds, level), schema), f"pack-{level}")
     for d in done:
         bins = bins.unionByName(d)
     return bins.select("id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

@@ -141,6 +141,34 @@ def test_packing_of_files_in_order_of_length(spark, monkeypatch, long, short, pe
     assert check_packing(pack_documents(df, WORD, 1, capacity=40).collect(), docs, 40) <= least + 2 * tasks
 
 
+@pytest.mark.parametrize("lengths", [[30], [26, 28, 30], [22] * 5 + [39] * 2])
+def test_each_task_passes_on_the_emptiest_bins_and_no_more(spark, monkeypatch, lengths):
+    """Equal fills too: as many go up as may, and those that go are the emptiest."""
+    monkeypatch.setattr(packing, "TASK_PIECES", 20)
+    monkeypatch.setattr(packing, "PASS_ON", 4)
+    stored, store = {}, packing.store
+
+    def kept(df, name):
+        stored[name] = store(df, name)
+        return stored[name]
+
+    monkeypatch.setattr(packing, "store", kept)
+    docs = [(i, " ".join(["a"] * (lengths[i % len(lengths)] - 1))) for i in range(700)]
+    check_packing(pack_documents(documents(spark, docs), WORD, 1, capacity=40).collect(), docs, 40)
+    seen = {k: v.collect() for k, v in stored.items()}
+    for level in range(1, 3):
+        below, here = (defaultdict(dict) for _ in range(2))
+        for r in seen[f"pack-{level - 1}"]:
+            below[r["task"]][r["sequence_id"]] = r["fill"]
+        for r in seen[f"pack-{level}"]:
+            here[r["task"]][r["sequence_id"]] = r["fill"]
+        want = Counter()
+        for task, fills in below.items():
+            want.update({task // packing.FAN_IN: sum(sorted(f for f in fills.values() if f < 39)[:4])})
+        assert {t: sum(f.values()) for t, f in here.items()} == want
+        assert max(map(len, here.values())) <= 4 * packing.FAN_IN
+
+
 def test_packing_spreads_repeated_and_null_ids(spark, monkeypatch):
     monkeypatch.setattr(packing, "TASK_PIECES", 50)
     docs = [(None, "a b")] * 200 + [(7, "a b c")] * 200

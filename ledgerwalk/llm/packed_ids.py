@@ -1,7 +1,8 @@
 """Token-id output: fixed-width id matrices for training, with segment lengths and resets.
 
-Every partition tokenises its documents, splits overlong ones without loss and packs the
-pieces best-fit-decreasing; a segment tree over the possible rooms finds the fullest row
+Every partition tokenises its documents and splits overlong ones without loss; the pieces are
+dealt evenly over tasks of bounded size, whatever the order of the files, and each task packs
+all of its own best-fit-decreasing; a segment tree over the possible rooms finds the fullest row
 that still holds a piece. Rows are written as little-endian unsigned integers, padded to
 the row width, beside the cumulative segment lengths and the places where positions
 start again.
@@ -18,12 +19,13 @@ from ledgerwalk.session import run_folder
 
 from .common import small_batches
 
-#: Tokens a task holds before it writes its full rows.
-WINDOW_TOKENS = 4_000_000
-#: Rows with this share of their width are written at once; others meet the next documents,
-#: as long as they hold no more than a quarter of the window.
-NEARLY_FULL = 0.998
+#: Ids that one task packs at once, about, and rows that it fills at least: a task leaves about one
+#: row underfull. Ids are estimated by bytes of text, and a document weighs some for itself.
+WINDOW_TOKENS = 16_000_000
+TASK_ROWS = 1_000
+BYTES_AN_ID, DOCUMENT_WEIGHT = 4, 32
 
+PIECES = "id {id}, start long, ids binary"
 ROWS = ("shard int, row int, n_tokens int, width int, id_bytes int, ids binary, cu_seqlens array<int>, "
         "position_resets array<int>, doc_ids array<{id}>, doc_starts array<long>")
 
@@ -79,64 +81,61 @@ def best_fit_decreasing(lengths: list[int], capacity: int) -> list[list[int]]:
     return rows
 
 
-def _matrices(path: str, end_id: int, pad_id: int, width: int, id_bytes: int):
-    def write(batches: Iterator) -> Iterator:
+def _piece_ids(path: str, end_id: int, width: int, id_bytes: int):
+    """(id, text) -> the pieces of each document with their ids, batch by batch."""
+    def cut(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
-        from pyspark import TaskContext
 
         from .encode import encoder
 
-        enc, shard, made = encoder(path), TaskContext.get().partitionId(), 0
-        kind = np.dtype(f"<u{id_bytes}")
-        held: list[tuple] = []  # (doc id, start, ids)
-        id_type = None
+        enc, kind, step = encoder(path), np.dtype(f"<u{id_bytes}"), width * id_bytes
+        end = kind.type(end_id).tobytes()
+        for b in batches:
+            of, start, ids = [], [], []
+            for row, got in enumerate(enc.ids([t or "" for t in b["text"].to_pylist()])):
+                got = np.frombuffer(got, dtype=np.uint32).astype(kind).tobytes() + end
+                for at in range(0, len(got), step):
+                    of.append(row)
+                    start.append(at // id_bytes)
+                    ids.append(got[at:at + step])
+            yield pa.record_batch({"id": b["id"].take(pa.array(of, pa.int64())), "start": pa.array(start, pa.int64()),
+                                   "ids": pa.array(ids, pa.binary())})
+    return cut
+
+
+def _matrices(pad_id: int, width: int, id_bytes: int):
+    """Pack all pieces of one task and write its rows."""
+    def write(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        from pyspark import TaskContext
 
-        def flush(last: bool):
-            nonlocal held, made
-            rows = best_fit_decreasing([len(x[2]) for x in held], width)
-            cells, keep, kept = [], [], 0
-            totals = [sum(len(held[i][2]) for i in members) for members in rows]
-            for total, members in sorted(zip(totals, rows)):
-                if not last and total < NEARLY_FULL * width and kept + total <= WINDOW_TOKENS // 4:
-                    keep += members  # meets the next documents
-                    kept += total
-                    continue
-                ids = np.full(width, pad_id, dtype=kind)
-                ids[:total] = np.concatenate([held[i][2] for i in members])
-                cells.append((ids.tobytes(), [held[i] for i in members], total))
-            held_next = [held[i] for i in sorted(keep)]
-            for at in range(0, len(cells), 64):
-                part = cells[at:at + 64]
-                ends = [np.cumsum([0] + [len(m[2]) for m in ms]).tolist() for _, ms, _ in part]
-                yield pa.record_batch({
-                    "shard": pa.array([shard] * len(part), pa.int32()),
-                    "row": pa.array(range(made, made + len(part)), pa.int32()),
-                    "n_tokens": pa.array([t for _, _, t in part], pa.int32()),
-                    "width": pa.array([width] * len(part), pa.int32()),
-                    "id_bytes": pa.array([id_bytes] * len(part), pa.int32()),
-                    "ids": pa.array([b for b, _, _ in part], pa.binary()),
-                    "cu_seqlens": pa.array(ends, pa.list_(pa.int32())),
-                    "position_resets": pa.array([e[:-1] for e in ends], pa.list_(pa.int32())),
-                    "doc_ids": pa.array([[m[0] for m in ms] for _, ms, _ in part], pa.list_(id_type)),
-                    "doc_starts": pa.array([[m[1] for m in ms] for _, ms, _ in part], pa.list_(pa.int64()))})
-                made += len(part)
-            held = held_next
-
-        tokens = 0
+        shard, docs, starts, held = TaskContext.get().partitionId(), [], [], []
+        id_type = None
         for b in batches:
             id_type = b.schema.field("id").type
-            texts = [t or "" for t in b["text"].to_pylist()]
-            for doc, got in zip(b["id"].to_pylist(), enc.ids(texts)):
-                ids = np.frombuffer(got, dtype=np.uint32).astype(kind)
-                ids = np.append(ids, kind.type(end_id))
-                held += [(doc, at, ids[at:at + width]) for at in range(0, len(ids), width)]
-                tokens += len(ids)
-            if tokens >= WINDOW_TOKENS:
-                yield from flush(last=False)
-                tokens = 0
-        if held:
-            yield from flush(last=True)
+            docs += b["id"].to_pylist()
+            starts += b["start"].to_pylist()
+            held += b["ids"].to_pylist()
+        lengths = [len(x) // id_bytes for x in held]
+        rows = best_fit_decreasing(lengths, width)
+        pad = np.dtype(f"<u{id_bytes}").type(pad_id).tobytes()
+        for at in range(0, len(rows), 64):
+            part = rows[at:at + 64]
+            ends = [np.cumsum([0] + [lengths[i] for i in members]).tolist() for members in part]
+            yield pa.record_batch({
+                "shard": pa.array([shard] * len(part), pa.int32()),
+                "row": pa.array(range(at, at + len(part)), pa.int32()),
+                "n_tokens": pa.array([e[-1] for e in ends], pa.int32()),
+                "width": pa.array([width] * len(part), pa.int32()),
+                "id_bytes": pa.array([id_bytes] * len(part), pa.int32()),
+                "ids": pa.array([b"".join([held[i] for i in members]) + pad * (width - e[-1])
+                                 for members, e in zip(part, ends)], pa.binary()),
+                "cu_seqlens": pa.array(ends, pa.list_(pa.int32())),
+                "position_resets": pa.array([e[:-1] for e in ends], pa.list_(pa.int32())),
+                "doc_ids": pa.array([[docs[i] for i in members] for members in part], pa.list_(id_type)),
+                "doc_starts": pa.array([[starts[i] for i in members] for members in part], pa.list_(pa.int64()))})
     return write
 
 
@@ -153,13 +152,19 @@ def write_packed_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: in
     * null or empty text: one segment, ``end_id`` alone. Null ids are kept in ``doc_ids``.
     * a document longer than ``width`` is cut every ``width`` ids, without loss.
     * repeated rows are segments of their own. Empty table: no rows.
-    * other columns of ``docs`` aren't read. A task holds ``WINDOW_TOKENS`` ids at most.
+    * other columns of ``docs`` aren't read. Pieces are dealt in turn from each split to tasks
+      of about ``WINDOW_TOKENS`` ids (``TASK_ROWS`` rows at least), in the order of their rows'
+      hashes, so that each task gets its share of each split.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    schema = ROWS.format(id=docs.schema[id_col].dataType.simpleString())
+    pieces, schema = (x.format(id=docs.schema[id_col].dataType.simpleString()) for x in (PIECES, ROWS))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    (texts.mapInArrow(_matrices(tokenizer_path, end_id, pad_id, width, id_bytes), schema)
+    n_bytes, n = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count(F.lit(1))).first()
+    tasks = max(1, -(-(n_bytes // BYTES_AN_ID + DOCUMENT_WEIGHT * n) // max(WINDOW_TOKENS, TASK_ROWS * width)))
+    cut = texts.mapInArrow(_piece_ids(tokenizer_path, end_id, width, id_bytes), pieces)
+    (cut.repartition(tasks).sortWithinPartitions("id", "start", "ids")
+     .mapInArrow(_matrices(pad_id, width, id_bytes), schema)
      .write.option("compression", "zstd").parquet(path))
     return spark.read.schema(schema).parquet(path)
 

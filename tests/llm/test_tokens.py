@@ -238,3 +238,20 @@ def test_packed_ids_round_trip(spark, tmp_path, monkeypatch):
         assert len(out) <= total / width * 1.1 + 3
     assert packed_ids_report(documents(spark, []), WORD).collect() == []
     assert rows_of(packed_ids_report(documents(spark, [(1, None)]), WORD), "n_tokens", "doc_ids") == [(1, [1])]
+
+
+def test_packed_rows_do_not_depend_on_the_order_of_files(spark, tmp_path, monkeypatch):
+    from ledgerwalk.llm import packed_ids
+
+    docs = [(i, " ".join(["a"] * (29 if i < 120 else 9))) for i in range(240)]
+    df = documents(spark, docs).repartitionByRange(6, "doc_id")
+
+    def rows(name):
+        out = write_packed_ids(df, str(tmp_path / name), WORD, 1, width=40).collect()
+        assert sorted(d for r in out for d in r["doc_ids"]) == list(range(240))
+        return len(out)
+
+    assert rows("one") == 120
+    monkeypatch.setattr(packed_ids, "WINDOW_TOKENS", 1)
+    monkeypatch.setattr(packed_ids, "TASK_ROWS", 60, raising=False)
+    assert rows("several") <= 120 + 2 * 5  # five tasks

@@ -46,9 +46,12 @@ FEATURES = ("log_words", "hit_rate", "log_hits", "weight_rate", "most_weight", "
 _WORD = re.compile(r"[^\W\d_]+")
 _SHOUTED = re.compile(r"\b[A-Z]{3,}\b")
 _STRETCHED = re.compile(r"([A-Za-z])\1\1")
-_MIXED = re.compile(r"[^\W\d_]+(?:[0-9@$!*._+|-]{1,3}[^\W\d_]+)+")
+#: Letters with one to three signs between them, or a beginning that stands for letters.
+_MIXED = re.compile(r"(?<![^\W\d_])[^\W\d_]++(?:[0-9@$!*._+|-]{1,3}[^\W\d_]++)+"
+                    r"|(?<![^\W_])[013457@$!|]{1,3}[^\W\d_]++(?:[0-9@$!*._+|-]{1,3}[^\W\d_]++)*")
 #: Digits and signs that stand for letters (fixed values).
 _LEET = str.maketrans("013457@$!|", "oieastasil")
+_LED = re.compile(r"[\W\d_]+[^\W\d_]+")
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
@@ -99,6 +102,10 @@ def _char_classes():
     return kind
 
 
+#: Bytes that ``_MIXED`` takes for signs inside words.
+_SIGNS = bytes(b in b"0123456789@$!*._+|-" for b in range(256))
+
+
 def features(text: str, weights: Weights, kinds) -> list[float]:
     """The dense features of one whole text; all 0 for the empty one."""
     import numpy as np
@@ -109,7 +116,9 @@ def features(text: str, weights: Weights, kinds) -> list[float]:
     kind = kinds[data]
     n = np.bincount(kind, minlength=6)
     letter, sign = (kind == 1) | (kind == 2), kind >= 3
-    mixed = int((letter[:-2] & sign[1:-1] & letter[2:]).sum())
+    two = sign[1:-1] & sign[2:]
+    mixed = int((letter[:-2] & sign[1:-1] & letter[2:]).sum() + (letter[:-3] & two[:-1] & letter[3:]).sum()
+                + (letter[:-4] & two[:-2] & sign[3:-1] & letter[4:]).sum())
     words = _WORD.findall(text.lower())
     size = max(1, len(words))
     w = np.fromiter(map(weights.__getitem__, words), dtype=np.float64, count=len(words))
@@ -129,9 +138,11 @@ def features(text: str, weights: Weights, kinds) -> list[float]:
             gap = np.minimum(np.abs(second[np.minimum(k, len(second) - 1)] - at), np.abs(second[np.maximum(k - 1, 0)] - at))
             near = float((gap <= NEAR).mean())
     hidden = 0
-    if mixed:
+    if (np.frombuffer(_SIGNS, dtype=bool)[data[:-1]] & letter[1:]).any():  # every match has a sign before a letter
         for m in _MIXED.findall(text.lower()):
-            plain = {_NOT_LETTERS.sub("", m.translate(_LEET)), _NOT_LETTERS.sub("", m)}
+            plain = {_NOT_LETTERS.sub("", m.translate(_LEET))}
+            if not _LED.fullmatch(m):  # a whole word after signs is no hidden one
+                plain.add(_NOT_LETTERS.sub("", m))
             hidden += max(weights[p] for p in plain) > 0
     letters = max(1, int(n[1] + n[2]))
     shouted = len(_SHOUTED.findall(text)) if n[2] >= 3 else 0

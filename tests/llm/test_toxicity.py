@@ -86,3 +86,20 @@ def test_features():
     assert bad["near_second"] == 1.0 and bad["capital_rate"] > plain["capital_rate"] and bad["shouted_rate"] > 0
     assert f("such an 1d10t and i.d.i.o.t here")["log_hidden"] > 0 and f("idiots")["hit_rate"] == 0
     assert f("word " * 500 + "idiot " * 5)["densest"] == 5 and f("sooo good!!!")["stretched_rate"] > 0
+
+
+@pytest.mark.parametrize("text, runs", [
+    ("such an 1d10t here", 1), ("i.d.i.o.t", 4), ("such an i$$iot here", 1), ("an id!!!iot", 1), ("id--iot", 1),
+    ("1diot", 0), ("an !diot", 0), ("an i-d10t.", 2)])
+def test_each_obfuscated_spelling_alone(text, runs):
+    weights = Weights({"idiot": 3.0, "issiot": 2.0})
+    got = dict(zip(FEATURES, features(text, weights, _char_classes())))
+    words = len([w for w in "".join(c if c.isalpha() else " " for c in text).split()])
+    assert got["hit_rate"] == 0 and got["log_hidden"] == pytest.approx(np.log1p(1)) and got["hidden_rate"] > 0
+    assert got["obfuscation_rate"] == pytest.approx(runs / words)
+
+
+def test_plain_texts_hide_nothing():
+    weights, kinds = Weights({"idiot": 3.0}), _char_classes()
+    for text in ("", "a", "5", "a5", "5a", "a 5 b", "an idiot!", "$5 idiot", "5idiot", "id....iot", "x" * 50_000 + " 1x"):
+        assert dict(zip(FEATURES, features(text, weights, kinds)))["log_hidden"] == 0

@@ -49,6 +49,17 @@ def encoder(path: str) -> "Encoder":
     return _encoders[path]
 
 
+def largest_id(path: str) -> int:
+    """The largest id of a tokenizer file's vocabulary, added tokens included."""
+    if path.endswith(".model"):
+        import sentencepiece
+
+        return sentencepiece.SentencePieceProcessor(model_file=path).get_piece_size() - 1
+    from tokenizers import Tokenizer
+
+    return max(Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values(), default=0)
+
+
 class Encoder:
     def __init__(self, path: str) -> None:
         self.first: dict[str, bytes] = {}   # chunk at the start of a text, or any chunk

@@ -139,6 +139,16 @@ def _matrices(pad_id: int, width: int, id_bytes: int):
     return write
 
 
+def check_ids_fit(tokenizer_path: str, end_id: int, pad_id: int, id_bytes: int) -> None:
+    """Raise unless every id that can occur is an unsigned integer of ``id_bytes`` bytes."""
+    from .encode import largest_id
+
+    ids = {"the vocabulary's largest id": largest_id(tokenizer_path), "end_id": end_id, "pad_id": pad_id}
+    for name, i in ids.items():
+        if not 0 <= i < 256 ** id_bytes:
+            raise ValueError(f"{name}, {i}, doesn't fit in {id_bytes} bytes")
+
+
 def write_packed_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, pad_id: int = 0,
                      width: int = 4096, id_bytes: int = 2, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
@@ -149,6 +159,7 @@ def write_packed_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: in
     lengths from 0; ``position_resets`` the places where positions start from 0 again;
     ``doc_ids`` and ``doc_starts`` say which ids of which document each segment is.
 
+    * an id of the vocabulary, ``end_id`` or ``pad_id`` that doesn't fit: an error before the job.
     * null or empty text: one segment, ``end_id`` alone. Null ids are kept in ``doc_ids``.
     * a document longer than ``width`` is cut every ``width`` ids, without loss.
     * repeated rows are segments of their own. Empty table: no rows.
@@ -156,6 +167,7 @@ def write_packed_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: in
       of about ``WINDOW_TOKENS`` ids (``TASK_ROWS`` rows at least), in the order of their rows'
       hashes, so that each task gets its share of each split.
     """
+    check_ids_fit(tokenizer_path, end_id, pad_id, id_bytes)
     spark = docs.sparkSession
     small_batches(spark)
     pieces, schema = (x.format(id=docs.schema[id_col].dataType.simpleString()) for x in (PIECES, ROWS))

@@ -255,3 +255,11 @@ def test_packed_rows_do_not_depend_on_the_order_of_files(spark, tmp_path, monkey
     monkeypatch.setattr(packed_ids, "WINDOW_TOKENS", 1)
     monkeypatch.setattr(packed_ids, "TASK_ROWS", 60, raising=False)
     assert rows("several") <= 120 + 2 * 5  # five tasks
+
+
+@pytest.mark.parametrize("path", [WORD, PIECE])
+@pytest.mark.parametrize("ids", [{"end_id": 70_000}, {"end_id": 1, "pad_id": -1}, {"end_id": 1, "id_bytes": 1}])
+def test_ids_that_do_not_fit_are_an_error(spark, tmp_path, path, ids):
+    with pytest.raises(ValueError, match="doesn't fit"):
+        write_packed_ids(documents(spark, [(1, "a")]), str(tmp_path / "ids"), path, **ids)
+    assert not (tmp_path / "ids").exists()

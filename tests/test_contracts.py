@@ -3,7 +3,7 @@ content does not depend on the shuffle partition count (F19, C27)."""
 
 import pytest
 
-from conftest import customer, item, order, product, raw_sources, ret
+from builders import customer, item, order, product, raw_sources, ret
 from ledgerwalk.plans import checks as C
 from ledgerwalk.plans.marts import MartBuild
 
@@ -54,7 +54,7 @@ def test_orphans_are_reported(spark):
 
 
 def test_fingerprint_independent_of_partitions(spark):
-    from conftest import customer as cu, item as it, order as od, product as pr
+    from builders import customer as cu, item as it, order as od, product as pr
 
     src = raw_sources(
         spark,
@@ -89,7 +89,7 @@ def test_single_pass_reports_agree_with_individual_checks(broken):
 # ---- every contract passes on a sound build and reports the one thing that is broken
 @pytest.fixture(scope="module")
 def sound(spark):
-    from conftest import spend
+    from builders import spend
 
     src = raw_sources(
         spark,

@@ -4,7 +4,7 @@ from decimal import Decimal
 
 import pytest
 
-from conftest import customer, item, order, product, raw_sources, ret, spend
+from builders import customer, item, order, product, raw_sources, ret, spend
 from ledgerwalk.plans.marts import MartBuild
 
 D = Decimal

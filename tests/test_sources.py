@@ -7,7 +7,7 @@ import tempfile
 
 import pytest
 
-from conftest import customer, item, order, product, ret
+from builders import customer, item, order, product, ret
 from ledgerwalk.plans.marts import MartBuild
 from ledgerwalk.sources.contracts import RAW_COLUMNS
 from ledgerwalk.sources.extracts import read_extracts, require_sources

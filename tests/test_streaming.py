@@ -3,7 +3,7 @@
 import os
 import tempfile
 
-from conftest import customer, item, order, product, raw_sources, ret
+from builders import customer, item, order, product, raw_sources, ret
 from ledgerwalk.plans.marts import MartBuild
 from ledgerwalk.streaming import restate_months, start_restatement_stream, write_fact_by_month
 

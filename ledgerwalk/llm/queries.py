@@ -13,6 +13,7 @@ from .line_dedup import LINE_DEDUP_SQL, line_dedup_report
 from .mixing import MIX_SQL, mix_report
 from .packed_ids import packed_ids_report
 from .packing import packing_report
+from .quality import quality_report
 from .repetition import repetition_report
 from .simhash import simhash_report
 from .token_counts import token_count_report
@@ -66,10 +67,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup_report(table(spark, sf_dir, "documents"))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_toxicity, op2_best_fit_packing, op3_token_counts, op4_license_scan,
                             op5_packed_ids, op6_curriculum_mix, op7_simhash_dedup, op8_embedding_dedup,
-                            op9_repetition_rules, op10_line_dedup)
+                            op9_repetition_rules, op10_line_dedup, op11_quality)
 }
 
 SQL: dict[str, str] = {"op6_curriculum_mix": MIX_SQL, "op8_embedding_dedup": EMBEDDING_SQL,

@@ -18,6 +18,7 @@ from .repetition import repetition_report
 from .simhash import simhash_report
 from .token_counts import token_count_report
 from .toxicity import toxicity_report
+from .variants import variant_report
 
 
 def tokenizer(name: str) -> str:
@@ -71,10 +72,15 @@ def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variant_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_toxicity, op2_best_fit_packing, op3_token_counts, op4_license_scan,
                             op5_packed_ids, op6_curriculum_mix, op7_simhash_dedup, op8_embedding_dedup,
-                            op9_repetition_rules, op10_line_dedup, op11_quality)
+                            op9_repetition_rules, op10_line_dedup, op11_quality,
+                            op12_spelling_variants)
 }
 
 SQL: dict[str, str] = {"op6_curriculum_mix": MIX_SQL, "op8_embedding_dedup": EMBEDDING_SQL,

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .collocations import COLLOCATION_SQL, collocation_report
 from .common import table
 from .embeddings import EMBEDDING_SQL, embedding_report
 from .licenses import license_report
@@ -76,12 +77,16 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variant_report(table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocation_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_toxicity, op2_best_fit_packing, op3_token_counts, op4_license_scan,
                             op5_packed_ids, op6_curriculum_mix, op7_simhash_dedup, op8_embedding_dedup,
                             op9_repetition_rules, op10_line_dedup, op11_quality,
-                            op12_spelling_variants)
+                            op12_spelling_variants, op13_collocations)
 }
 
 SQL: dict[str, str] = {"op6_curriculum_mix": MIX_SQL, "op8_embedding_dedup": EMBEDDING_SQL,
-                       "op10_line_dedup": LINE_DEDUP_SQL}
+                       "op10_line_dedup": LINE_DEDUP_SQL, "op13_collocations": COLLOCATION_SQL}

@@ -18,6 +18,21 @@ def line_key(line: Column) -> Column:
     return ascii_lower(F.btrim(line, F.lit(SPACES)))
 
 
+def without_lines(text: Column, drop: Column) -> Column:
+    """The lines of ``text`` but those at the positions in ``drop`` (from 0, distinct): the runs
+    of lines between dropped ones, put together again. Linear in the lines: the text is
+    split once, since the outer lambda binds its lines, and each run is one slice."""
+    def rebuilt(lines: Column) -> Column:
+        gone = F.array_sort(drop)
+        before, after = F.concat(F.array(F.lit(-1)), gone), F.concat(gone, F.array(F.size(lines)))
+        edges = F.arrays_zip(before.alias("before"), after.alias("after"))
+        runs = F.filter(edges, lambda e: e["after"] - e["before"] > 1)
+        return F.array_join(F.flatten(F.transform(runs, lambda e: F.slice(
+            lines, e["before"] + 2, e["after"] - e["before"] - 1))), "\n")
+
+    return F.get(F.transform(F.array(F.split(text, "\n")), rebuilt), F.lit(0))
+
+
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 min_chars: int = 40, min_docs: int = 5) -> DataFrame:
     """One row per input row: ``id``, ``text`` (lines dropped), ``n_lines``, ``n_dropped``
@@ -32,6 +47,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     * repeated rows of one id are one document; each row comes back, each with the same
       decisions. A line that stands more than once in the keeper stays as often.
     * a document that loses every line stays, with the text ''. Empty table: no rows.
+    * a document of very many lines costs time in proportion to them.
     * a very frequent line is counted with map-side combine. The shared lines are stored
       before they are joined: Spark then broadcasts them if their size allows, and can
       split the join at a frequent line if not.
@@ -54,12 +70,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .agg(F.collect_set("pos").alias("drop")))
     out = rows.join(drops, F.col("id").eqNullSafe(F.col("drop_id"))
                     & (F.col("text_hash") == F.col("drop_hash")), "left")
-    parts = F.split("text", "\n")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("drop"))
-    kept = F.array_join(F.transform(stay, lambda p: F.get(parts, p)), "\n")
+    n_lines = F.size(F.split("text", "\n"))
     return out.select(
-        "id", F.when(F.col("drop").isNull(), F.col("text")).otherwise(kept).alias("text"),
-        F.size(parts).cast("long").alias("n_lines"),
+        "id", F.when(F.col("drop").isNull(), F.col("text")).otherwise(without_lines(F.col("text"), F.col("drop"))).alias("text"),
+        n_lines.cast("long").alias("n_lines"),
         F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_dropped"), "row")
 
 

@@ -99,7 +99,7 @@ def test_nulls_empties_long_texts_and_clashing_names(spark):
     rows = [(1, None), (2, ""), (3, ". , ;"), (4, long), (4, long), (None, "one two"), (5, "lonely")]
     df = C.collocation_report(documents(spark, rows, clashing=True))
     assert df.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
-    assert got(df) == plain_collocations([(t, "en") for _, t in rows], 100) and len(got(df)) == 6
+    assert got(df) == plain_collocations([(t, "en") for _, t in rows], 100) and len(got(df)) == 7
     assert C.collocation_report(documents(spark, [])).collect() == []
     assert C.collocation_report(documents(spark, [(1, None), (2, "too few words")])).collect() == []
 

@@ -1,4 +1,5 @@
 import hashlib
+import time
 from collections import defaultdict
 
 import duckdb
@@ -73,3 +74,16 @@ def test_empty_table_and_clashing_names(spark):
 def test_no_python_in_the_plan(spark):
     plan = line_dedup_report(documents(spark, CASES["shared"]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+@pytest.mark.parametrize("every", [2, 2_000])
+def test_a_document_of_many_lines_takes_time_in_proportion(spark, every):
+    """100,000 lines of which half, or fifty, go; one that keeps none of its lines, one that starts
+    and one that ends with shared lines."""
+    shared = [f"{LONG} number {k}" for k in range(100_000 // every)]
+    many = [shared[k // every] if k % every == 0 else f"own line {k}" for k in range(100_000)]
+    rows = [(0, "\n".join(many)), *[(i, "\n".join(shared)) for i in range(1, 6)], (6, shared[0] + "\nx"), (7, "x\n" + shared[-1])]
+    began = time.monotonic()
+    got = line_dedup_report(documents(spark, rows).repartition(4))
+    assert rows_of(got, "doc_id", "n_lines", "n_dropped", "kept_sha256") == brute(rows)
+    assert time.monotonic() - began < 60

@@ -5,8 +5,8 @@ knots). Its integral, scaled to the source's target, is the source's cumulative
 demand; a document that begins at word c of its source's (hash-ordered) supply is
 trained when that demand reaches c, which the inverted integral gives in closed form.
 Documents are then range-sorted by position. Word offsets are prefix sums in two levels
-(blocks of the hash order, then inside a block), so a source that holds a third of all
-rows is spread over as many tasks as it has blocks.
+(range partitions of the supply order, then inside one) over distinct rows with their
+number, so a source, an id or a row that holds a third of all rows is spread over tasks.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ Knots = Sequence[tuple[float, float]]
 
 #: Weights that repeat over the sources in code-point order.
 WEIGHTS = (3, 1, 2)
+#: Equal rows that one task tells apart.
+PORTION = 10_000
 #: Schedules that repeat likewise: early, even and late sources of the curriculum.
 SCHEDULES: tuple[Knots, ...] = (
     ((0.0, 1.5), (1.0, 0.5)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.5), (1.0, 1.5)))
@@ -80,29 +82,39 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, total_sha
         "is_null", "name", "rank", "source_size", "target")
 
 
-def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-             weights: Sequence[int] = WEIGHTS, schedules: Sequence[Knots] = SCHEDULES,
-             total_share: float = 1.5, most_repeats: int = 2, block_rows: int = 20_000) -> DataFrame:
-    """One row per document: ``id, text_hash, source, size, source_size, target, copies, taken,
-    positions`` (training times in 0 to 1, one per copy).
+def row_identity(df: DataFrame) -> list[Column]:
+    """``i1, i2``: 128 bits of hash over all columns, alike for equal rows only. Maps, which can't
+    be hashed, count as JSON."""
+    parts = [x for f in df.schema for c in [F.col(f"`{f.name}`")]
+             for x in (c.isNull(), F.to_json(c) if "map<" in f.dataType.simpleString() else c)]
+    return [F.xxhash64(F.lit(0), *parts).alias("i1"), F.xxhash64(F.lit(1), *parts).alias("i2")]
 
-    Supply order: md5 of the id, then id, size and text hash. Copy e of a document
-    covers words e * source_size + offset onwards; it is taken when its middle lies
-    before the target, so a source misses its target by half a document at most.
 
-    * null text: size 0, taken 0 words, no copies. A document is never cut.
-    * null source: a source of its own, last in order. Null id: md5 '' sorts first.
-    * repeated rows are documents of their own. Empty table: no rows.
+#: Order of a source's supply: md5 of the id, then what tells rows apart.
+SUPPLY = ("h", "id", "size", "text_hash", "i1", "i2")
+
+
+def _supply(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: Sequence[int],
+            total_share: float, most_repeats: int, block_rows: int) -> DataFrame:
+    """One row per distinct row of ``docs``: its identity, size, ``times`` it stands, the word of
+    its source's supply at which the first of them begins, and the source's figures.
+
+    Equal rows follow each other in the supply, so one row with a count stands for any
+    number of them. Distinct rows are range-partitioned by source and supply order, and
+    the partitions are the blocks of the prefix sums, so no source, id or missing id
+    makes a block larger than about ``block_rows`` rows.
     """
-    d = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"),
-                    F.col(source_col).isNull().alias("is_null"),
-                    F.coalesce(F.col(source_col), F.lit("")).alias("name"),
-                    count_words(F.col(text_col)).alias("size"))
-    d = store(d.withColumn("h", F.coalesce(F.md5(F.col("id").cast("string")), F.lit(""))), "mix-sizes")
-    hex_digits = max(1, math.ceil(math.log(max(1, d.count() / block_rows), 16)))
-    d = d.withColumn("block", F.substring("h", 1, hex_digits))
-
-    blocks = d.groupBy("is_null", "name", "block").agg(F.sum("size").alias("words"))
+    d = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("text_hash"),
+                    F.col(f"`{source_col}`").isNull().alias("is_null"),
+                    F.coalesce(F.col(f"`{source_col}`"), F.lit("")).alias("name"),
+                    count_words(F.col(f"`{text_col}`")).alias("size"), *row_identity(docs))
+    d = d.groupBy(*d.columns).agg(F.count("*").alias("times"))
+    d = store(d.withColumn("h", F.coalesce(F.md5(F.col("id").cast("string")), F.lit(""))), "mix-rows")
+    d = store(d.repartitionByRange(max(1, math.ceil(d.count() / block_rows)), "is_null", "name", *SUPPLY)
+              .withColumn("block", F.spark_partition_id()), "mix-blocks")
+
+    words = F.col("size") * F.col("times")
+    blocks = d.groupBy("is_null", "name", "block").agg(F.sum(words).alias("words"))
     targets = source_targets(blocks.groupBy("is_null", "name").agg(F.sum("words").alias("source_size")),
                              weights, total_share, most_repeats)
     earlier = W.partitionBy("is_null", "name").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
@@ -110,10 +122,24 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
                            F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("block_start"))
     blocks = blocks.join(targets, ["is_null", "name"])
 
-    inside = (W.partitionBy("is_null", "name", "block").orderBy("h", "id", "size", "text_hash")
-              .rowsBetween(W.unboundedPreceding, -1))
-    d = d.join(blocks, ["is_null", "name", "block"])
-    d = d.withColumn("start", F.col("block_start") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    inside = (W.partitionBy("is_null", "name", "block").orderBy(*SUPPLY).rowsBetween(W.unboundedPreceding, -1))
+    d = d.withColumn("before", F.coalesce(F.sum(words).over(inside), F.lit(0)))
+    return d.join(blocks, ["is_null", "name", "block"]).withColumn("start", F.col("block_start") + F.col("before"))
+
+
+def _documents(supply: DataFrame) -> DataFrame:
+    """A row per document: equal rows, which follow each other, are told apart again, in
+    portions, so that no task writes all documents of one row."""
+    portions = F.sequence(F.lit(0).cast("long"), F.col("times") - 1, F.lit(PORTION).cast("long"))
+    one, more = supply.where("times = 1"), supply.where("times > 1")
+    more = more.withColumn("portion", F.explode(portions)).repartition("i1", "portion")
+    nth = F.explode(F.sequence("portion", F.least(F.col("portion") + PORTION, F.col("times")) - 1))
+    more = more.withColumn("nth", nth).withColumn("start", F.col("start") + F.col("nth") * F.col("size"))
+    return one.unionByName(more.select(*one.columns))
+
+
+def _taken(d: DataFrame, schedules: Sequence[Knots], most_repeats: int) -> DataFrame:
+    """``copies`` and ``positions`` (training times, one per copy) of each document."""
     middle = [2 * (F.col("start") + e * F.col("source_size")) + F.col("size") for e in range(most_repeats)]
     taken = [(F.col("size") > 0) & (m < 2 * F.col("target")) for m in middle]
 
@@ -126,33 +152,55 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
 
     positions = F.filter(F.array(*[F.when(t, position(m)) for t, m in zip(taken, middle)]),
                          lambda p: p.isNotNull())
-    copies = sum(t.cast("int") for t in taken)
+    return d.withColumns({"copies": sum(t.cast("int") for t in taken), "positions": positions})
+
+
+def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+             weights: Sequence[int] = WEIGHTS, schedules: Sequence[Knots] = SCHEDULES,
+             total_share: float = 1.5, most_repeats: int = 2, block_rows: int = 20_000) -> DataFrame:
+    """One row per document: ``id, text_hash, source, size, source_size, target, copies, taken,
+    positions`` (training times in 0 to 1, one per copy).
+
+    Supply order: md5 of the id, then id, size, text hash and hash of the whole row. Copy e
+    of a document covers words e * source_size + offset onwards; it is taken when its
+    middle lies before the target, so a source misses its target by half a document at most.
+
+    * null text: size 0, taken 0 words, no copies. A document of any length is never cut.
+    * null source: a source of its own, last in order. Null id: md5 '' sorts first.
+    * repeated rows are documents of their own, one after another, however many. Ties of
+      position stay ties. Empty table: no rows. Names of other columns can't clash.
+    """
+    d = _taken(_documents(_supply(docs, id_col, text_col, source_col, weights, total_share, most_repeats, block_rows)),
+               schedules, most_repeats)
     return d.select("id", "text_hash", F.when(~F.col("is_null"), F.col("name")).alias("source"),
-                    "size", "source_size", "target", copies.alias("copies"),
-                    (copies * F.col("size")).cast("long").alias("taken"), positions.alias("positions"))
+                    "size", "source_size", "target", "copies",
+                    (F.col("copies") * F.col("size")).cast("long").alias("taken"), "positions")
 
 
 def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  source_col: str = "source", **options) -> DataFrame:
-    """The mix itself: the rows of ``docs`` (its columns only), each as often as it is
-    taken, range-sorted by training position. Takes the options of ``plan_mix``.
-
-    Repeated rows (same id, text and source) share their plan entries out by number.
+                  source_col: str = "source", weights: Sequence[int] = WEIGHTS,
+                  schedules: Sequence[Knots] = SCHEDULES, total_share: float = 1.5, most_repeats: int = 2,
+                  block_rows: int = 20_000) -> DataFrame:
+    """The mix itself: the rows of ``docs`` (its columns only), each as often as ``plan_mix`` with
+    the same options takes it, range-sorted by training position.
+
+    Nulls, empty and very long texts, repeated rows and the empty table as in ``plan_mix``. Rows
+    meet their plan by a hash of the whole row. A row that stands once meets one plan row; of
+    rows that repeat, one is kept and joined to the positions of all, so that Spark can
+    split the join where one row stands for a third of the table.
     """
-    keys = ["k1", "k2"]
-
-    def keyed(id_: Column, text_hash: Column, source: Column) -> list[Column]:
-        return [F.xxhash64(id_.isNull(), id_, text_hash, source.isNull(), source).alias("k1"),
-                text_hash.alias("k2")]
-
-    plan = (plan_mix(docs, id_col, text_col, source_col, **options).where("copies > 0")
-            .select(*keyed(F.col("id"), F.col("text_hash"), F.col("source")), "positions")
-            .groupBy(*keys).agg(F.collect_list("positions").alias("entries")))
-    rows = docs.select(F.struct(*docs.columns).alias("row"),
-                       *keyed(F.col(id_col), F.xxhash64(text_col), F.col(source_col)))
-    number = F.row_number().over(W.partitionBy(*keys).orderBy(*keys))
-    out = rows.join(plan, keys).withColumn("mine", F.get("entries", number - 1))
-    out = out.select("row", F.explode("mine").alias("position"))
+    supply = store(_supply(docs, id_col, text_col, source_col, weights, total_share, most_repeats, block_rows)
+                   .where("size > 0"), "mix-supply")
+    keys = ["i1", "i2"]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *row_identity(docs))
+
+    once = _taken(supply.where("times = 1"), schedules, most_repeats).where("copies > 0").select(*keys, "positions")
+    out = rows.join(once, keys).select("row", F.explode("positions").alias("position"))
+    often = supply.where("times > 1")
+    if not often.isEmpty():
+        kept = store(rows.join(often.select(*keys), keys).groupBy(*keys).agg(F.first("row").alias("row")), "mix-repeated")
+        places = _taken(_documents(often), schedules, most_repeats).select(*keys, F.explode("positions").alias("position"))
+        out = out.unionByName(store(places, "mix-places").join(kept, keys).select("row", "position"))
     return out.repartitionByRange("position").sortWithinPartitions("position").select("row.*")
 
 
@@ -169,8 +217,7 @@ MIX_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, source IS NULL AS is_null, coalesce(source, '') AS name,
          md5(coalesce(doc_id::VARCHAR, '')) AS h,
-         len(regexp_extract_all(coalesce(text, ''), '[^ 	-
-]+'))::BIGINT AS size
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
   FROM documents),
 s AS (
   SELECT is_null, name, sum(size)::BIGINT AS source_size,

@@ -1,10 +1,13 @@
+import hashlib
 import math
+from collections import Counter
 
 import duckdb
 import pytest
 from llm_helpers import documents, prose, rows_of
 from pyspark.sql import functions as F
 
+from ledgerwalk.llm import mixing
 from ledgerwalk.llm.mixing import MIX_SQL, SCHEDULES, mix_documents, mix_report, plan_mix, position_at
 
 COLUMNS = ("doc_id", "size", "source_size", "target", "taken", "first_position", "second_position")
@@ -26,6 +29,86 @@ def test_against_sql(spark):
         assert a == b
 
 
+def test_sql_and_query_part_words_alike(spark):
+    """Carriage return, vertical tab and form feed part words; other control characters don't."""
+    texts = ["a b\rc\x0bd e", "\x0c\x0cf\r\ng", "h\x1ci\x85j k", "\r", "l\tm\n\nn"]
+    df = documents(spark, [(i, t, "s") for i, t in enumerate(texts)])
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    want = sorted(con.sql(MIX_SQL).fetchall())
+    assert [r[1] for r in want] == [5, 2, 2, 0, 3] and rows_of(mix_report(df), *COLUMNS) == want
+
+
+def plain_copies(rows, weights=(3, 1, 2)):
+    """(id, text, source) -> copies of each document, in sorted order of (id, text, source)."""
+    key = lambda r: (r[2] is None, r[2] or "")
+    names = sorted({key(r) for r in rows})
+    size = {n: sum(len((r[1] or "").split()) for r in rows if key(r) == n) for n in names}
+    target, left, open_ = {}, 1.5 * sum(size.values()), list(names)
+    while open_:
+        level = left / sum(weights[names.index(n) % 3] for n in open_)
+        full = [n for n in open_ if level * weights[names.index(n) % 3] > 2 * size[n]]
+        if not full:
+            target |= {n: level * weights[names.index(n) % 3] for n in open_}
+            break
+        for n in full:
+            target[n] = 2 * size[n]
+            left -= target[n]
+            open_.remove(n)
+    out = Counter()
+    for n in names:
+        # equal rows follow each other; between rows of different ids the order is md5's
+        mine = sorted((r for r in rows if key(r) == n), key=lambda r: ("" if r[0] is None else hashlib.md5(str(r[0]).encode()).hexdigest()))
+        at = 0
+        for r in mine:
+            k = len((r[1] or "").split())
+            out[r] += sum(k > 0 and 2 * (at + e * size[n]) + k < 2 * target[n] for e in range(2))
+            at += k
+    return out
+
+
+def test_copies_equal_a_plain_walk_with_hot_groups(spark):
+    """A third of all rows is one row, a third lacks an id (each with a text of its own or all
+    with the same), a third is ordinary; the mix takes each row as often as a plain walk."""
+    ordinary = [(i, prose(i, 1 + i * 7 % 40), ["a", "b", None][i % 3]) for i in range(400)]
+    rows = ordinary + [(5_000, "the same row again", "a")] * 400 + [(None, "no id at all here", "b")] * 400
+    df = documents(spark, rows).repartition(6)
+    mixed = mix_documents(df, block_rows=25)
+    got = Counter((r["doc_id"], r["text"], r["source"]) for r in mixed.collect())
+    assert got == +plain_copies(rows)
+    plan = Counter()
+    for r in plan_mix(df, block_rows=25).collect():
+        plan[r["id"], r["source"]] += r["copies"]
+    want = Counter()
+    for (i, _, source), k in plain_copies(rows).items():
+        want[i, source] += k
+    assert +plan == +want and mixed.schema == df.schema
+
+
+def test_no_block_holds_a_hot_group(spark):
+    """Rows of one id, of no id, and equal rows: blocks stay near their size."""
+    rows = ([(None, f"text number {i}", "s") for i in range(2_000)] + [(7, f"other text {i}", "s") for i in range(2_000)]
+            + [(8, "the same", "s")] * 2_000)
+    supply = mixing._supply(documents(spark, rows), "doc_id", "text", "source", (3, 1, 2), 1.5, 2, 100)
+    sizes = [r["count"] for r in supply.groupBy("block").count().collect()]
+    assert sum(sizes) == 4_001 and max(sizes) <= 300
+    again = [r["times"] for r in supply.where("times > 1").collect()]
+    assert again == [2_000]
+
+
+def test_positions_of_equal_rows_are_spread_in_portions(spark, monkeypatch):
+    df = documents(spark, [(1, "a b", "s")] * 50 + [(2, "c", "s")])
+    want = rows_of(plan_mix(df), "id", "copies", "positions")
+    monkeypatch.setattr(mixing, "PORTION", 7)
+    assert rows_of(plan_mix(df), "id", "copies", "positions") == want and len(want) == 51
+    assert mix_documents(df).count() == sum(r[1] for r in want)
+
+
+def test_columns_that_hold_maps(spark):
+    df = documents(spark, [(1, "a b c", "s"), (2, "d", "s")]).withColumn("meta", F.create_map(F.lit("k"), F.col("text")))
+    assert mix_documents(df).schema == df.schema and mix_documents(df).count() > 0
+
+
 def test_targets_and_limits(spark):
     rows = mix_report(documents(spark, corpus(400))).collect()
     total = sum(r["size"] for r in rows)

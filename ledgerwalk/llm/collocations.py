@@ -20,10 +20,10 @@ from .common import LOWER, UPPER, small_batches, store
 
 #: Candidates of one trie; more go into further tries, each with a pass of its own.
 TRIE_PHRASES = 1_000_000
-#: Distinct words that a task counts, and words that it remembers the ids of.
-COUNTED, MEMO_WORDS = 500_000, 1_000_000
-#: Ids of one stored array, and proposals that a task sums before it passes them on.
-ARRAY_IDS, PROPOSED = 1_000_000, 4_000_000
+#: Distinct words of a language that a task counts, and that it remembers the ids of.
+COUNTED = MEMO_WORDS = 250_000
+#: Ids of one stored array; proposals that a task sums at once, and holds before it passes them on.
+ARRAY_IDS, SUMMED, PROPOSED = 250_000, 750_000, 2_000_000
 #: Bits of the filter that tells frequent words, at least and at most (16 MB).
 LEAST_BITS, MOST_BITS = 16, 27
 
@@ -51,26 +51,25 @@ def _count_words(seed: int):
     def count(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        def emit():
-            keys = list(total)
-            return pa.record_batch([pa.array([k[0].decode() for k in keys], pa.string()),
-                                    pa.array([k[1].decode() for k in keys], pa.string()),
-                                    pa.array([word_id(seed, *k) for k in keys], pa.int64()),
-                                    pa.array([total[k] for k in keys], pa.int64())], ["lang", "word", "id", "n"])
-
-        total: Counter = Counter()
+        def emit(lang):
+            found = total.pop(lang)
+            found.pop(_GAPS, None)
+            words, begin = list(found), lang.encode()
+            for at in range(0, len(words), 50_000):
+                part = words[at:at + 50_000]
+                yield pa.record_batch([pa.array([lang] * len(part), pa.string()),
+                                       pa.array([w.decode() for w in part], pa.string()),
+                                       pa.array([word_id(seed, begin, w) for w in part], pa.int64()),
+                                       pa.array([found[w] for w in part], pa.int64())], ["lang", "word", "id", "n"])
+
+        total: dict[str, Counter] = {}
         for b in batches:
             for lang, text in zip(b["lang"].to_pylist(), b["text"].to_pylist()):
-                found = Counter(words_and_gaps(text))
-                found.pop(_GAPS, None)
-                lang = lang.encode()
-                for w, n in found.items():
-                    total[lang, w] += n
-            if len(total) > COUNTED:
-                yield emit()
-                total = Counter()
-        if total:
-            yield emit()
+                total.setdefault(lang, Counter()).update(words_and_gaps(text))
+                if len(total[lang]) > COUNTED:
+                    yield from emit(lang)
+        for lang in list(total):
+            yield from emit(lang)
     return count
 
 
@@ -104,7 +103,7 @@ def _numbered(seed: int, frequent):
                 held.append(np.zeros(1, dtype=np.int64))
                 n += len(words) + 1
                 if len(memo) > MEMO_WORDS:
-                    memos.pop(lang)
+                    memos.pop(lang)  # rare words fill it; the frequent ones are soon back
                 if n >= ARRAY_IDS:
                     yield array()
                     held, n = [], 0
@@ -244,29 +243,47 @@ def _advance(trie, propose: bool):
                                        pa.array(following[s]), pa.array(n[s])], names)
 
         def proposals():
-            phrase, following = (np.concatenate(x) for x in zip(*held))
-            next_ids, code = np.unique(following, return_inverse=True)
-            keys, n = np.unique(phrase * len(next_ids) + code, return_counts=True)
-            phrase, code = np.divmod(keys, len(next_ids))
-            yield from rows(phrase, next_ids[code], n)
-
-        size = 0
+            keys, n = summed
+            yield from rows(keys >> 32, np.array(known, dtype=np.int64)[keys & 0xFFFFFFFF], n)
+
+        def sum_up():
+            new, n = np.unique(np.concatenate(held), return_counts=True)
+            keys = np.concatenate([summed[0], new])
+            order = np.argsort(keys, kind="stable")
+            keys, n = keys[order], np.concatenate([summed[1], n])[order]
+            first = np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1])))
+            return keys[first], np.add.reduceat(n, first) if len(first) else n
+
+        none = np.empty(0, np.int64)
+        summed, waiting = (none, none), 0
+        number: dict[int, int] = {}  # following words by order of appearance in the task
+        known: list[int] = []
         for b in batches:
             for packed in b["ids"].to_pylist():
                 ids = np.frombuffer(unpack(packed), dtype="<i8")
                 at, state = t.accepted(ids)
                 counts += np.bincount(state, minlength=len(counts))
-                if propose:
+                if propose and len(at):
                     after = at + t.paths.shape[1]
-                    inside = after < len(ids)
-                    following = ids[after[inside]]
+                    on = after < len(ids)
+                    following = ids[after[on]]
                     some = following != 0
-                    held.append((t.phrase[state[inside][some]].astype(np.int64), following[some]))
-                    size += int(some.sum())
-                    if size >= PROPOSED:
-                        yield from proposals()
-                        held, size = [], 0
-        if size:
+                    distinct, code = np.unique(following[some], return_inverse=True)
+                    for i in distinct.tolist():
+                        if i not in number:
+                            number[i] = len(known)
+                            known.append(i)
+                    code = np.array([number[i] for i in distinct.tolist()], dtype=np.int64)[code]
+                    held.append(t.phrase[state[on][some]].astype(np.int64) << 32 | code)
+                    waiting += len(code)
+                    if waiting >= SUMMED:
+                        summed, held, waiting = sum_up(), [], 0
+                        if len(summed[0]) >= PROPOSED:
+                            yield from proposals()
+                            summed, number, known = (none, none), {}, []
+        if waiting:
+            summed = sum_up()
+        if len(summed[0]):
             yield from proposals()
         n = counts[t.states]
         seen = np.flatnonzero(n)
@@ -293,7 +310,8 @@ def count_candidates(ids: DataFrame, candidates: DataFrame, length: int, at_leas
         paths = np.column_stack([part[c].to_numpy() for c in names])
         trie = spark.sparkContext.broadcast(Trie.build(paths))
         rows = ids.mapInArrow(_advance(trie, propose), ", ".join(f"{c} long" for c in [*names, "next", "n"]))
-        rows = store(rows.groupBy(*names, "next").agg(F.sum("n").alias("n")).where(F.col("n") >= at_least),
+        # a task's rows are distinct already, so they are dealt out before they are summed
+        rows = store(rows.repartition(*names, "next").groupBy(*names, "next").agg(F.sum("n").alias("n")).where(F.col("n") >= at_least),
                      f"phrases-{length}")
         trie.unpersist()
         found = rows if found is None else found.unionByName(rows)

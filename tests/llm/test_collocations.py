@@ -60,7 +60,9 @@ def corpus(seed, n=120):
 def test_collocations_equal_brute_force(spark, monkeypatch, seed, at_least, tries):
     monkeypatch.setattr(C, "TRIE_PHRASES", tries)
     monkeypatch.setattr(C, "ARRAY_IDS", 50)
+    monkeypatch.setattr(C, "SUMMED", 40)
     monkeypatch.setattr(C, "PROPOSED", 200)
+    monkeypatch.setattr(C, "COUNTED", 6)
     rows = corpus(seed)
     assert got(C.collocations(frame(spark, rows).repartition(3), at_least=at_least)) == plain_collocations(rows, at_least)
 

@@ -6,11 +6,12 @@ cross certain places in a text needs to encode each chunk between such places on
 * a byte-level tokenizer (no normaliser, GPT-2 pattern): every pre-token is one of
   `` ?letters``, `` ?digits``, `` ?others`` or white space, so a lone space between two
   characters that aren't white space always begins a new pre-token;
-* a tokenizer that drops white space and whose normaliser doesn't compose across it:
-  any ASCII white space.
+* the tokenizer whose normaliser and pre-tokenizer are ``WORDS`` below, which drops white
+  space and doesn't compose across it: any space or line feed.
 
-The ids come from the library in either case, and for any other tokenizer each whole
-text is given to it.
+The ids come from the library in either case. Any other tokenizer, and one with an added
+token that could stand inside a chunk of letters, gets each whole text: the fast paths are
+taken only for the exact settings that they were written for.
 """
 
 from __future__ import annotations
@@ -27,12 +28,34 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 MEMO_CHUNKS = 500_000
 #: Where a space doesn't stand alone between characters that aren't white space.
 _ODD_SPACE = re.compile(r"\A\s| \s|[\s\x1c-\x1f\x85] | \Z|[\u180e\u200b\u2060\ufeff] | [\u180e\u200b\u2060\ufeff]")
-_DROPS_SPACE = r"[^\s\p{L}\p{N}]+"
+#: The settings of the tokenizer files that the fast paths are for.
+WORDS = (
+    {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]})
+BYTES = (None, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True})
 #: Byte-level alphabet: printable Latin-1 stands for itself, other bytes follow from U+0100.
 _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTES = {b: b if b in _SHOWN else 256 + sum(x not in _SHOWN for x in range(b)) for b in range(256)}
 
 
+def fast_mode(spec: dict) -> str:
+    """``byte``, ``space`` or, for any file that isn't exactly as expected, ``whole``."""
+    for token in spec.get("added_tokens") or []:
+        content = token["content"]
+        # neither white space, which parts chunks, nor letters, full stops and commas alone
+        apart = any(not c.isalpha() and c not in ".," for c in content) and not re.search(r"\s", content)
+        if not apart or token["lstrip"] or token["rstrip"] or token["single_word"]:
+            return "whole"
+    if spec["model"].get("type") != "BPE" or spec["model"].get("dropout"):
+        return "whole"
+    settings = (spec.get("normalizer"), spec.get("pre_tokenizer"))
+    return "byte" if settings == BYTES else "space" if settings == WORDS else "whole"
+
+
 def _latin_word(chunk: str) -> bool:
     """Letters only, all below U+0250 and with a lower case of one letter: normal in NFC and
     one pre-token for either kind of tokenizer."""
@@ -78,16 +101,7 @@ class Encoder:
         self.tokenizer.no_padding()
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        pre, specials = spec.get("pre_tokenizer") or {}, spec.get("added_tokens") or []
-        plain = not any(re.search(r"\s", t["content"]) or t["lstrip"] or t["rstrip"] or t["single_word"]
-                        for t in specials)
-        if plain and not spec.get("normalizer") and pre.get("type") == "ByteLevel" \
-                and pre.get("use_regex", True) and not pre.get("add_prefix_space", True):
-            self.mode = "byte"
-        first = (pre.get("pretokenizers") or [{}])[0]
-        if plain and first.get("type") == "Split" and first.get("invert") and first["behavior"] == "Removed" \
-                and _DROPS_SPACE in str(first["pattern"].get("Regex")):
-            self.mode = "space"
+        self.mode = fast_mode(spec)
         if self.mode != "whole":
             self.model = self.tokenizer.model
             self.marks = {m: array("I", ids).tobytes() for m, ids in zip(".,", self._encode([".", ","]))}

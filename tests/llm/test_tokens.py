@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -42,6 +43,54 @@ def test_ids_are_the_library_s(path):
         assert [np.frombuffer(b, dtype=np.uint32).tolist() for b in enc.ids(part)] == library_ids(path, part)
 
 
+def altered(path, tmp_path, change):
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    change(spec)
+    out = tmp_path / "altered.json"
+    out.write_text(json.dumps(spec), encoding="utf-8")
+    return str(out)
+
+
+def added(content, **options):
+    def change(spec):
+        n = max(spec["model"]["vocab"].values()) + 100
+        spec["added_tokens"].append({"id": n, "content": content, "single_word": False, "lstrip": False, "rstrip": False,
+                                     "normalized": False, "special": True} | options)
+        spec["model"]["vocab"][content] = n
+    return change
+
+
+ALTERED = {
+    "no normaliser": (WORD, lambda s: s.update(normalizer=None)),
+    "NFC alone": (WORD, lambda s: s.update(normalizer={"type": "NFC"})),
+    "lower case first": (WORD, lambda s: s["normalizer"]["normalizers"].insert(0, {"type": "StripAccents"})),
+    "digits together": (WORD, lambda s: s["pre_tokenizer"]["pretokenizers"][0]["pattern"].update(
+        Regex=r"'s|[\p{L}]+|[\p{N}]+|[^\s\p{L}\p{N}]+")),
+    "a word is added": (WORD, added("hello")), "a part of a word is added": (WORD, added("orl", normalized=True)),
+    "a word and stop are added": (WORD, added("d.")), "a stop is added": (BYTE, added(".")),
+    "a word is added to bytes": (BYTE, added("Hello")), "it takes the space before it": (BYTE, added("<x>", lstrip=True)),
+    "a space before the text": (BYTE, lambda s: s["pre_tokenizer"].update(add_prefix_space=True)),
+    "lower case for bytes": (BYTE, lambda s: s.update(normalizer={"type": "Lowercase"})),
+    "no pattern": (BYTE, lambda s: s["pre_tokenizer"].update(use_regex=False)),
+    "another sign is added": (WORD, added("<x>")),
+}
+
+
+@pytest.mark.parametrize("name", ALTERED)
+def test_altered_tokenizers_give_the_library_s_ids(name, tmp_path):
+    path = altered(*(ALTERED[name][0], tmp_path, ALTERED[name][1]))
+    rnd, enc = random.Random(3), Encoder(path)
+    texts = ["Hello World again", "hello world. hello, world.", "a <x> b<x>", "É é 2024 12", " lead", "", "worldhello"]
+    texts += ["".join(rnd.choice(ODD + ["hello", "Hello", "World", "world."]) for _ in range(30)) for _ in range(200)]
+    assert [np.frombuffer(b, dtype=np.uint32).tolist() for b in enc.ids(texts)] == library_ids(path, texts)
+    assert enc.mode == ("space" if name == "another sign is added" else "whole")
+
+
+def test_the_given_files_take_the_fast_paths():
+    assert [Encoder(p).mode for p in (WORD, BYTE, PIECE)] == ["space", "byte", "whole"]
+
+
 def test_a_full_memo_changes_nothing(monkeypatch):
     monkeypatch.setattr(encode, "MEMO_CHUNKS", 20)
     texts = [prose(s, 60) for s in range(30)]

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerwalk.session import run_folder
 
-from .common import small_batches
+from .common import small_batches, store
 
 CACHE_SCHEMA = "digest binary, n_tokens long, tokenizer string"
 
@@ -38,9 +38,8 @@ def tokenizer_digest(path: str) -> str:
 def read_cache(spark: SparkSession, path: str, tokenizer: str) -> DataFrame:
     """``digest, n_tokens`` stored for one tokenizer. A cache that doesn't exist yet is empty.
 
-    Only digests that it lacks are ever appended, so a digest has one row as long as one
-    run writes at a time. Read without an aggregate, so that joins with it can be
-    broadcast by its size or split at a frequent digest.
+    Two runs at a time may append the same digest; ``one_per_digest`` settles that. Read without
+    an aggregate, so that joins with it can be broadcast by its size or split at a frequent digest.
     """
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     if at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
@@ -50,6 +49,14 @@ def read_cache(spark: SparkSession, path: str, tokenizer: str) -> DataFrame:
     return stored.where(F.col("tokenizer") == tokenizer).select("digest", "n_tokens")
 
 
+def one_per_digest(cache: DataFrame) -> DataFrame:
+    """The cache with one row per digest. Equal contents have equal counts, so any row will do;
+    only a cache that two runs have written to at once is stored anew."""
+    if cache.groupBy("digest").count().where("count > 1").isEmpty():
+        return cache
+    return store(cache.groupBy("digest").agg(F.min("n_tokens").alias("n_tokens")), "token-cache-once")
+
+
 def _distinct_packed(batches: Iterator) -> Iterator:
     """(digest, text) -> (digest, compressed text), each content once per task."""
     import pyarrow as pa
@@ -93,7 +100,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str, id_col:
 
     * null or empty text: 0 bytes, 0 tokens. Null ids and repeated rows stay as they are.
     * texts of any length are encoded whole. Empty table: no rows, the cache unchanged.
-    * other columns of ``docs`` aren't read.
+    * a digest that two runs have appended counts once. Other columns of ``docs`` aren't read.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -105,7 +112,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str, id_col:
     (misses.mapInArrow(_encode_distinct(tokenizer_path), "digest binary, n_tokens long")
      .withColumn("tokenizer", F.lit(tokenizer)).write.mode("append").partitionBy("tokenizer").parquet(cache_path))
     return (content.select("id", "digest", F.octet_length("text").cast("long").alias("n_bytes"))
-            .join(read_cache(spark, cache_path, tokenizer), "digest", "left")
+            .join(one_per_digest(read_cache(spark, cache_path, tokenizer)), "digest", "left")
             .select("id", "n_bytes", F.coalesce("n_tokens", F.lit(0)).alias("n_tokens")))
 
 

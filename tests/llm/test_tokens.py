@@ -120,6 +120,15 @@ def test_counts_and_cache(spark, tmp_path):
     assert read_cache(spark, cache, tokenizer_digest(BYTE)).count() == 9
 
 
+def test_a_digest_that_two_runs_appended_counts_once(spark, tmp_path):
+    cache = str(tmp_path / "cache")
+    df = documents(spark, [(1, "some text"), (2, "some text"), (3, "other")])
+    want = sorted(tuple(r) for r in count_tokens(df, BYTE, cache).collect())
+    spark.read.parquet(cache).cache().write.mode("append").partitionBy("tokenizer").parquet(cache)
+    assert read_cache(spark, cache, tokenizer_digest(BYTE)).count() == 4
+    assert sorted(tuple(r) for r in count_tokens(df, BYTE, cache).collect()) == want
+
+
 def test_only_misses_are_encoded(spark, tmp_path):
     """A count that is in the cache is used as it stands."""
     cache = str(tmp_path / "cache")

@@ -4,7 +4,9 @@ Unit vectors are compared by the chord metric, in which cosine >= c means a dist
 at most eps = sqrt(2 - 2c). Pivots partition the vectors of a label into cells (nearest
 pivot). A vector is replicated to every other cell that may hold a partner, by the
 triangle inequality; cells are then joined independently. A vector counts its links in
-its home cell only, where all its partners are, at home or as replicas.
+its home cell only, where all its partners are, at home or as replicas. The first pivots
+go to all tasks and are bounded; cells that are large all the same are parted by pivots
+of their own, which only their rows meet.
 """
 
 from __future__ import annotations
@@ -17,8 +19,11 @@ from pyspark.sql import DataFrame, functions as F
 from .common import bounded_sample, small_batches, store
 from .groups import components, in_blocks, spanning_edges, whole_groups
 
-#: Distinct vectors aimed at per cell, and the most pivots (of all labels) that tasks get.
+#: Distinct vectors aimed at per cell, and the most pivots (of all labels) that tasks get at first.
 CELL, MOST_PIVOTS = 2_000, 4_096
+#: Rows beyond which a cell is parted by pivots of its own, about so many at most, in so many rounds;
+#: rows of a portion of it, and parts a row may go to on average if parting is to pay.
+LARGE, PARTS, MOST_LEVELS, PORTION, MOST_REPLICAS = 8_000, 256, 6, 50_000, 6
 #: Vectors of a cell that a task compares at once; beyond, blocks.
 BLOCK = 4_096
 #: Rows and columns of one tile of cosines.
@@ -41,46 +46,179 @@ def _distances(x, pivots):
     return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (x @ pivots.T)))
 
 
-def _cells(pivots_of: dict, radius: dict | None, eps: float):
-    """Without radii: each vector's home cell and its distance. With them: a row for the home
-    cell and for each cell of the label that the bounds don't rule out. A label without
-    pivots is one cell."""
+def _near_cells(x, pivots, radius, eps: float):
+    """(row, cell, whether it is the row's home) for the home cell of each row of ``x`` and every
+    other cell that the bounds don't rule out for a partner of the row."""
+    import numpy as np
+
+    d = _distances(x, pivots)
+    home = d.argmin(axis=1)
+    own = d[np.arange(len(x)), home]
+    between = _distances(pivots, pivots)[home]
+    # a partner y in cell k is no farther from pivot k than from x's home pivot, and
+    # d(x, y) <= eps; by the triangle inequality
+    keep = (d <= own[:, None] + 2 * eps + SLACK) & (d <= radius + eps + SLACK)
+    # and eps reaches over the bisector of the two pivots (distance of x to it)
+    keep &= d * d - (own * own)[:, None] <= 2 * between * eps + SLACK
+    keep[np.arange(len(x)), home] = True
+    row, cell = np.nonzero(keep)
+    return row, cell, cell == home[row]
+
+
+def _by_label(labels):
+    """(label, rows) of an Arrow column: one sort a batch, however many labels it holds."""
+    import numpy as np
+
+    words = labels.dictionary_encode()
+    code = words.indices.to_numpy(zero_copy_only=False)
+    order = np.argsort(code, kind="stable")
+    starts = np.flatnonzero(np.concatenate((np.ones(min(1, len(code)), bool), np.diff(code[order]) != 0)))
+    names = words.dictionary.to_pylist()
+    for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(order)]):
+        yield names[code[order[s]]], order[s:e]
+
+
+def _radii(pivots_of: dict):
+    """Each vector's home cell and its distance, for labels with pivots."""
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for b in batches:
+            for label, at in _by_label(b["label"]):
+                if label in pivots_of:
+                    d = _distances(unit_rows(b["vector"].take(pa.array(at))), pivots_of[label])
+                    yield pa.record_batch([pa.array([label] * len(at), b["label"].type),
+                                           pa.array(d.argmin(axis=1), pa.int32()), pa.array(d.min(axis=1))],
+                                          ["label", "cell", "r"])
+    return run
+
+
+def _cells(pivots_of: dict, radius: dict, eps: float):
+    """A row for each vector's home cell and for each cell that may hold a partner. Labels
+    without pivots are one cell each."""
     def assign(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
+        names = ["label", "cell", "home", "node", "copies", "vector"]
         for b in batches:
-            labels = b["label"].to_pylist()
-            for label in dict.fromkeys(labels):
-                at = np.flatnonzero([x == label for x in labels])
-                part = b.take(pa.array(at))
-                pivots = pivots_of.get(label)
-                if pivots is None:
-                    row, cell, home = np.arange(len(at)), np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
-                    if radius is None:
-                        continue
-                else:
-                    d = _distances(unit_rows(part["vector"]), pivots)
-                    home = d.argmin(axis=1)
-                    own = d[np.arange(len(at)), home]
-                    if radius is None:
-                        yield pa.record_batch([part["label"], pa.array(home, pa.int32()), pa.array(own)],
-                                              ["label", "cell", "r"])
-                        continue
-                    r = np.array([radius.get((label, k), -4.0) for k in range(len(pivots))])
-                    between = _distances(pivots, pivots)[home]
-                    # a partner y in cell k is no farther from pivot k than from x's home pivot, and
-                    # d(x, y) <= eps; by the triangle inequality
-                    keep = (d <= own[:, None] + 2 * eps + SLACK) & (d <= r + eps + SLACK)
-                    # and eps reaches over the bisector of the two pivots (distance of x to it)
-                    keep &= d * d - (own * own)[:, None] <= 2 * between * eps + SLACK
-                    keep[np.arange(len(at)), home] = True
-                    row, cell = np.nonzero(keep)
+            alone = []
+            for label, at in _by_label(b["label"]):
+                if label not in pivots_of:
+                    alone.append(at)
+                    continue
+                part, pivots = b.take(pa.array(at)), pivots_of[label]
+                r = np.array([radius.get((label, k), -4.0) for k in range(len(pivots))])
+                row, cell, home = _near_cells(unit_rows(part["vector"]), pivots, r, eps)
                 out = part.take(pa.array(row))
-                yield pa.record_batch([out["label"], pa.array(cell, pa.int32()), pa.array(cell == home[row]),
+                yield pa.record_batch([out["label"], pa.array(cell.astype(str).tolist(), pa.string()), pa.array(home),
+                                       out["node"], out["copies"], out["vector"]], names)
+            if alone:
+                out = b.take(pa.array(np.concatenate(alone)))
+                yield pa.record_batch([out["label"], pa.array(["0"] * len(out), pa.string()),
+                                       pa.array([True] * len(out)), out["node"], out["copies"], out["vector"]], names)
+    return assign
+
+
+def _part_cells(eps: float | None, count_only: bool):
+    """Rows of cells with, before each cell's rows, a row of its own pivots. Without ``eps``: the
+    distances to the nearest ones; else the rows of the parts that a row belongs to, or
+    (``count_only``) how many those are."""
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        key, pivots, radius = None, None, None
+        for b in batches:
+            label, cell = b["label"].to_pylist(), b["cell"].to_pylist()
+            portion = b["portion"].to_pylist()
+            edges = [i for i in range(len(label)) if not i or (label[i], cell[i], portion[i]) != (label[i - 1], cell[i - 1], portion[i - 1])]
+            for s, e in zip(edges, [*edges[1:], len(label)]):
+                part = b.slice(s, e - s)
+                if (label[s], cell[s], portion[s]) != key:  # its first row holds the pivots
+                    key = (label[s], cell[s], portion[s])
+                    own = part["pivots"][0].as_py()
+                    pivots = np.array([p["vector"] for p in own], dtype=np.float64)
+                    pivots /= np.sqrt((pivots * pivots).sum(axis=1, keepdims=True))
+                    radius = np.array([-4.0 if p["r"] is None else p["r"] for p in own])
+                    part = part.slice(1)
+                if not part.num_rows:
+                    continue
+                x = unit_rows(part["vector"])
+                if eps is None:
+                    d = _distances(x, pivots)
+                    yield pa.record_batch([part["label"], part["cell"], pa.array(d.argmin(axis=1), pa.int32()),
+                                           pa.array(d.min(axis=1))], ["label", "cell", "part", "r"])
+                    continue
+                row, sub, home = _near_cells(x, pivots, radius, eps)
+                if count_only:
+                    yield pa.record_batch([part["label"][:1], part["cell"][:1], pa.array([len(row)], pa.int64())],
+                                          ["label", "cell", "n"])
+                    continue
+                out = part.take(pa.array(row))
+                path = [f"{key[1]}.{k}" for k in sub.tolist()]
+                both = home & out["home"].to_numpy(zero_copy_only=False)
+                yield pa.record_batch([out["label"], pa.array(path, pa.string()), pa.array(both),
                                        out["node"], out["copies"], out["vector"]],
                                       ["label", "cell", "home", "node", "copies", "vector"])
-    return assign
+    return run
+
+
+def part_large_cells(cells: DataFrame, eps: float) -> DataFrame:
+    """``cells`` in which those of more than ``LARGE`` rows are parted by pivots of their own, in
+    rounds; whatever the number of vectors, so are the cells.
+
+    A cell's pivots, up to about ``PARTS``, are picked by hash, and meet its rows as the first
+    row of each of its portions, so that no task holds a whole cell and no pivots are
+    collected. A row stays at home in a part if it was at home in the cell, so it meets
+    all its partners there. A cell that its bounds can't part (its rows would go to more
+    than ``MOST_REPLICAS`` parts each on average) stays as it is and is compared in blocks.
+    """
+    key = ["label", "cell"]
+    done = cells.select(*key).limit(0)
+    for level in range(MOST_LEVELS):
+        large = cells.groupBy(*key).count().where(F.col("count") > LARGE).join(done, key, "left_anti")
+        large = store(large, "large-cells")
+        if large.isEmpty():
+            break
+        # a share of the rows that makes count / CELL pivots, PARTS at most, on average
+        share = F.least(F.lit(float(PARTS)), F.col("count") / CELL + 2) / F.col("count")
+        chance = F.pmod(F.xxhash64(F.lit(level), "node"), F.lit(1 << 30)) / float(1 << 30)
+        rows = cells.join(large, key)
+        pivots = rows.where(chance < share).groupBy(*key, "count").agg(F.collect_list("vector").alias("own"))
+        pivots = store(pivots.where(F.size("own") > 1), "cell-pivots")
+        portions = F.ceil(F.col("count") / PORTION)
+        rows = store(rows.join(pivots.select(*key), key, "left_semi").withColumn(
+            "portion", F.pmod(F.xxhash64("node"), portions)), "large-cell-rows")
+
+        def with_pivots(own):
+            """The rows of each portion behind a row with its cell's pivots."""
+            heads = own.select(*key, F.explode(F.sequence(F.lit(0).cast("long"), portions - 1)).alias("portion"),
+                               "pivots", F.lit(0).alias("kind"))
+            both = rows.withColumn("kind", F.lit(1)).unionByName(heads, allowMissingColumns=True)
+            by = [*key, "portion"]
+            return both.select(*by, "kind", "home", "node", "copies", "vector", "pivots").repartition(
+                *by).sortWithinPartitions(*by, "kind")
+
+        kind = dict(rows.dtypes)
+        bare = pivots.select(*key, "count", F.transform("own", lambda v: F.struct(
+            v.alias("vector"), F.lit(None).cast("double").alias("r"))).alias("pivots"))
+        radii = with_pivots(bare).mapInArrow(_part_cells(None, False), f"label {kind['label']}, cell string, part int, r double")
+        radii = radii.groupBy(*key, "part").agg(F.max("r").alias("r")).groupBy(*key).agg(
+            F.map_from_entries(F.collect_list(F.struct("part", "r"))).alias("radii"))
+        full = store(pivots.join(radii, key).select(*key, "count", F.transform("own", lambda v, i: F.struct(
+            v.alias("vector"), F.try_element_at("radii", i).alias("r"))).alias("pivots")), "cell-pivots-radii")
+        n = with_pivots(full).mapInArrow(_part_cells(eps, True), f"label {kind['label']}, cell string, n long")
+        n = n.groupBy(*key).agg(F.sum("n").alias("n")).join(large, key)
+        parted = store(n.where(F.col("n") <= MOST_REPLICAS * F.col("count")).select(*key), "parted-cells")
+        done = store(done.unionByName(large.select(*key).join(parted, key, "left_anti")), "whole-cells")
+        full = full.join(parted, key, "left_semi")
+        rows = rows.join(parted, key, "left_semi")
+        parts = with_pivots(full).mapInArrow(
+            _part_cells(eps, False), f"label {kind['label']}, cell string, home boolean, node long, copies long, vector {kind['vector']}")
+        cells = store(cells.join(parted, key, "left_anti").unionByName(parts), "cells")
+    return cells
 
 
 def _join_cells(cosine: float):
@@ -139,14 +277,15 @@ def embedding_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     * a null label or id, and a vector that is null, empty, zero or holds null or
       non-finite components, links with nothing: 0 links, its own id as component.
     * equal vectors of a label are compared once, as one node with its number of copies;
-      they link with each other. Rows that share an id count as copies like any others.
+      they link with each other. Rows that share an id are vectors of their own: each has
+      its own links, and a component's id is the smallest of its rows' ids.
     * vectors of different length link with nothing. Empty table: no rows.
-    * labels without pivots in the sample are one cell; a cell of any size is compared in
-      blocks of bounded size. Other columns aren't read.
+    * labels without pivots in the sample are one cell, and cells are parted again until
+      they are small; one that can't be parted is compared in blocks of bounded size.
+    * names of other columns can't clash; they aren't read.
     """
     spark = vectors.sparkSession
     small_batches(spark, 2_000)
-    kind = vectors.schema[id_col].dataType.simpleString()
     values = F.col("vector")
     label = F.concat_ws(":", F.size(vector_col), F.col(label_col).cast("string"))
     rows = vectors.select(F.col(id_col).alias("id"), F.when(F.col(label_col).isNotNull(), label).alias("label"),
@@ -155,8 +294,8 @@ def embedding_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     some = F.exists(values, lambda v: v != 0)
     rows = store(rows.withColumn("ok", F.coalesce(
         F.col("id").isNotNull() & F.col("label").isNotNull() & ~bad & some, F.lit(False))), "vectors")
-    nodes = store(rows.where("ok").groupBy("label", "vector").agg(
-        F.min("id").alias("node"), F.count("*").alias("copies")), "vector-nodes")
+    nodes = store(rows.where("ok").groupBy("label", "vector").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
+                  .withColumn("node", F.monotonically_increasing_id()), "vector-nodes")
 
     # pivots: a bounded sample of the vectors, so labels have them in proportion to their size
     import numpy as np
@@ -164,7 +303,7 @@ def embedding_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     eps = math.sqrt(2.0 - 2.0 * cosine)
     want = min(MOST_PIVOTS, math.ceil(nodes.count() / CELL))
     by_label: dict = {}
-    for r in bounded_sample(nodes, want, "node").select("label", "vector").collect():
+    for r in bounded_sample(nodes.select("label", "vector"), want, "label", "vector").collect():
         by_label.setdefault(r["label"], []).append([float(v) for v in r["vector"]])
     pivots_of = {}
     for label, sample in by_label.items():
@@ -175,19 +314,22 @@ def embedding_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     shape = nodes.select("label", "node", "copies", "vector")
     label_kind, vector_kind = (nodes.schema[c].dataType.simpleString() for c in ("label", "vector"))
     radius = {(r["label"], r["cell"]): r["r"] for r in shape.mapInArrow(
-        _cells(pivots_of, None, eps), f"label {label_kind}, cell int, r double")
+        _radii(pivots_of), f"label {label_kind}, cell int, r double")
         .groupBy("label", "cell").agg(F.max("r").alias("r")).collect()} if pivots_of else {}
-    cells = shape.mapInArrow(_cells(pivots_of, radius, eps), f"label {label_kind}, cell int, home boolean, "
-                             f"node {kind}, copies long, vector {vector_kind}")
+    cells = shape.mapInArrow(_cells(pivots_of, radius, eps), f"label {label_kind}, cell string, home boolean, "
+                             f"node long, copies long, vector {vector_kind}")
+    cells = part_large_cells(store(cells, "cells"), eps)
     by = ["label", "cell", "lo", "hi"]
-    found = store(in_blocks(store(cells, "cells"), ["label", "cell"], "node", BLOCK).repartition(*by)
-                  .sortWithinPartitions(*by).mapInArrow(_join_cells(cosine), f"a {kind}, b {kind}, n long"),
-                  "vector-links")
-    groups = store(components(found.where("n = 0").select("a", "b")), "components")
+    found = store(in_blocks(cells, ["label", "cell"], "node", BLOCK).repartition(*by)
+                  .sortWithinPartitions(*by).mapInArrow(_join_cells(cosine), "a long, b long, n long"), "vector-links")
+    groups = components(found.where("n = 0").select("a", "b"))
+    groups = store(groups.join(nodes.select("node", "least"), "node"), "components")
+    least = groups.groupBy("component").agg(F.min("least").alias("component_id"))
+    groups = groups.join(least, "component").select("node", "component_id")
     counts = found.where("n > 0").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
     result = store(nodes.join(counts, "node", "left").join(groups, "node", "left").select(
         "label", "vector", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("component", "node").alias("component_id")), "vector-result")
+        F.coalesce("component_id", "least").alias("component_id")), "vector-result")
     out = rows.join(result, (F.col("ok") & (rows["label"] == result["label"]) & (rows["vector"] == result["vector"])),
                     "left")
     component = F.coalesce("component_id", "id")

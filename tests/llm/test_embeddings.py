@@ -1,5 +1,7 @@
 import math
 import random
+import time
+from collections import Counter
 
 import numpy as np
 from llm_helpers import rows_of, smallest_reachable
@@ -17,15 +19,18 @@ def brute(rows, cosine=0.93):
     good = [(i, np.array(v, dtype=np.float32).astype(float), y) for i, v, y in rows if ok(v, y, i)]
     links = [(a, b) for a in range(len(good)) for b in range(a) if good[a][2] == good[b][2]
              and len(good[a][1]) == len(good[b][1]) and good[a][1] @ good[b][1] / math.sqrt((good[a][1] @ good[a][1]) * (good[b][1] @ good[b][1])) >= cosine - 1e-12]
-    n = {}
-    for a, b in links:
-        for x in (a, b):
-            n[good[x][0]] = n.get(good[x][0], 0) + 1
-    comp = smallest_reachable([g[0] for g in good], [(good[a][0], good[b][0]) for a, b in links])
-    out = []
-    for i, _, _ in rows:
-        c = comp.get(i, i)
-        out.append((i, n.get(i, 0), c, i is not None and c == i))
+    n = Counter(x for link in links for x in link)
+    root = smallest_reachable(range(len(good)), links)
+    least = {}
+    for k, g in enumerate(good):
+        least[root[k]] = min(g[0], least.get(root[k], g[0]))
+    out, k = [], 0
+    for i, v, y in rows:
+        if ok(v, y, i):
+            out.append((i, n[k], least[root[k]], least[root[k]] == i))
+            k += 1
+        else:
+            out.append((i, 0, i, i is not None))
     return sorted(out, key=lambda r: [(x is None, x) for x in r])
 
 
@@ -89,3 +94,44 @@ def test_one_label_holds_almost_all(spark, monkeypatch):
     rows = [(i, [rnd.gauss(0, 0.01) + 1, rnd.gauss(0, 0.01), rnd.gauss(0, 0.01)], 1) for i in range(300)] + [(999, [0.0, 1.0, 0.0], 1)]
     got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_report(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got[0] == (299, 0) and got[299] == (299, 0) and got[999] == (0, 999)
+
+
+def test_rows_that_share_an_id_keep_their_own_links(spark):
+    x, y = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    rows = [(1, x, 1), (1, y, 1), (2, [1.0, 0.01, 0.0], 1), (3, [0.01, 1.0, 0.0], 1), (0, [0.0, 0.0, 1.0], 1), (3, x, 2), (1, x, 1)]
+    got = rows_of(embedding_report(spark.createDataFrame(rows, SCHEMA)), "vec_id", "n_links", "component_id", "kept")
+    assert got == brute(rows)
+    assert sorted(r[1] for r in got if r[0] == 1) == [1, 2, 2]
+
+
+def test_ten_thousand_labels_in_a_batch(spark):
+    rnd = np.random.default_rng(7)
+    rows = [(i, rnd.normal(size=8).tolist(), i % 10_000) for i in range(20_000)]
+    rows += [(20_000 + i, rows[i][1], rows[i][2]) for i in range(0, 10_000, 7)]
+    began = time.monotonic()
+    got = rows_of(embedding_report(spark.createDataFrame(rows, SCHEMA).coalesce(1)), "vec_id", "n_links", "component_id", "kept")
+    took = time.monotonic() - began
+    by = {}
+    for r in rows:
+        by.setdefault(r[2], []).append(r)
+    assert got == sorted((x for group in by.values() for x in brute(group)), key=lambda r: list(r)) and took < 90
+
+
+def test_large_cells_are_parted_again_and_again(spark, monkeypatch):
+    """Two levels and more of pivots, portions of a few rows, and one cell that can't be parted."""
+    monkeypatch.setattr(embeddings, "CELL", 20)
+    monkeypatch.setattr(embeddings, "MOST_PIVOTS", 4)
+    monkeypatch.setattr(embeddings, "LARGE", 40)
+    monkeypatch.setattr(embeddings, "PARTS", 4)
+    monkeypatch.setattr(embeddings, "PORTION", 30)
+    monkeypatch.setattr(embeddings, "BLOCK", 50)
+    rnd = np.random.default_rng(5)
+    rows = vectors(6, 700, dims=5, groups=40, spread=0.08)
+    rows += [(2_000 + i, (np.array([1.0, 0, 0, 0, 0]) + 0.001 * rnd.normal(size=5)).tolist(), 1) for i in range(120)]
+    seen = []
+    plain = embeddings.part_large_cells
+    monkeypatch.setattr(embeddings, "part_large_cells", lambda cells, eps: seen.append(plain(cells, eps)) or seen[-1])
+    got = rows_of(embedding_report(spark.createDataFrame(rows, SCHEMA)), "vec_id", "n_links", "component_id", "kept")
+    assert got == brute(rows)
+    sizes = {r["cell"]: r["count"] for r in seen[0].groupBy("label", "cell").count().collect()}
+    assert max(c.count(".") for c in sizes) >= 2  # parts of parts

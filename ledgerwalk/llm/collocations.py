@@ -14,7 +14,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from .common import LOWER, UPPER, small_batches, store
 
@@ -24,6 +24,8 @@ TRIE_PHRASES = 1_000_000
 COUNTED = MEMO_WORDS = 250_000
 #: Ids of one stored array; proposals that a task sums at once, and holds before it passes them on.
 ARRAY_IDS, SUMMED, PROPOSED = 250_000, 750_000, 2_000_000
+#: Buckets that counts are summed in, at least, and words of the corpus per bucket.
+LEAST_BUCKETS, BUCKET_WORDS = 24, 2_000_000
 #: Bits of the filter that tells frequent words, at least and at most (16 MB).
 LEAST_BITS, MOST_BITS = 16, 27
 
@@ -40,37 +42,39 @@ def words_and_gaps(text: str | None) -> list[bytes]:
 
 
 def word_id(seed: int, lang: bytes, word: bytes) -> int:
-    """A number from 1 to 2^63 - 1 for a word of a language."""
-    import xxhash
+    """A number from 1 to 2^63 - 1 for a word of a language; ``word_ids`` as a column."""
+    from xxhash import xxh64_intdigest as h
 
-    return (xxhash.xxh3_64_intdigest(lang + b"\0" + word, seed) >> 1) or 1
+    return (h(word, h(lang, h(str(seed).encode(), 42))) >> 1) or 1
 
 
-def _count_words(seed: int):
-    """(lang, text) -> lang, word, id, n: occurrences by task."""
-    def count(batches: Iterator) -> Iterator:
-        import pyarrow as pa
+def word_ids(seed: int, lang: str, word: str) -> Column:
+    h = F.xxhash64(F.lit(str(seed)), lang, word)
+    return F.greatest(F.shiftrightunsigned(h, 1), F.lit(1).cast("long"))
 
-        def emit(lang):
-            found = total.pop(lang)
-            found.pop(_GAPS, None)
-            words, begin = list(found), lang.encode()
-            for at in range(0, len(words), 50_000):
-                part = words[at:at + 50_000]
-                yield pa.record_batch([pa.array([lang] * len(part), pa.string()),
-                                       pa.array([w.decode() for w in part], pa.string()),
-                                       pa.array([word_id(seed, begin, w) for w in part], pa.int64()),
-                                       pa.array([found[w] for w in part], pa.int64())], ["lang", "word", "id", "n"])
-
-        total: dict[str, Counter] = {}
-        for b in batches:
-            for lang, text in zip(b["lang"].to_pylist(), b["text"].to_pylist()):
-                total.setdefault(lang, Counter()).update(words_and_gaps(text))
-                if len(total[lang]) > COUNTED:
-                    yield from emit(lang)
-        for lang in list(total):
-            yield from emit(lang)
-    return count
+
+def _count_words(batches: Iterator) -> Iterator:
+    """(lang, text) -> lang, word, n: occurrences by task."""
+    import pyarrow as pa
+
+    def emit(lang):
+        found = total.pop(lang)
+        found.pop(_GAPS, None)
+        words = list(found)
+        for at in range(0, len(words), 50_000):
+            part = words[at:at + 50_000]
+            yield pa.record_batch([pa.array([lang] * len(part), pa.string()),
+                                   pa.array([w.decode() for w in part], pa.string()),
+                                   pa.array([found[w] for w in part], pa.int64())], ["lang", "word", "n"])
+
+    total: dict[str, Counter] = {}
+    for b in batches:
+        for lang, text in zip(b["lang"].to_pylist(), b["text"].to_pylist()):
+            total.setdefault(lang, Counter()).update(words_and_gaps(text))
+            if len(total[lang]) > COUNTED:
+                yield from emit(lang)
+    for lang in list(total):
+        yield from emit(lang)
 
 
 def _numbered(seed: int, frequent):
@@ -221,30 +225,73 @@ def _place(check, base, children, floor: int):
     return floor, at, np.append(check, np.full(grow, -1)), np.append(base, np.zeros(grow, np.int64))
 
 
-def _advance(trie, propose: bool):
-    """Arrays of ids -> w1..wk, next, n: how often each phrase of the trie stands there (next is
-    0), and the frequent words that follow it."""
+#: A task's counts for one bucket: numbers of phrases (rising, as differences), the places of the words
+#: that follow in ``words`` (0: none, the phrase itself), and the counts.
+SHARDS = "bucket int, phrases binary, following binary, words binary, counts binary"
+
+
+def _pack(a) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=1).compress(a.tobytes())
+
+
+def _unpack(data: bytes, kind: str):
+    import numpy as np
+    import zstandard
+
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=kind)
+
+
+def shards_of(phrase, following, n, buckets: int) -> Iterator:
+    """Arrow rows of ``SHARDS`` for counts of (phrase number, id of the word that follows or 0)."""
+    import numpy as np
+    import pyarrow as pa
+
+    bucket = np.where(following == 0, phrase, following) % buckets
+    order = np.lexsort((following, phrase, bucket))
+    phrase, following, n, bucket = phrase[order], following[order], n[order], bucket[order]
+    edges = np.flatnonzero(np.concatenate((np.ones(min(1, len(bucket)), bool), bucket[1:] != bucket[:-1])))
+    for s, e in zip(edges.tolist(), [*edges[1:].tolist(), len(bucket)]):
+        words, place = np.unique(following[s:e], return_inverse=True)
+        row = [_pack(np.diff(phrase[s:e], prepend=0).astype("<i4")), _pack(place.astype("<i4")),
+               _pack(words.astype("<i8")), _pack(n[s:e].astype("<i8"))]
+        yield pa.record_batch([pa.array([int(bucket[s])], pa.int32()), *(pa.array([x], pa.binary()) for x in row)],
+                              [x.split()[0] for x in SHARDS.split(", ")])
+
+
+def _sum_shards(trie, at_least: int):
+    """Sums the shards of a bucket: w1..wk, next, n of what occurs ``at_least`` times."""
+    def run(pdf):
+        import numpy as np
+        import pandas as pd
+
+        shards = [tuple(_unpack(pdf[c].iloc[i], k) for c, k in (("phrases", "<i4"), ("following", "<i4"), ("words", "<i8"),
+                                                               ("counts", "<i8"))) for i in range(len(pdf))]
+        words, code = np.unique(np.concatenate([w for _, _, w, _ in shards]), return_inverse=True)
+        at = np.cumsum([0] + [len(w) for _, _, w, _ in shards])
+        keys = np.concatenate([np.cumsum(p, dtype=np.int64) * len(words) + code[a + f] for (p, f, _, _), a in zip(shards, at)])
+        n = np.concatenate([c for _, _, _, c in shards])
+        keys, place = np.unique(keys, return_inverse=True)
+        total = np.zeros(len(keys), np.int64)
+        np.add.at(total, place, n)
+        often = total >= at_least
+        phrase, code = np.divmod(keys[often], len(words))
+        paths = trie.value.paths[phrase]
+        return pd.DataFrame({f"w{i + 1}": paths[:, i] for i in range(paths.shape[1])} | {
+            "next": words[code], "n": total[often]})
+    return run
+
+
+def _advance(trie, propose: bool, buckets: int):
+    """Arrays of ids -> shards: how often each phrase of the trie stands there, and the frequent
+    words that follow it."""
     def run(batches: Iterator) -> Iterator:
         import numpy as np
-        import pyarrow as pa
-        import zstandard
 
         t = trie.value
-        unpack = zstandard.ZstdDecompressor().decompress
         counts = np.zeros(len(t.check), dtype=np.int64)
         held: list = []
-        names = [*(f"w{i + 1}" for i in range(t.paths.shape[1])), "next", "n"]
-
-        def rows(phrase, following, n):
-            for at in range(0, len(phrase), 100_000):
-                s = slice(at, at + 100_000)
-                path = t.paths[phrase[s]]
-                yield pa.record_batch([*(pa.array(path[:, i]) for i in range(path.shape[1])),
-                                       pa.array(following[s]), pa.array(n[s])], names)
-
-        def proposals():
-            keys, n = summed
-            yield from rows(keys >> 32, np.array(known, dtype=np.int64)[keys & 0xFFFFFFFF], n)
 
         def sum_up():
             new, n = np.unique(np.concatenate(held), return_counts=True)
@@ -254,13 +301,17 @@ def _advance(trie, propose: bool):
             first = np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1])))
             return keys[first], np.add.reduceat(n, first) if len(first) else n
 
+        def proposals():
+            keys, n = summed
+            yield from shards_of(keys >> 32, np.array(known, dtype=np.int64)[keys & 0xFFFFFFFF], n, buckets)
+
         none = np.empty(0, np.int64)
         summed, waiting = (none, none), 0
         number: dict[int, int] = {}  # following words by order of appearance in the task
         known: list[int] = []
         for b in batches:
             for packed in b["ids"].to_pylist():
-                ids = np.frombuffer(unpack(packed), dtype="<i8")
+                ids = _unpack(packed, "<i8")
                 at, state = t.accepted(ids)
                 counts += np.bincount(state, minlength=len(counts))
                 if propose and len(at):
@@ -287,20 +338,24 @@ def _advance(trie, propose: bool):
             yield from proposals()
         n = counts[t.states]
         seen = np.flatnonzero(n)
-        yield from rows(seen, np.zeros(len(seen), np.int64), n[seen])
+        yield from shards_of(seen, np.zeros(len(seen), np.int64), n[seen], buckets)
     return run
 
 
-def count_candidates(ids: DataFrame, candidates: DataFrame, length: int, at_least: int, propose: bool) -> DataFrame:
+def count_candidates(ids: DataFrame, candidates: DataFrame, length: int, at_least: int, propose: bool,
+                     buckets: int) -> DataFrame:
     """``w1..wk, next, n`` with n >= ``at_least``: counts of the candidates (w1..wk), next 0, and
     if ``propose`` of the candidates of the next length.
 
-    Candidates go out in tries of ``TRIE_PHRASES`` at most, one after another.
+    Candidates go out in tries of ``TRIE_PHRASES`` at most, one after another. Tasks pass
+    their counts on as packed shards, one a bucket, and a bucket's shards are summed in one
+    place; buckets grow in number with the corpus.
     """
     import numpy as np
 
     spark = ids.sparkSession
     names = [f"w{i + 1}" for i in range(length)]
+    schema = ", ".join(f"{c} long" for c in [*names, "next", "n"])
     tries = max(1, -(-candidates.count() // TRIE_PHRASES))
     found = None
     for k in range(tries):
@@ -309,22 +364,19 @@ def count_candidates(ids: DataFrame, candidates: DataFrame, length: int, at_leas
             continue
         paths = np.column_stack([part[c].to_numpy() for c in names])
         trie = spark.sparkContext.broadcast(Trie.build(paths))
-        rows = ids.mapInArrow(_advance(trie, propose), ", ".join(f"{c} long" for c in [*names, "next", "n"]))
-        # a task's rows are distinct already, so they are dealt out before they are summed
-        rows = store(rows.repartition(*names, "next").groupBy(*names, "next").agg(F.sum("n").alias("n")).where(F.col("n") >= at_least),
-                     f"phrases-{length}")
+        shards = ids.mapInArrow(_advance(trie, propose, buckets), SHARDS)
+        rows = store(shards.groupBy("bucket").applyInPandas(_sum_shards(trie, at_least), schema), f"phrases-{length}")
         trie.unpersist()
         found = rows if found is None else found.unionByName(rows)
-    if found is None:
-        found = spark.createDataFrame([], ", ".join(f"{c} long" for c in [*names, "next", "n"]))
-    return found
+    return spark.createDataFrame([], schema) if found is None else found
 
 
 def _distinct_ids(texts: DataFrame, most_seeds: int = 8):
     """Words with their counts and ids, and the seed by which no two words share an id."""
+    counted = texts.mapInArrow(_count_words, "lang string, word string, n long")
+    counted = store(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")), "phrase-words")
     for seed in range(most_seeds):
-        words = texts.mapInArrow(_count_words(seed), "lang string, word string, id long, n long")
-        words = store(words.groupBy("lang", "word", "id").agg(F.sum("n").alias("n")), "phrase-words")
+        words = counted.withColumn("id", word_ids(seed, "lang", "word"))
         if words.groupBy("id").count().where("count > 1").isEmpty():
             return words, seed
     raise RuntimeError("words share ids by every seed")
@@ -361,11 +413,13 @@ def count_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     filter_ = spark.sparkContext.broadcast(_frequent_filter(frequent))
     ids = store(texts.mapInArrow(_numbered(seed, filter_), "ids binary"), "phrase-ids")
 
+    total = words.agg(F.sum("n")).first()[0] or 0
+    buckets = max(LEAST_BUCKETS, total // BUCKET_WORDS)
     candidates = frequent.select(F.col("id").alias("w1"))
     phrases = None
     for length in range(1, longest + 1):
         names = [f"w{i + 1}" for i in range(length)]
-        found = count_candidates(ids, candidates, length, at_least, propose=length < longest)
+        found = count_candidates(ids, candidates, length, at_least, length < longest, buckets)
         counted = found.where("next = 0").select(F.array(*names).alias("ids"), F.col("n").alias("f"))
         phrases = counted if phrases is None else phrases.unionByName(counted)
         candidates = found.where("next <> 0").select(*names, F.col("next").alias(f"w{length + 1}"))

@@ -96,6 +96,14 @@ def test_a_wide_trie_stays_small():
     assert (trie.paths[trie.phrase[state[at % 4 == 0]]] == picked).all()
 
 
+def test_word_ids_are_the_same_in_tasks_and_columns(spark):
+    words = ["", "a", "naïve", "x" * 500, "日本", "\x1c"]
+    df = spark.createDataFrame([(g, w) for g in ("en", "und", "") for w in words], "lang string, word string")
+    for seed in (0, 3):
+        for r in df.withColumn("id", C.word_ids(seed, "lang", "word")).collect():
+            assert r["id"] == C.word_id(seed, r["lang"].encode(), r["word"].encode()) > 0
+
+
 def test_nulls_empties_long_texts_and_clashing_names(spark):
     long = "one two three four five six " * 20_000
     rows = [(1, None), (2, ""), (3, ". , ;"), (4, long), (4, long), (None, "one two"), (5, "lonely")]

@@ -103,6 +103,7 @@ from ledgerwalk.plans import checks as C  # noqa: E402
 QUERIES.update(C.CONTRACTS)
 QUERIES["mart_fingerprint"] = C.c27_fingerprints
 QUERIES["schema_contract"] = C.c28_schema_contract
+QUERIES["published_order"] = C.published_order
 
 # G* on the second domain
 from ledgerwalk.plans.events import events_daily_cohort  # noqa: E402
@@ -117,6 +118,18 @@ from ledgerwalk.plans.economics import exact_freight_allocation  # noqa: E402
 QUERIES["freight_allocation_exact"] = lambda b: exact_freight_allocation(b.stg, b.orders)
 
 
+@register("source_report")
+def _source_report(b: MartBuild) -> DataFrame:
+    """S2 + S3: the registry of the six extracts, written as text."""
+    from ledgerwalk.session import run_folder
+    from ledgerwalk.sources.binding import store_as_text
+    from ledgerwalk.sources.extracts import source_report
+
+    folder = run_folder(b.spark, "text-extracts")
+    store_as_text(b.src, folder)
+    return source_report(b.spark, folder)
+
+
 @register("order_items_from_text")
 def _order_items_from_text(b: MartBuild) -> DataFrame:
     """S1 and the published band edges: the line fact from all-string CSV extracts."""

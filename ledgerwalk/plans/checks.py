@@ -73,22 +73,30 @@ def c01_populated(b: MartBuild) -> DataFrame:
 
 
 def c02_published(b: MartBuild, folder: str | None = None, fmt: str = "csv") -> DataFrame:
-    """Publish every mart, read each back from storage and count its rows."""
+    """Publish every mart, read each back through the manifest and count its rows."""
     from ledgerwalk.session import run_folder
-    from ledgerwalk.sources.publish import publish
+    from ledgerwalk.sources.publish import publish, published
 
-    spark = b.spark
-    folder = folder or run_folder(spark, "published")
+    folder = folder or run_folder(b.spark, "published")
     publish(b.stored(), folder, fmt=fmt)
-    frames = []
-    for m in PUBLISHED:
-        path = f"{folder}/{m}"
-        back = (spark.read.option("header", True).csv(path) if fmt == "csv"
-                else spark.read.format(fmt).load(path))
-        frames.append(back.agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit("C02").alias("contract"), F.lit(m).alias("subject"), "rows",
-            (F.col("rows") > 0).alias("ok")))
-    return _union(frames)
+    back = published(b.spark, folder)
+    return _union([back[m].agg(F.count(F.lit(1)).alias("rows")).select(
+        F.lit("C02").alias("contract"), F.lit(m).alias("subject"), "rows",
+        (F.col("rows") > 0).alias("ok")) for m in PUBLISHED])
+
+
+def published_order(b: MartBuild, folder: str | None = None, fmt: str = "csv") -> DataFrame:
+    """S6 + S7: publish every mart, and hold the published files against the total order and the
+    row counts that the publish gave."""
+    from ledgerwalk.session import run_folder
+    from ledgerwalk.sources.publish import files_in_order, publish, published
+
+    folder = folder or run_folder(b.spark, "published")
+    written = publish(b.stored(), folder, fmt=fmt)
+    back = published(b.spark, folder)
+    return _union([files_in_order(back[m]).select(
+        F.lit(m).alias("mart"), F.lit(written[m]).cast("long").alias("written_rows"), "rows", "out_of_order",
+        ((F.col("rows") == written[m]) & (F.col("out_of_order") == 0)).alias("ok")) for m in PUBLISHED])
 
 
 def c03_key_unique(b: MartBuild) -> DataFrame:
@@ -378,14 +386,16 @@ def c28_schema_contract(b: MartBuild, folder: str | None = None) -> DataFrame:
     from ledgerwalk.plans.metrics import METRICS
     from ledgerwalk.session import run_folder
     from ledgerwalk.sources.publish import publish
+    from ledgerwalk.sources.versions import CSV_OPTIONS, VersionedStore
 
     spark = b.spark
     folder = folder or run_folder(spark, "published")
     marts = b.stored()
     publish(marts, folder)
     frames = []
-    for m in PUBLISHED:
-        back = spark.read.option("header", True).csv(f"{folder}/{m}")
+    for entry in VersionedStore(spark, folder).entries():
+        m = entry.table
+        back = spark.read.options(**CSV_OPTIONS).csv(f"{folder}/{entry.path}")  # names as the files have them
         want = list(enumerate(MART_COLUMNS[m]))
         found = spark.createDataFrame(list(enumerate(back.columns)), "ordinal int, found string")
         want = spark.createDataFrame(want, "ordinal int, wanted string")

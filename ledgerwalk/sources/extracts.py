@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerwalk.sources.contracts import RAW_CONTRACTS, SOURCE_NAMES
 
@@ -45,8 +46,8 @@ def read_extract(spark: SparkSession, path: str, name: str) -> DataFrame:
     )
 
 
-def read_extracts(spark: SparkSession, folder: str) -> Sources:
-    """Read ``<folder>/<name>.csv`` for the six sources after checking they all exist."""
+def present_extracts(spark: SparkSession, folder: str) -> dict[str, str]:
+    """The paths ``<folder>/<name>.csv`` that exist, by source name."""
     paths = {n: os.path.join(folder, f"{n}.csv") for n in SOURCE_NAMES}
     jvm_fs = spark._jvm.org.apache.hadoop.fs  # noqa: SLF001 - Hadoop FS existence check
     conf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
@@ -55,5 +56,25 @@ def read_extracts(spark: SparkSession, folder: str) -> Sources:
         hp = jvm_fs.Path(p)
         if hp.getFileSystem(conf).exists(hp):
             present[n] = p
+    return present
+
+
+def read_extracts(spark: SparkSession, folder: str) -> Sources:
+    """Read ``<folder>/<name>.csv`` for the six sources after checking they all exist."""
+    present = present_extracts(spark, folder)
     require_sources(present)
     return Sources.from_dict({n: read_extract(spark, p, n) for n, p in present.items()})
+
+
+def source_report(spark: SparkSession, folder: str) -> DataFrame:
+    """S2 + S3 as rows: ``source, present, columns, rows`` of each of the six extracts; a missing
+    one has no rows instead of ending the report."""
+    present = present_extracts(spark, folder)
+    out = []
+    for n in SOURCE_NAMES:
+        columns = len(RAW_CONTRACTS[n])
+        rows = (read_extract(spark, present[n], n).agg(F.count(F.lit(1)).alias("rows")) if n in present
+                else spark.range(1).select(F.lit(None).cast("long").alias("rows")))
+        out.append(rows.select(F.lit(n).alias("source"), F.lit(n in present).alias("present"),
+                               F.lit(columns).cast("long").alias("columns"), "rows"))
+    return reduce(DataFrame.unionAll, out)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.fixed import BAND_EDGES, BAND_LABELS, COLUMNS, KEYS as PRIMARY_KEYS, MARTS as PUBLISHED
+from oracle.fixed import BAND_EDGES, BAND_LABELS, COLUMNS, KEYS as PRIMARY_KEYS, MARTS as PUBLISHED, SOURCES
 from oracle.models import compose
 
 SQL: dict[str, str] = {}
@@ -33,6 +33,14 @@ SQL["contract_c01"] = compose(U.join(
     for m in PUBLISHED), list(PUBLISHED))
 SQL["contract_c02"] = SQL["contract_c01"].replace("'C01'", "'C02'")
 
+SQL["published_order"] = compose(U.join(
+    f"SELECT '{m}' AS mart, count(*) AS written_rows, count(*) AS rows, CAST(0 AS BIGINT) AS out_of_order, "
+    f"true AS ok FROM {m}" for m in PUBLISHED), list(PUBLISHED))
+
+SQL["source_report"] = compose(U.join(
+    f"SELECT '{s}' AS source, true AS present, CAST({n} AS BIGINT) AS columns, count(*) AS rows FROM raw_{s}"
+    for s, n in SOURCES.items()), [f"raw_{s}" for s in SOURCES])
+
 SQL["contract_c03"] = compose(U.join(
     nrows("C03", m, f"SELECT {', '.join(k)} FROM {m} GROUP BY {', '.join(k)} HAVING count(*) > 1")
     for m, k in sorted(PRIMARY_KEYS.items())), list(PUBLISHED))

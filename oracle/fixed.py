@@ -22,3 +22,6 @@ KEYS = {
 COLUMNS = {"dim_customer": 26, "dim_product": 24, "fct_order_items": 37, "fct_returns": 23,
            "fct_fulfilment_daily": 18, "fct_discount_bands": 18, "fct_cohort_repeat": 12,
            "fct_channel_payback": 13}
+
+#: Input extracts, and how many columns each has.
+SOURCES = {"customers": 7, "products": 9, "orders": 16, "order_items": 6, "returns": 7, "marketing_spend": 6}

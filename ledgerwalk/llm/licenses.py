@@ -1,68 +1,40 @@
 """License scans with a positional index of rare license words.
 
-Templates are short passages of public licenses. The inverse document frequency of every
-template word is counted over the whole corpus; each template's rarest words go into an
-index with their positions. A file looks up every occurrence of such words; occurrences
-that agree on where a template would begin make a candidate, which stands if the
-template's words, weighted by rarity, are found at their places and all its mandatory
-key phrases are there.
+Templates are whole public license texts, notices and statements. The inverse document
+frequency of every template word is counted over the whole corpus, and the rarer half of
+each template's words goes into an index with their positions. Of each region of a file
+the license words with the highest such frequency are looked up; postings whose position
+relative to the file agrees within a band make a candidate. In the band the template's
+words are chained in order, so words that were put in, left out or changed cost only
+themselves; a candidate stands if the chain holds enough of the template's weight and
+the mandatory key phrases stand inside it.
 """
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, functions as F
 
 from .common import small_batches
+from .license_texts import TEMPLATES
 
 #: Base phrases and their labels, as in the contract, by the word that a text is searched for.
 BASE = {"cc": ("cc by", "cc-by"), "general": ("general public license", "gpl"),
         "reserved": ("all rights reserved", "reserved")}
 
-#: label, passage, mandatory key phrases.
-TEMPLATES: tuple[tuple[str, str, tuple[str, ...]], ...] = (
-    ("apache-2.0", "licensed under the apache license version 2 0", ("apache license", "version 2 0")),
-    ("apache-2.0", "you may not use this file except in compliance with the license you may obtain a copy of the "
-                   "license at http www apache org licenses license 2 0", ("compliance with the license", "apache org")),
-    ("mit", "released under the mit license", ("mit license",)),
-    ("mit", "licensed under the mit license", ("mit license",)),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and "
-            "associated documentation files", ("permission is hereby granted", "free of charge")),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided "
-            "that the following conditions are met", ("redistribution and use", "source and binary forms")),
-    ("gpl-2.0", "this work is licensed under the gnu general public license version 2",
-     ("general public license version 2",)),
-    ("gpl-3.0", "this work is licensed under the gnu general public license version 3",
-     ("general public license version 3",)),
-    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu "
-            "general public license as published by the free software foundation",
-     ("free software", "general public license")),
-    ("lgpl", "licensed under the gnu lesser general public license", ("lesser general public license",)),
-    ("agpl", "licensed under the gnu affero general public license", ("affero general public license",)),
-    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0",
-     ("mozilla public license",)),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is "
-            "hereby granted", ("with or without fee",)),
-    ("unlicense", "this is free and unencumbered software released into the public domain", ("unencumbered software",)),
-    ("cc0", "to the extent possible under law the author has waived all copyright and related rights to this work",
-     ("waived all copyright",)),
-    ("cc-by-nc", "licensed under cc by nc 4 0", ("cc by nc",)),
-    ("cc-by-sa", "licensed under cc by sa 4 0", ("cc by sa",)),
-    ("cc-by-nd", "licensed under cc by nd 4 0", ("cc by nd",)),
-    ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license",
-     ("creative commons attribution",)),
-    ("epl-2.0", "made available under the terms of the eclipse public license v 2 0", ("eclipse public license",)),
-    ("bsl-1.0", "distributed under the boost software license version 1 0", ("boost software license",)),
-)
-
-#: Rarest words of a template that go into the index, and votes that make a candidate.
-RARE_WORDS, VOTES = 6, 2
-#: Weighted share of a template's words that must stand at their places.
+#: Words of a file that are looked up by rarity together, and how many distinct ones of them are.
+REGION, LOOKED_UP = 128, 16
+#: Votes of different places of a template that make a candidate.
+VOTES = 2
+#: Words that a text may gain or lose before a place, beside a share of the template's length.
+DRIFT, DRIFT_SHARE = 2, 0.08
+#: Weighted share of a template's words that must stand in order near their places.
 ENOUGH = 0.7
-#: Words by which a key phrase may stand away from its place.
+#: Words by which a key phrase may stand outside the matched run.
 SLACK = 10
 
 #: Bytes of UTF-8 that belong to words (0-9, a-z and all beyond ASCII), A-Z lowered; others become blanks.
@@ -91,46 +63,113 @@ def _count_words(vocabulary: frozenset[bytes]):
     return count
 
 
+class Template:
+    """A template's words with their weights and places, and its key phrases."""
+
+    def __init__(self, label: str, passage: str, keys: tuple[str, ...], weight) -> None:
+        self.label, self.words = label, words_of(passage)
+        self.weight = [weight(w) for w in self.words]
+        self.total = sum(self.weight)
+        self.places: dict[bytes, list[int]] = defaultdict(list)
+        for i, w in enumerate(self.words):
+            self.places[w].append(i)
+        self.keys = [words_of(k) for k in keys]
+        self.needed = len(keys) if len(keys) <= 2 else -(-len(keys) // 2)
+        self.band = DRIFT + int(DRIFT_SHARE * len(self.words))
+
+    def chain(self, words: list[bytes], low: int, high: int) -> tuple[float, int, int] | None:
+        """(share of the weight, first and last place in the file) of the longest run of the
+        template's words in order, where file place minus template place is in low..high."""
+        pairs = []
+        for p in range(max(0, low), min(len(words), high + len(self.words))):
+            for i in reversed(self.places.get(words[p], ())):
+                if low <= p - i <= high:
+                    pairs.append((p, i))
+        # longest rising chain of template places: ends of chains by length, with back links
+        ends: list[int] = []
+        at: list[int] = []
+        back: list[int] = []
+        for k, (_, i) in enumerate(pairs):
+            n = bisect_left(ends, i)
+            back.append(at[n - 1] if n else -1)
+            if n == len(ends):
+                ends.append(i)
+                at.append(k)
+            else:
+                ends[n], at[n] = i, k
+        if not at:
+            return None
+        k, share, first, last = at[-1], 0.0, 0, pairs[at[-1]][0]
+        while k >= 0:
+            first = pairs[k][0]
+            share += self.weight[pairs[k][1]]
+            k = back[k]
+        return share / self.total, first, last
+
+    def keys_stand(self, words: list[bytes], first: int, last: int) -> bool:
+        """Whether enough key phrases stand between two places, or SLACK words beyond them."""
+        inside = words[max(0, first - SLACK):last + 1 + SLACK]
+        found = sum(any(inside[p:p + len(k)] == k for p, w in enumerate(inside) if w == k[0]) for k in self.keys)
+        return found >= self.needed
+
+
 class Index:
-    """Templates with their words' weights, and postings of their rare words."""
+    """Templates, and postings (template, place) of the rarer half of each one's distinct words."""
 
     def __init__(self, files: int, df: dict[str, int], templates=TEMPLATES) -> None:
-        self.templates = []
+        def weight(w: bytes) -> float:
+            return math.log(1 + (files + 1) / (df.get(w.decode(), 0) + 1))
+
+        self.templates = [Template(*t, weight) for t in templates]
         self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-        for t, (label, passage, keys) in enumerate(templates):
-            words = words_of(passage)
-            weight = [math.log(1 + (files + 1) / (df.get(w.decode(), 0) + 1)) for w in words]
-            phrases = []
-            for key in keys:
-                k = words_of(key)
-                phrases.append((k, next(i for i in range(len(words)) if words[i:i + len(k)] == k)))
-            self.templates.append((label, words, weight, sum(weight), phrases))
-            rare = sorted(set(words), key=lambda w: (-weight[words.index(w)], w))[:RARE_WORDS]
-            for i, w in enumerate(words):
-                if w in rare:
-                    self.postings[w].append((t, i))
+        for t, template in enumerate(self.templates):
+            distinct = sorted(template.places, key=lambda w: (-weight(w), w))
+            for w in distinct[:max(6, len(distinct) // 2)]:
+                self.postings[w] += [(t, i) for i in template.places[w]]
+        self.rarity = {w: (-weight(w), w) for w in self.postings}
+
+    def looked_up(self, words: list[bytes], places: list[int]) -> Iterator[int]:
+        """Of each region of a file, the places of its rarest license words."""
+        region: list[int] = []
+        for p in [*places, None]:
+            if region and (p is None or p // REGION != region[0] // REGION):
+                distinct = {words[q] for q in region}
+                if len(distinct) > LOOKED_UP:
+                    distinct = set(sorted(distinct, key=self.rarity.__getitem__)[:LOOKED_UP])
+                yield from (q for q in region if words[q] in distinct)
+                region = []
+            region.append(p)
 
     def matches(self, words: list[bytes], places: list[int]) -> list[tuple[str, int, float]]:
-        """(label, first word, score) of every template that stands in the text."""
-        votes: Counter = Counter()
-        for p in places:
-            for t, i in self.postings.get(words[p], ()):
-                votes[t, p - i] += 1
+        """(label, first word, score) of every template that stands in the text; ``places``:
+        where its words with postings are. Of overlapping runs of a template the best one."""
+        shifts: dict[int, set[tuple[int, int]]] = defaultdict(set)
+        for p in self.looked_up(words, places):
+            for t, i in self.postings[words[p]]:
+                shifts[t].add((p - i, i))
         out = []
-        for (t, at), n in sorted(votes.items()):
-            label, passage, weight, total, phrases = self.templates[t]
-            if n < VOTES:
-                continue
-            inside = range(max(0, -at), min(len(passage), len(words) - at))
-            share = sum(weight[i] for i in inside if words[at + i] == passage[i]) / total
-            if share >= ENOUGH and all(_stands(words, key, at + i) for key, i in phrases):
-                out.append((label, max(0, at), min(1.0, share)))
-        return out
-
-
-def _stands(words: list[bytes], phrase: list[bytes], at: int) -> bool:
-    """Whether a phrase stands within SLACK words of a place."""
-    return any(words[p:p + len(phrase)] == phrase for p in range(max(0, at - SLACK), at + SLACK + 1))
+        for t in sorted(shifts):
+            template, found, runs = self.templates[t], sorted(shifts[t]), []
+            begin = end = 0
+            reach = 2 * template.band
+            while begin < len(found):
+                low = found[begin][0]
+                while end < len(found) and found[end][0] <= low + reach:
+                    end += 1
+                # the chain costs far more than a vote, so too few votes never get one
+                if len({i for _, i in found[begin:end]}) >= VOTES:
+                    run = template.chain(words, low - template.band, low + reach)
+                    if run and run[0] >= ENOUGH and template.keys_stand(words, *run[1:]):
+                        runs.append(run)
+                while begin < len(found) and found[begin][0] <= low + template.band:
+                    begin += 1  # the next window overlaps this one by half
+            taken: list[tuple[int, int]] = []
+            for share, first, last in sorted(runs, key=lambda r: (-r[0], r[1])):
+                # neighbours may share a few words; a run of which most is taken is the same one
+                if all(2 * (min(last, b) - max(first, a) + 1) <= min(last - first, b - a) for a, b in taken):
+                    taken.append((first, last))
+                    out.append((template.label, first, min(1.0, share)))
+        return sorted(out, key=lambda m: (m[1], m[0]))
 
 
 def _scan(files: int, df: dict[str, int], templates):
@@ -153,7 +192,7 @@ def _scan(files: int, df: dict[str, int], templates):
                         if s >= 0 and words[s:s + len(phrase)] == phrase:
                             starts.append(s)
                             labels.add(label)
-                found = index.matches(words, places) if places else []
+                found = index.matches(words, [p for p in places if words[p] in index.postings]) if places else []
                 every = labels | {label for label, _, _ in found}
                 score = 1.0 if labels else max((s for _, _, s in found), default=0.0)
                 rows.append((len(words), len(starts), min(starts, default=None), max(starts, default=None),
@@ -173,7 +212,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     (label, first word, score of every template found).
 
     * null or empty text: no words, no labels (''), score 0. Null ids are kept.
-    * every place counts, in texts of any length; places that share words all count.
+    * every region of a text is looked up, in texts of any length; every template that stands
+      somewhere counts, and of overlapping runs of one template the best.
     * equal rarities are ordered by the word. Repeated rows are scanned each.
     * empty table: no rows. Other columns aren't read.
     * document frequencies are counted over all rows; only those of the templates'

@@ -2,9 +2,11 @@ import random
 import re
 
 import duckdb
+import pytest
 from llm_helpers import ascii_lower, documents, prose
 
-from ledgerwalk.llm.licenses import TEMPLATES, license_report, scan_licenses, words_of
+from ledgerwalk.llm.license_texts import TEMPLATES
+from ledgerwalk.llm.licenses import Index, Template, license_report, scan_licenses, words_of
 from ledgerwalk.llm.repetition import _measure, repetition_report, repetition_rules
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -54,6 +56,95 @@ def test_license_needs_its_key_phrases(spark):
     assert got == {1: "bsd", 2: "", 3: "bsd", 4: ""}
 
 
+def edited(words, keep, share, seed):
+    """A share of the words put in, left out or changed, but none of ``keep``."""
+    rnd, out = random.Random(seed), list(words)
+    free = [i for i in range(len(words)) if i not in keep]
+    for i in sorted(rnd.sample(free, min(len(free), round(share * len(words)))), reverse=True):
+        kind = rnd.randrange(3)
+        if kind == 0:
+            out.insert(i, rnd.choice(["copyright", "acme", "2024", "all", "inc"]))
+        elif kind == 1:
+            del out[i]
+        else:
+            out[i] = "x" + out[i]
+    return out
+
+
+def test_one_word_more_or_less_hides_no_template():
+    """In the middle of every template outside its key phrases."""
+    index = Index(1_000, {"the": 900, "and": 800, "of": 800, "to": 800, "this": 700, "in": 700})
+    for label, passage, keys in TEMPLATES:
+        words = [w.decode() for w in words_of(passage)]
+        keep = key_places(words, keys)
+        free = [i for i in range(len(words)) if i not in keep]
+        middle = min(free, key=lambda i: abs(i - len(words) // 2)) if free else None
+        for changed in (words[:len(words) // 2] + ["corporation"] + words[len(words) // 2:] if not keep & {len(words) // 2} or len(keys) > 2 else words,
+                        words if middle is None or len(words) < 8 else words[:middle] + words[middle + 1:]):
+            text = ["begin"] * 50 + changed + ["end"] * 50
+            w = [x.encode() for x in text]
+            found = index.matches(w, [p for p, x in enumerate(w) if x in index.postings])
+            assert any(x == label and abs(at - 50) <= 1 for x, at, _ in found), (label, changed)
+
+
+def key_places(words, keys):
+    out = set()
+    for k in keys:
+        k = k.split()
+        for i in range(len(words)):
+            if words[i:i + len(k)] == k:
+                out |= set(range(i, i + len(k)))
+    return out
+
+
+def test_recall_of_edited_texts_and_precision_on_prose(spark):
+    """5 % of the words edited (whole texts: anywhere; statements: outside their key phrases)."""
+    rows, want = [], {}
+    for k, (label, passage, keys) in enumerate(TEMPLATES):
+        words = [w.decode() for w in words_of(passage)]
+        for trial in range(10):
+            keep = key_places(words, keys) if len(keys) <= 2 else set()
+            n = 100 * k + trial
+            rows.append((n, f"{prose(n, 300)} {' '.join(edited(words, keep, 0.05, n))} {prose(n + 50, 200)}"))
+            want[n] = label
+    common = "the and of to in is that for it as was with be by on not software license copyright use public free".split()
+    rnd = random.Random(2)
+    for i in range(300):
+        pool = common + prose(i, 20).split()
+        rows.append((10**6 + i, " ".join(rnd.choice(pool) for _ in range(400))))
+    got = {r["doc_id"]: set(filter(None, r["labels"].split(","))) - set(r["base_labels"].split(",") if r["doc_id"] >= 10**6 else ())
+           for r in license_report(documents(spark, rows)).collect()}
+    missed = [n for n in want if want[n] not in got[n]]
+    wrong = [i for i in got if i >= 10**6 and got[i]]
+    assert len(missed) <= 0.01 * len(want), [(want[n], n) for n in missed]
+    assert not wrong
+
+
+def test_templates_far_apart_and_side_by_side(spark):
+    mit, apache = (next(p for x, p, _ in TEMPLATES if x == label) for label in ("mit-text", "apache-2.0-notice"))
+    text = f"{prose(1, 5_000)} {mit} {apache} {prose(2, 20_000)} {mit} {mit}"
+    [r] = scan_licenses(documents(spark, [(1, text)])).collect()
+    assert {"mit-text", "apache-2.0-notice", "apache-2.0", "mit"} <= set(r["labels"].split(","))
+    n = len(words_of(mit))
+    firsts = [m["first"] for m in r["matches"] if m["label"] == "mit-text"]
+    second = 25_000 + n + len(words_of(apache))
+    assert len(firsts) == 3 and all(abs(a - b) <= 2 for a, b in zip(firsts, [5_000, second, second + n]))
+
+
+def test_chain_equals_brute_force():
+    template = Template("x", "a b c a d b e", ("a",), lambda w: 1.0)
+    rnd = random.Random(1)
+    for _ in range(300):
+        words = [rnd.choice("abcdef").encode() for _ in range(rnd.randint(0, 14))]
+        low, high = sorted((rnd.randint(-4, 8), rnd.randint(-4, 8)))
+        pairs = [(p, i) for p, w in enumerate(words) for i, x in enumerate(template.words) if w == x and low <= p - i <= high]
+        best = {}
+        for k, (p, i) in enumerate(pairs):
+            best[k] = 1 + max((best[j] for j, (q, h) in enumerate(pairs[:k]) if q < p and h < i), default=0)
+        run = template.chain(words, low, high)
+        assert (run[0] * 7 if run else 0) == pytest.approx(max(best.values(), default=0))
+
+
 def test_license_nulls_repeated_rows_and_empty_table(spark):
     rows = [(None, "All rights reserved"), (1, "cc by"), (1, "cc by")]
     assert sorted((r["doc_id"], r["labels"]) for r in license_report(documents(spark, rows)).collect() if r["doc_id"]) == [

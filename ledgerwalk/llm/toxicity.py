@@ -200,7 +200,8 @@ class ToxicityModel:
         """``row`` (struct of the columns ``keep``, all by default), ``score`` and ``predicted_odds``.
 
         * null or empty text: scored like any other, from features that are all 0.
-        * texts are read whole; every row is scored, repeated ones alike.
+        * texts of any length are read whole; every row is scored, repeated ones and ties alike.
+        * names of other columns can't clash (they are inside ``row``). Empty table: no rows.
         """
         keep = docs.columns if keep is None else keep
         row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row")
@@ -232,6 +233,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
 
     * an id with several labels is toxic if one of them says so; null labels, null ids
       and labels without a document are no training rows.
+    * of documents that share an id one is learnt from, the one with the smallest text hash;
+      null texts count as empty. Terms of equal rank are ordered by themselves. Other
+      columns of both tables aren't read, whatever their names.
     * without rows of both labels the model is the constant share of toxic rows (0 if none).
     """
     from pyspark.ml.classification import GBTClassifier
@@ -246,7 +250,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     picked = bounded_sample(known, sample_rows, "id").withColumn(
         "fold", F.pmod(F.xxhash64(F.lit("fold"), "id"), F.lit(FOLDS)).cast("int"))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sample = store(texts.join(F.broadcast(picked), "id").select("text", "toxic", "fold"), "labelled")
+    # one row an id, so that repeated ids don't make the sample larger than its bound
+    sample = texts.join(F.broadcast(picked), "id").groupBy("id", "toxic", "fold").agg(
+        F.min_by("text", F.xxhash64("text")).alias("text"))
+    sample = store(sample.select("text", "toxic", "fold"), "labelled")
 
     rows = [[0, 0] for _ in range(FOLDS)]
     for r in sample.groupBy("fold", "toxic").count().collect():
@@ -279,7 +286,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     trees = GBTClassifier(maxIter=rounds, maxDepth=4, stepSize=0.2, maxBins=64, seed=1,
                           minInstancesPerNode=5).fit(learn)
     margin = trees.transform(later).select("label", vector_to_array("probability")[1].alias("raw"))
-    calibration = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="calibrated").fit(margin)
+    # equal margins as one weighted row: the same steps, and no value's rows meet in one task
+    margin = margin.groupBy("raw").agg(F.avg("label").alias("label"), F.count("*").cast("double").alias("rows"))
+    calibration = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="calibrated",
+                                     weightCol="rows").fit(margin)
     return ToxicityModel(lexicons[-1], trees, calibration)
 
 

@@ -64,3 +64,32 @@ def ascii_lower(text: Column) -> Column:
 def hash128(text: Column) -> list[Column]:
     """Two 64-bit hashes with independent seeds; together the identity of a string."""
     return [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2")]
+
+
+def row_identity(df: DataFrame) -> list[Column]:
+    """``i1, i2``: 128 bits of hash over all columns, alike for equal rows only. Maps, which can't
+    be hashed, count as JSON."""
+    parts = [x for f in df.schema for c in [F.col(f"`{f.name}`")]
+             for x in (c.isNull(), F.to_json(c) if "map<" in f.dataType.simpleString() else c)]
+    return [F.xxhash64(F.lit(0), *parts).alias("i1"), F.xxhash64(F.lit(1), *parts).alias("i2")]
+
+
+def one_row_per_id(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose id is in ``ids`` (distinct, column ``keep_id``), one per id: the one
+    with the smallest text hash, then row hash. Rows without an id aren't among them.
+
+    Which row stays is settled on hashes, pre-aggregated; equal rows collapse only where
+    there are any. No window holds the rows of an id, however many share it.
+    """
+    keys = [F.col(f"`{id_col}`").alias("row_id"), F.xxhash64(F.col(f"`{text_col}`")).alias("text_hash"), *row_identity(docs)]
+    chosen = docs.select(*keys).where("row_id IS NOT NULL").groupBy("row_id", "text_hash", "i1", "i2").agg(
+        F.count("*").alias("times"))
+    chosen = chosen.groupBy("row_id").agg(F.min(F.struct("text_hash", "i1", "i2", "times")).alias("c"))
+    chosen = chosen.join(ids, chosen["row_id"] == ids["keep_id"]).select("keep_id", "c.i1", "c.i2", "c.times")
+    chosen = store(chosen, "chosen-rows")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.col(f"`{id_col}`").alias("keep_id"), *row_identity(docs))
+    on = ["keep_id", "i1", "i2"]
+    once = rows.join(chosen.where("times = 1").select(*on), on).select("row")
+    often = rows.join(chosen.where("times > 1").select(*on), on).groupBy(*on).agg(F.first("row").alias("row")).select("row")
+    return once.unionByName(often).select("row.*")

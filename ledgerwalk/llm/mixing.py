@@ -16,7 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from .common import store
+from .common import row_identity, store
 
 Knots = Sequence[tuple[float, float]]
 
@@ -82,14 +82,6 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, total_sha
         "is_null", "name", "rank", "source_size", "target")
 
 
-def row_identity(df: DataFrame) -> list[Column]:
-    """``i1, i2``: 128 bits of hash over all columns, alike for equal rows only. Maps, which can't
-    be hashed, count as JSON."""
-    parts = [x for f in df.schema for c in [F.col(f"`{f.name}`")]
-             for x in (c.isNull(), F.to_json(c) if "map<" in f.dataType.simpleString() else c)]
-    return [F.xxhash64(F.lit(0), *parts).alias("i1"), F.xxhash64(F.lit(1), *parts).alias("i2")]
-
-
 #: Order of a source's supply: md5 of the id, then what tells rows apart.
 SUPPLY = ("h", "id", "size", "text_hash", "i1", "i2")
 

@@ -100,6 +100,20 @@ def test_rows_without_or_sharing_an_id(spark, tmp_path):
     assert lines.columns == docs.columns and lines.count() == 6
 
 
+def test_hot_ids_in_the_dedup_stage(spark, tmp_path):
+    """A third of the rows lack an id, a third share one (with equal and other texts), a third are plain."""
+    rows = [(None, prose(i, 30)) for i in range(60)] + [(5, prose(1_000 + i % 7, 30)) for i in range(60)]
+    rows += [(100 + i, prose(2_000 + i, 30)) for i in range(60)]
+    docs = documents(spark, rows, clashing=True)
+    kept = corpus_pipeline.simhash_dedup(spark, docs, str(tmp_path))
+    got = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert kept.columns == docs.columns and Counter(i for i, _ in got) == {None: 60, 5: 1, **{100 + i: 1 for i in range(60)}}
+    assert sorted(t for i, t in got if i is None) == sorted(t for i, t in rows if i is None)
+    assert dict(x for x in got if x[0] and x[0] >= 100) == dict(x for x in rows if x[0] and x[0] >= 100)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+
+
 def test_empty_tables(spark, tmp_path):
     documents(spark, []).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))

@@ -7,9 +7,9 @@ of ``docs``. ``run`` writes each result as Parquet in the shared folder and read
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerwalk.llm.common import store, table
+from ledgerwalk.llm.common import one_row_per_id, store, table
 from ledgerwalk.llm.line_dedup import dedup_lines
 from ledgerwalk.llm.mixing import mix_documents
 from ledgerwalk.llm.packing import packing_report
@@ -22,13 +22,23 @@ TOXIC_FROM = 0.3
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the model, fitted on labelled rows that aren't held out, doesn't reject."""
+    """Documents that the model, fitted on labelled rows that aren't held out, doesn't reject.
+
+    Null and empty texts are scored like any other and stay, as do rows without an id;
+    repeated rows share their fate. Empty table: no rows. Other columns pass through,
+    whatever their names.
+    """
     model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
     return model.score(docs).where(F.col("score") < TOXIC_FROM).select("row.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that many share; ``n_chars`` follows the text."""
+    """All documents, without the lines that many share; ``n_chars`` follows the text.
+
+    Null text becomes the empty one; a document that loses every line stays, empty. Rows
+    without an id, repeated rows, ties and the empty table as ``dedup_lines`` says; other
+    columns pass through, whatever their names.
+    """
     d = dedup_lines(docs)
     own = {"doc_id": F.col("id"), "text": F.col("text")}
     if "n_chars" in docs.columns:
@@ -45,21 +55,26 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     groups = simhash_groups(docs, shingle=3, distance=3)
     keep = store(groups.where(F.col("id") == F.col("component_id")).select(F.col("id").alias("keep_id")).distinct(),
                  "kept-ids")
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("row_id"),
-                       F.xxhash64("text").alias("row_hash"))
-    rows = rows.join(keep, rows["row_id"] == keep["keep_id"], "left").where("row_id IS NULL OR keep_id IS NOT NULL")
-    salt = F.when(F.col("row_id").isNull(), F.col("row_hash"))
-    nth = F.row_number().over(W.partitionBy("row_id", salt).orderBy("row_hash"))
-    return rows.withColumn("nth", nth).where("row_id IS NULL OR nth = 1").select("row.*")
+    return one_row_per_id(docs, keep).unionByName(docs.where("doc_id IS NULL"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix of the sources: documents as often as they are taken, in training order."""
+    """The mix of the sources: documents as often as they are taken, in training order.
+
+    Documents without a word (null, empty, blank) are taken no times; a null source is a
+    source of its own; repeated rows count each. Empty table: no rows. Other columns pass
+    through, whatever their names.
+    """
     return mix_documents(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the mixed documents and their places in sequences of 4096 ids."""
+    """Pieces of the mixed documents and their places in sequences of 4096 ids.
+
+    Null text is the empty one (a piece of one id); repeated rows and rows without an id
+    are packed each; texts of any length are cut into pieces. Empty table: no rows. Other
+    columns aren't read.
+    """
     return packing_report(docs, tokenizer("word_bpe_49k.json"))
 
 

@@ -112,6 +112,43 @@ QUERIES["events_daily_cohort"] = lambda b: events_daily_cohort(
     b.spark.read.parquet(f"{b.src.sf_dir}/events.parquet"))
 
 
+# distinct counts that merge, delta maintenance, co-located storage, shared scans, filters
+from ledgerwalk.plans import deltas as D  # noqa: E402
+
+QUERIES["order_values_by_quarter"] = D.order_values_by_quarter
+QUERIES["restated_marts"] = D.restated_marts
+QUERIES["colocated_marts"] = D.colocated_marts
+from ledgerwalk.plans.asof import as_of_summary  # noqa: E402
+from ledgerwalk.plans.ledger import resumed_build  # noqa: E402
+
+QUERIES["as_of_summary"] = as_of_summary
+QUERIES["resumed_build"] = resumed_build
+QUERIES["contract_c27_buckets"] = C.c27_buckets
+QUERIES["shared_order_lines"] = A.shared_order_lines
+QUERIES["sheet_06_matrix"] = A.sheet_06_matrix
+QUERIES["lanes_of_two_centres"] = lambda b: A.lanes_of(b, ("ASIA", "EUROPE"), ("Carrier 0", "Carrier 2"))
+
+
+@register("quarantine_counts")
+def _quarantine_counts(b: MartBuild) -> DataFrame:
+    """S1 + X9: text extracts with broken dates, numbers and lines; what is held back and what is read."""
+    from pyspark.sql import functions as F
+
+    from ledgerwalk.session import run_folder
+    from ledgerwalk.sources.binding import store_as_broken_text
+    from ledgerwalk.sources.contracts import SOURCE_NAMES
+    from ledgerwalk.sources.extracts import quarantine_extracts
+
+    folder = run_folder(b.spark, "broken-extracts")
+    store_as_broken_text(b.src, folder)
+    src, held = quarantine_extracts(b.spark, folder, run_folder(b.spark, "quarantine"))
+    out = held.groupBy("source", "column", "reason").agg(F.count(F.lit(1)).alias("rows"))
+    for n in SOURCE_NAMES:
+        out = out.unionAll(getattr(src, n).agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(n).alias("source"), F.lit(None).cast("string").alias("column"), F.lit("sound").alias("reason"), "rows"))
+    return out
+
+
 # T8 option
 from ledgerwalk.plans.economics import exact_freight_allocation  # noqa: E402
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ledgerwalk.functions.dates import month_start
 from ledgerwalk.functions.numeric import MONEY_SUM, exact_avg, ratio as _div
 from ledgerwalk.plans.marts import MartBuild
-from ledgerwalk.plans.metrics import METRICS, evaluate, in_range
+from ledgerwalk.plans.metrics import METRICS, Request, evaluate, evaluate_shared, in_range, member_of
 
 def _all():
     """All rows of an aggregated frame (categories, lanes, reasons): totals for shares."""
@@ -92,6 +92,35 @@ def sheet_10(b: MartBuild) -> DataFrame:
     return evaluate(b.fct_returns, "fct_returns", ["return_reason", "disposition"], ["K601"])
 
 
+def shared_order_lines(b: MartBuild) -> DataFrame:
+    """V1, V3 and all metrics of the order lines (K101-K108) from one scan of the published fact, one
+    under another; ``request`` names the answer, columns that it doesn't have are NULL."""
+    f = b.fct_order_items.withColumn("month", month_start("order_month"))
+    got = evaluate_shared(f, "fct_order_items", [
+        Request("sheet_01", ("category",), ("K108",)),
+        Request("sheet_03", ("month", "category"), (), sums=("contribution_margin",)),
+        Request("metrics_order_lines", ("category",), tuple(f"K10{i}" for i in range(1, 9))),
+        Request("repeat_lines", ("category",), ("K101",), filters=(F.col("order_sequence") > 1,)),
+    ])
+    out = None
+    for name, rows in got.items():
+        rows = rows.select(F.lit(name).alias("request"), "*")
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out
+
+
+def sheet_06_matrix(b: MartBuild, carriers: tuple[str, ...] = ("Carrier 0", "Carrier 1", "Carrier 2")) -> DataFrame:
+    """V6 as a matrix with a column for each of ``carriers``."""
+    return sheet_06_heatmap(b, list(carriers))
+
+
+def lanes_of(b: MartBuild, centres: tuple[str, ...], carriers: tuple[str, ...]) -> DataFrame:
+    """Lane metrics of some fulfilment centres and carriers only."""
+    return evaluate(b.fct_fulfilment_daily, "fct_fulfilment_daily", ["fulfilment_centre", "carrier"],
+                    ["K201", "K202", "K204"],
+                    filters=[member_of("fulfilment_centre", centres), member_of("carrier", carriers)])
+
+
 # ----------------------------------------------------------------- answers
 def answer_q1(b: MartBuild) -> DataFrame:
     """A1 Category margin league: revenue, share, margin, rate and both rankings."""
@@ -239,7 +268,7 @@ def answer_return_products(b: MartBuild, top: int | None = None) -> DataFrame:
     lost = b.fct_returns.groupBy("return_reason").agg(
         F.sum("margin_lost").cast(MONEY_SUM).alias("_lost"))
     sold = b.fact.groupBy("product_id").agg(F.sum("quantity").alias("units_sold"))
-    return (r.join(F.broadcast(lost), r["return_reason"].eqNullSafe(lost["return_reason"]))
+    return (r.join(lost, r["return_reason"].eqNullSafe(lost["return_reason"]))
             .drop(lost["return_reason"]).join(sold, "product_id", "left")
             .select("return_reason", "product_id", "category", "units_returned", "margin_lost",
                     _div("margin_lost", "_lost").alias("share_of_reason"),

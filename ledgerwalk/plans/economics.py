@@ -104,41 +104,63 @@ def line_fact(stg: Staged, orders: DataFrame | None = None, months: DataFrame |
     )
 
     share = allocate_share("net_revenue", "order_net_revenue", "order_line_count")
-    restocked = F.coalesce(F.col("_r_restocked"), F.lit(False))
-    qty_ret = F.coalesce(F.col("_r_quantity"), F.lit(0))
-    kept_back = F.when(restocked, qty_ret).otherwise(F.lit(0))
-    cost = to_double("unit_cost")
-    net = to_double("net_revenue")
-    refund = F.coalesce(to_double("_r_refund"), F.lit(0.0))
     freight = to_double("shipping_cost") - to_double("shipping_fee_charged")
-
-    return lines.select(
+    return with_return_economics(lines.select(
         "order_item_id", "order_id", "product_id", "customer_id",
         "order_date", "order_month", "order_channel", "order_sequence", "is_shipped",
         "fulfilment_centre", "carrier", "is_on_time", "days_late", "promo_code",
         "category", "subcategory", "brand", "weight_kg",
         "quantity", "unit_price", "gross_revenue", "discount_amount", "net_revenue",
         "discount_rate",
-        F.col("return_id").isNotNull().alias("is_returned"),
-        "return_reason",
-        qty_ret.alias("quantity_returned"),
-        F.coalesce(F.col("_r_refund"), F.lit(0).cast(DEC12)).cast(DEC12).alias("refund_amount"),
-        restocked.alias("is_restocked"),
-        "return_date",
-        money(cost * F.col("quantity")).alias("cogs_gross"),
-        money(cost * kept_back).alias("cogs_recovered"),
-        money(cost * (F.col("quantity") - kept_back)).alias("cogs_net"),
+        "return_reason", "return_date",
+        money(to_double("unit_cost") * F.col("quantity")).alias("cogs_gross"),
         money(to_double("shipping_cost") * share).alias("shipping_cost_allocated"),
         money(to_double("shipping_fee_charged") * share).alias("shipping_fee_allocated"),
         money(freight * share).alias("net_shipping_cost"),
-        money(net - refund).alias("realised_revenue"),
-        money(net - refund - cost * (F.col("quantity") - kept_back) - freight * share)
-        .alias("contribution_margin"),
         # carried for the return fact and the published line fact
         "return_id", "_has_return", "_r_quantity", "_r_refund", "_r_restocked",
         "acquisition_channel", "region", "cohort_month",
         F.coalesce(F.col("_customer_known"), F.lit(False)).alias("_customer_known"),
-    )
+        # carried for lines whose return arrives later
+        F.col("unit_cost").alias("_unit_cost"), (freight * share).alias("_freight"),
+    ))
+
+
+def with_return_economics(lines: DataFrame) -> DataFrame:
+    """I4-I8: the columns of a line that its return decides, from the raw return fields
+    (``return_id, _r_quantity, _r_refund, _r_restocked``), the unit cost and the line's freight.
+    """
+    restocked = F.coalesce(F.col("_r_restocked"), F.lit(False))
+    qty_ret = F.coalesce(F.col("_r_quantity"), F.lit(0))
+    kept_back = F.when(restocked, qty_ret).otherwise(F.lit(0))
+    cost, net = to_double("_unit_cost"), to_double("net_revenue")
+    refund = F.coalesce(to_double("_r_refund"), F.lit(0.0))
+    return lines.withColumns({
+        "is_returned": F.col("return_id").isNotNull(),
+        "quantity_returned": qty_ret,
+        "refund_amount": F.coalesce(F.col("_r_refund"), F.lit(0).cast(DEC12)).cast(DEC12),
+        "is_restocked": restocked,
+        "cogs_recovered": money(cost * kept_back),
+        "cogs_net": money(cost * (F.col("quantity") - kept_back)),
+        "realised_revenue": money(net - refund),
+        "contribution_margin": money(net - refund - cost * (F.col("quantity") - kept_back) - F.col("_freight")),
+    })
+
+
+#: Raw fields of a line's return, by the staged column that they come from.
+RETURN_FIELDS = {"return_id": "return_id", "return_reason": "return_reason", "return_date": "return_date",
+                 "_r_quantity": "quantity_returned", "_r_refund": "refund_amount", "_r_restocked": "is_restocked"}
+
+
+def with_late_returns(lines: DataFrame, returns: DataFrame) -> DataFrame:
+    """Stored lines with staged ``returns`` put on them; a line's later return replaces its earlier one."""
+    late = returns.select(F.col("order_item_id").alias("_late_item"),
+                          *[F.col(c).alias(f"_late_{k}") for k, c in RETURN_FIELDS.items()])
+    j = lines.join(late, lines["order_item_id"] == late["_late_item"], "left")
+    arrived = F.col("_late_item").isNotNull()
+    j = j.withColumns({k: F.when(arrived, F.col(f"_late_{k}")).otherwise(F.col(k)) for k in RETURN_FIELDS}
+                      | {"_has_return": F.when(arrived, F.lit(True)).otherwise(F.col("_has_return"))})
+    return with_return_economics(j.drop(*late.columns)).select(*lines.columns)
 
 
 def order_item_economics(fact: DataFrame) -> DataFrame:

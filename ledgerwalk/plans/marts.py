@@ -47,15 +47,21 @@ class MartBuild:
 
     def __init__(self, src: Sources, band_edges=DEFAULT_BAND_EDGES,
                  materialise: bool = False, folder: str | None = None,
-                 fact_path: str | None = None):
+                 fact_path: str | None = None, store_rollup: bool = True,
+                 buckets: int | None = None):
         """``fact_path``: read the wide line fact from a stored (e.g. restated) copy
-        instead of computing it."""
+        instead of computing it. ``store_rollup`` off: not even the order rollup is stored,
+        for plans that need few of its columns, which then prune the rest. ``buckets``: the
+        header, the roll-up, the customers, their profiles and their months are stored
+        co-located, bucketed by order or customer, so that the marts join without shuffles."""
         self.src = src
         self.fact_path = fact_path
         self.stg = Staged(src)
         self.band_edges = tuple(band_edges)
-        self.materialise = materialise
+        self.materialise = materialise or bool(buckets)
+        self.buckets = buckets
         self.folder = folder
+        self.store_rollup = store_rollup
         self._stored: dict[str, DataFrame] | None = None
 
     @property
@@ -63,21 +69,33 @@ class MartBuild:
         return self.stg.customers.sparkSession
 
     # ------------------------------------------------------------ intermediate
-    def _keep(self, df: DataFrame, name: str, always: bool = False) -> DataFrame:
+    def _keep(self, df: DataFrame, name: str, always: bool = False, key: str | None = None) -> DataFrame:
         if not (self.materialise or always):
             return df
         from ledgerwalk.session import run_folder
+        from ledgerwalk.sources.colocated import store_bucketed
         from ledgerwalk.sources.publish import materialise_frame
 
         if self.folder is None:
             self.folder = run_folder(self.spark, "build")
+        if self.buckets and key:
+            return store_bucketed(df, self.folder, name, key, self.buckets)
         return materialise_frame(df, self.folder, name)
 
+    def _colocate(self, df: DataFrame, name: str, key: str) -> DataFrame:
+        """Stored by ``key`` in a co-located build, else as planned."""
+        return self._keep(df, name, key=key) if self.buckets else df
+
     @cached_property
     def orders(self) -> DataFrame:
         """Staged order header; read by the economics, first orders, fulfilment, spine
         and horizon - written once when materialising."""
-        return self._keep(self.stg.orders, "stg_orders")
+        return self._keep(self.stg.orders, "stg_orders", key="order_id")
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        """Staged customers; co-located with their profiles and months."""
+        return self._colocate(self.stg.customers, "stg_customers", "customer_id")
 
     @cached_property
     def fact(self) -> DataFrame:
@@ -109,7 +127,7 @@ class MartBuild:
     def order_rollup(self) -> DataFrame:
         """I12 (widened): one row per order of the line fact, all additive measures.
         Stored: the customer profile, fulfilment and cohort activity read it, some twice."""
-        return self._keep(self._order_rollup(), "order_rollup", always=True)
+        return self._keep(self._order_rollup(), "order_rollup", always=self.store_rollup, key="order_id")
 
     def _order_rollup(self) -> DataFrame:
         f = self.fact
@@ -140,7 +158,7 @@ class MartBuild:
                      "contribution_margin"),
             F.struct("order_date", "order_id"))
         sold = F.col("order_lines").isNotNull()  # orders without lines have no lifetime
-        return o.groupBy("customer_id").agg(
+        profile = o.groupBy("customer_id").agg(
             first.alias("first"),
             F.count_if(sold).alias("_orders"),
             F.sum("order_lines").alias("_lines"),
@@ -151,6 +169,7 @@ class MartBuild:
             F.sum("returned_lines").alias("_returned"),
             F.max(F.when(sold, F.col("order_date"))).alias("last_order_date"),
         )
+        return self._colocate(profile, "customer_profile", "customer_id")
 
     @cached_property
     def customer_first_order(self) -> DataFrame:
@@ -187,7 +206,7 @@ class MartBuild:
         """M1: every staged customer, with the profile of those who ordered."""
         profile = self.customer_profile.select("*", *self._first_order_columns())
         # a customer without an order has no first order, so nothing of it is defaulted
-        c = (self.stg.customers.join(profile, "customer_id", "left")
+        c = (self.customers.join(profile, "customer_id", "left")
              .crossJoin(F.broadcast(self.horizon)))
         orders = F.coalesce(F.col("_orders"), F.lit(0).cast("long"))
         net = F.coalesce(F.col("_net"), F.lit(0)).cast(MONEY_SUM)
@@ -212,9 +231,9 @@ class MartBuild:
         )
 
     @cached_property
-    def dim_product(self) -> DataFrame:
-        """M2."""
-        perf = self.fact.groupBy("product_id").agg(
+    def product_performance(self) -> DataFrame:
+        """Sums over the lines of each product."""
+        return self.fact.groupBy("product_id").agg(
             F.count(F.lit(1)).alias("_lines"),
             F.sum("quantity").cast("long").alias("_sold"),
             F.sum("quantity_returned").cast("long").alias("_returned"),
@@ -226,6 +245,11 @@ class MartBuild:
             _msum("net_shipping_cost").alias("_ship"),
             _msum("contribution_margin").alias("_cm"),
         )
+
+    @cached_property
+    def dim_product(self) -> DataFrame:
+        """M2."""
+        perf = self.product_performance
         p = self.stg.products.join(perf, "product_id", "left")
 
         def z(c, t):
@@ -294,8 +318,10 @@ class MartBuild:
     @cached_property
     def fct_fulfilment_daily(self) -> DataFrame:
         """M5: shipped and delivered orders by order date x centre x carrier."""
-        value = self.order_rollup.select("order_id", F.col("net_revenue").alias("_net"),
-                                         F.col("contribution_margin").alias("_cm"))
+        shared = self.materialise or "order_rollup" in self.__dict__  # stored for other marts anyway
+        value = self.order_rollup if shared else self._order_rollup()
+        value = value.select("order_id", F.col("net_revenue").alias("_net"),
+                             F.col("contribution_margin").alias("_cm"))
         o = (self.orders
              .filter(F.col("is_shipped") & F.col("delivered_date").isNotNull())
              .join(value, "order_id"))
@@ -348,11 +374,12 @@ class MartBuild:
         """Activity pre-aggregated to (customer, month) before any cohort join, so a hot
         customer contributes one row per month to the shuffle that follows."""
         r = self.order_rollup.filter(F.col("_customer_known"))
-        return r.groupBy("customer_id", "order_month").agg(
+        months = r.groupBy("customer_id", "order_month").agg(
             F.count(F.lit(1)).alias("orders"),
             F.sum("net_revenue").alias("net_revenue"),
             F.sum("contribution_margin").alias("contribution_margin"),
         )
+        return self._colocate(months, "customer_month", "customer_id")
 
     @cached_property
     def repeat_members(self) -> DataFrame:
@@ -361,7 +388,7 @@ class MartBuild:
         from their sources so the lifetime aggregate is not planned."""
         cfo = self.customer_first_order.select(
             "customer_id", "cohort_month", "first_order_experience")
-        return (self.stg.customers.select("customer_id").join(cfo, "customer_id")
+        return (self.customers.select("customer_id").join(cfo, "customer_id")
                 .filter(F.col("cohort_month").isNotNull()))
 
     @cached_property
@@ -406,7 +433,7 @@ class MartBuild:
     def signup_members(self) -> DataFrame:
         """Signup cohort of every customer (the dim_customer columns come straight from
         the staged customers, one dim row per customer)."""
-        return self.stg.customers.select("customer_id", "acquisition_channel", "signup_month")
+        return self.customers.select("customer_id", "acquisition_channel", "signup_month")
 
     @cached_property
     def payback_cohort_size(self) -> DataFrame:
@@ -470,6 +497,11 @@ class MartBuild:
         return MartBuild(self.src, self.band_edges, materialise=True,
                          folder=run_folder(self.spark, "build"))
 
+    @cached_property
+    def light(self) -> "MartBuild":
+        """This build without any stored intermediate: for a check of a few columns."""
+        return MartBuild(self.src, self.band_edges, fact_path=self.fact_path, store_rollup=False)
+
     def stored(self) -> dict[str, DataFrame]:
         """All marts, written once from ``kept`` and read again: for checks of every mart."""
         if self._stored is None:

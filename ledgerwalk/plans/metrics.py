@@ -130,29 +130,112 @@ def evaluate(df: DataFrame, dataset: str, dims: list, metrics: list[str],
     columns that label rather than measure are refused.
     """
     params = params or {}
-    for c in sums or []:
-        if not summable(dataset, c):
-            raise ValueError(f"{dataset}.{c} is a dimension and is never summed")
+    _refuse(dataset, metrics, sums or [], [d for d in dims if isinstance(d, str)], period)
     if period is not None:
         df = df.filter(F.col("period_index") == period)
     ms = [metric(r, dataset) for r in metrics]
-    for m in ms:
-        if m.dataset != dataset:
-            raise ValueError(f"{m.id} is defined on {m.dataset}, not {dataset}")
-    dim_names = [d if isinstance(d, str) else None for d in dims]
-    if any(m.kind == "semi-additive" for m in ms) and "period_index" not in dim_names \
-            and period is None:
-        raise ValueError("semi-additive metrics need period_index grouped or fixed")
     for f in filters or []:
         df = df.filter(f)
     grouped = df.groupBy(*dims) if dims else df.groupBy()
     out = grouped.agg(*[m.build(params).alias(m.name) for m in ms],
                       *[F.sum(c).alias(c) for c in sums or []])
+    return _shares(out, ms)
+
+
+def _refuse(dataset: str, metrics, sums, dims, period: int | None) -> None:
+    """What no answer may do: sum a column that labels, use a metric of another dataset, or add a
+    semi-additive metric up over periods."""
+    for c in sums:
+        if not summable(dataset, c):
+            raise ValueError(f"{dataset}.{c} is a dimension and is never summed")
+    ms = [metric(r, dataset) for r in metrics]
+    for m in ms:
+        if m.dataset != dataset:
+            raise ValueError(f"{m.id} is defined on {m.dataset}, not {dataset}")
+    if any(m.kind == "semi-additive" for m in ms) and "period_index" not in dims and period is None:
+        raise ValueError("semi-additive metrics need period_index grouped or fixed")
+
+
+def _shares(out: DataFrame, ms: list[Metric]) -> DataFrame:
+    """Shares of the total: a window over the aggregated rows only."""
     shares = [m for m in ms if m.kind == "share"]
-    if shares:
-        # share of total: a window over the aggregated rows only
-        total = Window.partitionBy()
-        out = out.withColumns({m.name: _div(F.col(m.name), F.sum(m.name).over(total)) for m in shares})
+    total = Window.partitionBy()
+    return out.withColumns({m.name: _div(F.col(m.name), F.sum(m.name).over(total)) for m in shares}) if shares else out
+
+
+@dataclass(frozen=True)
+class Request:
+    """One question to a dataset: metrics by ``dims`` under ``filters``, as ``evaluate`` takes them."""
+
+    name: str
+    dims: tuple[str, ...]
+    metrics: tuple[str, ...]
+    filters: tuple[Column, ...] = ()
+    period: int | None = None
+    sums: tuple[str, ...] = ()
+
+
+def evaluate_shared(df: DataFrame, dataset: str, requests: list[Request], params: dict | None = None,
+                    folder: str | None = None) -> dict[str, DataFrame]:
+    """Answer several requests on one dataset from a single scan of it.
+
+    Each request is a grouping set: its dimensions and, where it filters, its filter as a flag,
+    of which only the true half is kept; rows that no request wants are left out before.
+    Requests with equal dimensions and filters share a set. ``grouping_id`` says which
+    set an aggregated row belongs to. The aggregate, as small as its answers, is stored, and
+    the answers are read from it: the columns that ``evaluate`` gives, by name of request.
+    The rules of ``evaluate`` on semi-additive metrics and on columns that label hold.
+    """
+    from ledgerwalk.session import run_folder
+    from ledgerwalk.sources.publish import materialise_frame
+
+    params = params or {}
+    asked: dict[str, Column] = {}
+    sets: list[list[str]] = []
+    flags: list[Column | None] = []
+    flagged: dict[str, Column] = {}
+    of_request: list[int] = []
+    for r in requests:
+        _refuse(dataset, r.metrics, r.sums, r.dims, r.period)
+        asked.update({metric(m, dataset).id: metric(m, dataset).build(params) for m in r.metrics})
+        asked.update({f"sum({c})": F.sum(c) for c in r.sums})
+        conditions = [*r.filters, *([F.col("period_index") == r.period] if r.period is not None else [])]
+        flag, group = None, list(r.dims)
+        if conditions:
+            both = conditions[0]
+            for c in conditions[1:]:
+                both = both & c
+            flag = F.coalesce(both, F.lit(False))
+            key = next((k for k, c in flagged.items() if str(c) == str(flag)), f"_wanted{len(flagged)}")
+            flagged[key] = flag
+            group.append(key)
+        if sorted(group) not in [sorted(x) for x in sets]:
+            sets.append(group)
+            flags.append(flag)
+        of_request.append(next(i for i, x in enumerate(sets) if sorted(x) == sorted(group)))
+
+    if all(f is not None for f in flags):
+        wanted = flags[0]
+        for f in flags[1:]:
+            wanted = wanted | f
+        df = df.where(wanted)
+    cols = list(dict.fromkeys(c for x in sets for c in x))
+    shared = df.withColumns(flagged) if flagged else df
+    columns = [F.col(c) for c in cols]
+    shared = shared.groupingSets([[F.col(c) for c in x] for x in sets], *columns).agg(
+        F.grouping_id().alias("_set"), *[c.alias(k) for k, c in asked.items()])
+    shared = materialise_frame(shared, folder or run_folder(df.sparkSession, "shared-scan"), "answers")
+
+    out = {}
+    for r, i in zip(requests, of_request):
+        bits = sum(1 << (len(cols) - 1 - k) for k, c in enumerate(cols) if c not in sets[i])
+        rows = shared.where(F.col("_set") == bits)
+        for c in sets[i]:
+            if c in flagged:
+                rows = rows.where(F.col(c))
+        rows = rows.select(*r.dims, *[F.col(f"`{metric(m, dataset).id}`").alias(metric(m, dataset).name) for m in r.metrics],
+                           *[F.col(f"`sum({c})`").alias(c) for c in r.sums])
+        out[r.name] = _shares(rows, [metric(m, dataset) for m in r.metrics])
     return out
 
 

@@ -32,6 +32,22 @@ RAW_CONTRACTS = {
     for name, cols in RAW_COLUMNS.items()
 }
 
+#: What staging types each column as, and whether it may be blank; other columns are text.
+RAW_TYPES = {
+    "customers": {"signup_date": ("date", False), "marketing_opt_in": ("int", False)},
+    "products": {"unit_cost": ("decimal(12,2)", False), "list_price": ("decimal(12,2)", False),
+                 "weight_kg": ("decimal(8,2)", False)},
+    "orders": {"order_date": ("date", False), "order_sequence": ("int", False), "is_shipped": ("int", False),
+               "promised_delivery_date": ("date", True), "shipped_date": ("date", True), "delivered_date": ("date", True),
+               "shipping_fee_charged": ("decimal(12,2)", False), "shipping_cost": ("decimal(12,2)", False)},
+    "order_items": {"quantity": ("int", False), "unit_price": ("decimal(12,2)", False),
+                    "discount_amount": ("decimal(12,2)", False)},
+    "returns": {"return_date": ("date", False), "quantity_returned": ("int", False), "restocked": ("int", False),
+                "refund_amount": ("decimal(12,2)", False)},
+    "marketing_spend": {"spend_date": ("date", False), "spend": ("decimal(12,2)", False),
+                        "impressions": ("bigint", False), "clicks": ("bigint", False)},
+}
+
 # Published marts, their keys and their column order.
 PUBLISHED = (
     "dim_customer", "dim_product", "fct_order_items", "fct_returns",

@@ -1,6 +1,6 @@
 from ledgerwalk.streaming.restatement import (
-    affected_months, write_fact_by_month, restate_months, start_restatement_stream,
+    affected_months, write_fact_by_month, restate_months, start_maintenance_stream, start_restatement_stream,
 )
 
 __all__ = ["affected_months", "write_fact_by_month", "restate_months",
-           "start_restatement_stream"]
+           "start_maintenance_stream", "start_restatement_stream"]

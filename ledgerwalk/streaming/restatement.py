@@ -16,10 +16,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from ledgerwalk.plans.deltas import MaintainedMarts
 from ledgerwalk.plans.economics import line_fact
 from ledgerwalk.plans.marts import MartBuild
 from ledgerwalk.plans.staging import stg_returns
 from ledgerwalk.sources.contracts import RAW_CONTRACTS
+from ledgerwalk.sources.versions import VersionConflict
 
 
 def write_fact_by_month(fact: DataFrame, path: str) -> None:
@@ -75,3 +77,25 @@ def start_restatement_stream(spark: SparkSession, returns_dir: str,
     writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()
+
+
+def start_maintenance_stream(spark: SparkSession, returns_dir: str, kept: MaintainedMarts, checkpoint: str,
+                             available_now: bool = True, tries: int = 5) -> StreamingQuery:
+    """Watch ``returns_dir`` for return extracts (CSV, header) and restate the states of the months that
+    they touch; every batch is one new version. A batch that another writer got ahead of
+    is tried again on the version that stands then. A replayed batch changes nothing.
+    """
+    stream = spark.readStream.schema(RAW_CONTRACTS["returns"]).option("header", True).csv(returns_dir)
+
+    def on_batch(batch: DataFrame, epoch_id: int) -> None:
+        for left in reversed(range(tries)):
+            try:
+                kept.restate(batch)
+                return
+            except VersionConflict:
+                if not left:
+                    raise
+
+    writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer
+    return writer.start()

@@ -221,3 +221,83 @@ CROSS JOIN (SELECT {D('sum(on_time_orders)', 'sum(orders)')} AS on_time_rate
             FROM fct_fulfilment_daily) d
 CROSS JOIN (SELECT count(*) AS customers FROM dim_customer) c""",
                                ["fct_order_items", "fct_fulfilment_daily", "dim_customer"])
+
+SQL["order_values_by_quarter"] = compose(f"""
+SELECT category, CAST(date_trunc('quarter', order_month) AS DATE) AS quarter,
+       CAST(sum(net_revenue) AS DECIMAL(38,2)) AS net_revenue, count(DISTINCT order_id) AS orders,
+       {D('sum(net_revenue)', 'count(DISTINCT order_id)')} AS average_order_value,
+       {D('sum(contribution_margin)', 'count(DISTINCT order_id)')} AS margin_per_order
+FROM fct_order_items GROUP BY ALL""", ["fct_order_items"])
+
+SQL["shared_order_lines"] = compose(f"""
+SELECT 'sheet_01' AS request, category, CAST(NULL AS DATE) AS month,
+       CAST(sum(contribution_margin) AS DECIMAL(38,2)) AS margin_basis, NULL AS contribution_margin,
+       CAST(NULL AS DOUBLE) AS contribution_margin_rate, CAST(NULL AS DOUBLE) AS average_order_value,
+       CAST(NULL AS DOUBLE) AS margin_per_order, CAST(NULL AS DOUBLE) AS return_line_rate,
+       CAST(NULL AS DOUBLE) AS freight_pct_revenue, CAST(NULL AS DOUBLE) AS discount_pct_gross,
+       CAST(NULL AS DOUBLE) AS category_contribution_share
+FROM fct_order_items GROUP BY category
+UNION ALL BY NAME
+SELECT 'sheet_03' AS request, category, CAST(date_trunc('month', order_month) AS DATE) AS month,
+       CAST(sum(contribution_margin) AS DECIMAL(38,2)) AS contribution_margin
+FROM fct_order_items GROUP BY ALL
+UNION ALL BY NAME
+SELECT 'metrics_order_lines' AS request, category,
+       {D('sum(contribution_margin)', 'sum(net_revenue)')} AS contribution_margin_rate,
+       {D('sum(net_revenue)', 'count(DISTINCT order_id)')} AS average_order_value,
+       {D('sum(contribution_margin)', 'count(DISTINCT order_id)')} AS margin_per_order,
+       {D('count(*) FILTER (WHERE is_returned)', 'count(order_item_id)')} AS return_line_rate,
+       {D('sum(net_shipping_cost)', 'sum(net_revenue)')} AS freight_pct_revenue,
+       {D('sum(discount_amount)', 'sum(gross_revenue)')} AS discount_pct_gross,
+       {D('sum(contribution_margin)', '(SELECT sum(contribution_margin) FROM fct_order_items)')}
+           AS category_contribution_share,
+       CAST(sum(contribution_margin) AS DECIMAL(38,2)) AS margin_basis
+FROM fct_order_items GROUP BY category
+UNION ALL BY NAME
+SELECT 'repeat_lines' AS request, category,
+       {D('sum(contribution_margin)', 'sum(net_revenue)')} AS contribution_margin_rate
+FROM fct_order_items WHERE order_sequence > 1 GROUP BY category""", ["fct_order_items"])
+
+_LANE = "fulfilment_centre, " + ", ".join(
+    f"sum(on_time_orders) FILTER (WHERE carrier = 'Carrier {k}') / nullif(CAST(sum(orders) FILTER "
+    f"(WHERE carrier = 'Carrier {k}') AS DOUBLE), 0) AS \"Carrier {k}\"" for k in range(3))
+SQL["sheet_06_matrix"] = compose(f"SELECT {_LANE} FROM fct_fulfilment_daily GROUP BY fulfilment_centre",
+                                 ["fct_fulfilment_daily"])
+SQL["lanes_of_two_centres"] = compose(f"""
+SELECT fulfilment_centre, carrier, {D('sum(on_time_orders)', 'sum(orders)')} AS on_time_rate,
+       {D('sum(days_late_total)', 'sum(orders)')} AS average_days_late,
+       {D('sum(late_net_revenue)', 'sum(net_revenue)')} AS late_revenue_share
+FROM fct_fulfilment_daily WHERE fulfilment_centre IN ('ASIA', 'EUROPE') AND carrier IN ('Carrier 0', 'Carrier 2')
+GROUP BY fulfilment_centre, carrier""", ["fct_fulfilment_daily"])
+
+# each month end sees the orders and returns up to it, as a build over cut sources would
+SQL["as_of_summary"] = compose("""
+, dates AS (
+  SELECT CAST(last_day(max(order_date) - to_months(CAST(i AS INTEGER))) AS DATE) AS as_of
+  FROM stg_orders, range(12) AS r(i) GROUP BY i),
+bare AS (
+  SELECT order_item_id, CAST(round(net - unit_cost * quantity - (parcel_cost - parcel_fee) * revenue_share, 2)
+                             AS DECIMAL(14,2)) AS cm
+  FROM line_walk),
+lines AS (
+  SELECT d.as_of, e.customer_id, e.order_id, e.order_date, e.net_revenue,
+         e.is_returned AND greatest(e.return_date, e.order_date) <= d.as_of AS back, e.refund_amount,
+         e.contribution_margin, bare.cm
+  FROM dates AS d JOIN order_item_economics AS e ON e.order_date <= d.as_of JOIN bare USING (order_item_id)),
+per AS (
+  SELECT as_of, customer_id, count(DISTINCT order_id) AS orders, max(order_date) AS last_order_date,
+         sum(net_revenue) AS net, sum(CASE WHEN back THEN contribution_margin ELSE cm END) AS cm,
+         sum(CASE WHEN back THEN refund_amount ELSE 0 END) AS refunds
+  FROM lines GROUP BY ALL),
+horizon AS (
+  SELECT as_of, max(order_date) AS seen FROM dates JOIN stg_orders ON order_date <= as_of GROUP BY as_of)
+SELECT as_of, count(*) AS customers, count(*) FILTER (orders > 0) AS ordering_customers,
+       count(*) FILTER (orders > 1) AS repeat_customers,
+       count(*) FILTER (date_diff('day', last_order_date, seen) <= 180) AS active_customers,
+       CAST(sum(coalesce(orders, 0)) AS BIGINT) AS orders,
+       CAST(sum(coalesce(net, 0)) AS DECIMAL(38,2)) AS lifetime_net_revenue,
+       CAST(sum(coalesce(cm, 0)) AS DECIMAL(38,2)) AS lifetime_contribution_margin,
+       CAST(sum(coalesce(refunds, 0)) AS DECIMAL(38,2)) AS lifetime_refunds
+FROM dates JOIN horizon USING (as_of) CROSS JOIN stg_customers AS c
+LEFT JOIN per USING (as_of, customer_id) GROUP BY as_of""".lstrip(),
+                                ["stg_orders", "stg_customers", "order_item_economics", "line_walk"]).replace("\n)\n, dates", "\n), dates")

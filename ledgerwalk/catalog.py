@@ -118,10 +118,12 @@ from ledgerwalk.plans import deltas as D  # noqa: E402
 QUERIES["order_values_by_quarter"] = D.order_values_by_quarter
 QUERIES["restated_marts"] = D.restated_marts
 QUERIES["colocated_marts"] = D.colocated_marts
-from ledgerwalk.plans.asof import as_of_summary  # noqa: E402
+from ledgerwalk.plans.asof import as_of_summary, payback_by_month_end, repeat_rates_by_month_end  # noqa: E402
 from ledgerwalk.plans.ledger import resumed_build  # noqa: E402
 
 QUERIES["as_of_summary"] = as_of_summary
+QUERIES["as_of_repeat_rates"] = repeat_rates_by_month_end
+QUERIES["as_of_payback"] = payback_by_month_end
 QUERIES["resumed_build"] = resumed_build
 QUERIES["contract_c27_buckets"] = C.c27_buckets
 QUERIES["shared_order_lines"] = A.shared_order_lines

@@ -271,8 +271,7 @@ FROM fct_fulfilment_daily WHERE fulfilment_centre IN ('ASIA', 'EUROPE') AND carr
 GROUP BY fulfilment_centre, carrier""", ["fct_fulfilment_daily"])
 
 # each month end sees the orders and returns up to it, as a build over cut sources would
-SQL["as_of_summary"] = compose("""
-, dates AS (
+_AS_OF = """, dates AS (
   SELECT CAST(last_day(max(order_date) - to_months(CAST(i AS INTEGER))) AS DATE) AS as_of
   FROM stg_orders, range(12) AS r(i) GROUP BY i),
 bare AS (
@@ -280,17 +279,26 @@ bare AS (
                              AS DECIMAL(14,2)) AS cm
   FROM line_walk),
 lines AS (
-  SELECT d.as_of, e.customer_id, e.order_id, e.order_date, e.net_revenue,
+  SELECT d.as_of, e.customer_id, e.order_id, e.order_date, e.order_month, e.net_revenue,
          e.is_returned AND greatest(e.return_date, e.order_date) <= d.as_of AS back, e.refund_amount,
          e.contribution_margin, bare.cm
   FROM dates AS d JOIN order_item_economics AS e ON e.order_date <= d.as_of JOIN bare USING (order_item_id)),
-per AS (
+horizon AS (
+  SELECT as_of, max(order_date) AS seen, min(order_month) AS lo, max(order_month) AS hi
+  FROM dates JOIN stg_orders ON order_date <= as_of GROUP BY as_of)"""
+_AS_OF_MODELS = ["stg_orders", "stg_customers", "order_item_economics", "line_walk"]
+
+
+def _as_of(select: str, deps: list[str]) -> str:
+    return compose(_AS_OF + select, _AS_OF_MODELS + deps).replace("\n)\n, dates", "\n), dates", 1)
+
+
+SQL["as_of_summary"] = _as_of("""
+, per AS (
   SELECT as_of, customer_id, count(DISTINCT order_id) AS orders, max(order_date) AS last_order_date,
          sum(net_revenue) AS net, sum(CASE WHEN back THEN contribution_margin ELSE cm END) AS cm,
          sum(CASE WHEN back THEN refund_amount ELSE 0 END) AS refunds
-  FROM lines GROUP BY ALL),
-horizon AS (
-  SELECT as_of, max(order_date) AS seen FROM dates JOIN stg_orders ON order_date <= as_of GROUP BY as_of)
+  FROM lines GROUP BY ALL)
 SELECT as_of, count(*) AS customers, count(*) FILTER (orders > 0) AS ordering_customers,
        count(*) FILTER (orders > 1) AS repeat_customers,
        count(*) FILTER (date_diff('day', last_order_date, seen) <= 180) AS active_customers,
@@ -299,5 +307,37 @@ SELECT as_of, count(*) AS customers, count(*) FILTER (orders > 0) AS ordering_cu
        CAST(sum(coalesce(cm, 0)) AS DECIMAL(38,2)) AS lifetime_contribution_margin,
        CAST(sum(coalesce(refunds, 0)) AS DECIMAL(38,2)) AS lifetime_refunds
 FROM dates JOIN horizon USING (as_of) CROSS JOIN stg_customers AS c
-LEFT JOIN per USING (as_of, customer_id) GROUP BY as_of""".lstrip(),
-                                ["stg_orders", "stg_customers", "order_item_economics", "line_walk"]).replace("\n)\n, dates", "\n), dates")
+LEFT JOIN per USING (as_of, customer_id) GROUP BY as_of""", [])
+
+SQL["as_of_repeat_rates"] = _as_of(f"""
+, per AS (
+  SELECT as_of, customer_id, count(DISTINCT order_id) AS orders FROM lines GROUP BY ALL),
+begun AS (
+  SELECT h.as_of, f.customer_id, coalesce(per.orders, 0) > 1 AS again, coalesce(f.is_on_time, true) AS punctual,
+         EXISTS (SELECT 1 FROM lines l WHERE l.as_of = h.as_of AND l.order_id = f.order_id AND l.back) AS sent_back
+  FROM horizon AS h JOIN first_order_per_customer AS f ON f.order_date <= h.as_of
+  JOIN stg_customers USING (customer_id)
+  LEFT JOIN per ON per.as_of = h.as_of AND per.customer_id = f.customer_id
+  WHERE f.order_month <= date_trunc('month', h.seen) - INTERVAL 12 MONTH),
+rates AS (
+  SELECT as_of, CASE WHEN NOT punctual AND sent_back THEN 'Late and returned' WHEN NOT punctual THEN 'Delivered late'
+                     WHEN sent_back THEN 'Returned' ELSE 'Clean' END AS first_order_experience,
+         count(*) AS customers, count(*) FILTER (again) AS repeat_customers,
+         {D('count(*) FILTER (again)', 'count(*)')} AS repeat_rate
+  FROM begun GROUP BY ALL)
+SELECT *, repeat_rate - max(repeat_rate) FILTER (first_order_experience = 'Clean') OVER (PARTITION BY as_of) AS gap_to_clean
+FROM rates""", ["first_order_per_customer"])
+
+SQL["as_of_payback"] = _as_of(f"""
+, earned AS (
+  SELECT l.as_of, c.acquisition_channel, c.signup_month, sum(CASE WHEN back THEN contribution_margin ELSE cm END) AS cm
+  FROM lines AS l JOIN stg_customers AS c USING (customer_id)
+  WHERE l.order_month BETWEEN c.signup_month AND c.signup_month + INTERVAL 12 MONTH GROUP BY ALL),
+cohorts AS (
+  SELECT h.as_of, k.* FROM horizon AS h JOIN channel_cac AS k
+    ON k.signup_month + INTERVAL 12 MONTH BETWEEN h.lo AND h.hi)
+SELECT as_of, acquisition_channel, {D('sum(acquisition_spend)', 'sum(cohort_customers)')} AS cac,
+       {D('sum(coalesce(cm, 0))', 'sum(acquisition_spend)')} AS payback_multiple,
+       {D('sum(coalesce(cm, 0))', 'sum(cohort_customers)')} AS margin_per_customer
+FROM cohorts LEFT JOIN earned USING (as_of, acquisition_channel, signup_month)
+GROUP BY as_of, acquisition_channel""", ["channel_cac"])

@@ -8,7 +8,7 @@ import tempfile
 import pytest
 from builders import raw_sources, spend
 from ledgerwalk.plans import analyses as A, checks as C, ledger
-from ledgerwalk.plans.asof import as_of_customers, month_ends
+from ledgerwalk.plans.asof import as_of_customers, as_of_payback, as_of_repeat_rates, month_ends
 from ledgerwalk.plans.ledger import MODELS, LedgeredBuild, source_key
 from ledgerwalk.plans.marts import MartBuild
 from ledgerwalk.plans.metrics import Request, evaluate, evaluate_shared, in_range, member_of
@@ -209,6 +209,15 @@ def test_as_of_dates_equal_builds_over_cut_sources(spark, whole):
         want = cut.dim_customer.select(*columns)
         mine = got.where(F.col("as_of") == F.lit(d)).select(*columns)
         assert C.differing_rows(want, mine).collect() == [], d
+        for months in (2, 12):
+            q4 = A.answer_q4(cut, months=months, period=1)
+            mine = as_of_repeat_rates(b, dates, months).where(F.col("as_of") == F.lit(d))
+            keys = ("first_order_experience", "customers", "repeat_customers", "repeat_rate", "gap_to_clean")
+            assert rows(mine, *keys) == rows(q4, *keys), d
+        for period in (0, 3):
+            q5 = A.answer_q5(cut, period=period)
+            mine = as_of_payback(b, dates, period).where(F.col("as_of") == F.lit(d))
+            assert rows(mine, *q5.columns) == rows(q5, *q5.columns), d
 
 
 def test_month_ends(spark, whole):

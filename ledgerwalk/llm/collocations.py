@@ -26,8 +26,8 @@ COUNTED = MEMO_WORDS = 250_000
 ARRAY_IDS, SUMMED, PROPOSED = 250_000, 750_000, 2_000_000
 #: Buckets that counts are summed in, at least, and words of the corpus per bucket.
 LEAST_BUCKETS, BUCKET_WORDS = 24, 2_000_000
-#: Bits of the filter that tells frequent words, at least and at most (16 MB).
-LEAST_BITS, MOST_BITS = 16, 27
+#: Bits of the number of cells of the filter that tells frequent words, at least and at most (8 MB).
+LEAST_BITS, MOST_BITS = 16, 23
 
 _GAP = 0xFF  # no byte of UTF-8
 _TEXT = bytes(_GAP if b in b".,;:!?\x0a\x0b\x0c\x0d" else LOWER.encode()[UPPER.encode().index(b)] if 65 <= b <= 90 else b
@@ -383,14 +383,15 @@ def _distinct_ids(texts: DataFrame, most_seeds: int = 8):
 
 
 def _frequent_filter(words: DataFrame):
-    """A filter of one bit a word by the upper bits of its id: it knows every frequent word, and
-    lets few others pass. Its size is bounded whatever the number of words."""
+    """A filter of cells by the upper bits of word ids: it knows every frequent word, and lets few others
+    pass. Its size is bounded whatever the number of words; beyond that it only lets more
+    words pass, which costs proposals and no result."""
     import numpy as np
 
     bits = min(MOST_BITS, max(LEAST_BITS, (16 * words.count()).bit_length()))
     place = F.shiftright("id", 63 - bits)
     table = np.zeros(1 << bits, dtype=bool)
-    table[words.select(place.alias("at")).distinct().toArrow()["at"].to_numpy()] = True
+    table[words.select(place.cast("int").alias("at")).distinct().toArrow()["at"].to_numpy()] = True
     return bits, table
 
 

@@ -3,7 +3,7 @@
 import tempfile
 
 import pytest
-from builders import raw_sources, ret
+from builders import customer, order, product, raw_sources, ret
 from ledgerwalk.plans.checks import differing_rows
 from ledgerwalk.plans.deltas import MaintainedMarts, numbered_orders
 from ledgerwalk.plans.marts import MartBuild
@@ -124,3 +124,13 @@ def test_orders_are_numbered_without_gaps(spark, whole):
     src, full = whole
     d = numbered_orders(full.stg.orders, block=20).orderBy("order_month", "order_id").collect()
     assert [r["order_no"] for r in d] == list(range(len(d)))
+
+
+@pytest.mark.parametrize("orders", [[], [order("O1", "C1")]])
+def test_shops_without_lines(spark, orders):
+    src = raw_sources(spark, customers=[customer("C1")], products=[product("P1")], orders=orders)
+    full = MartBuild(src)
+    kept = MaintainedMarts(full, tempfile.mkdtemp(prefix="lw-states-"))
+    kept.initialise()
+    assert_equal(full, kept.marts())
+    assert kept.restate(raw_sources(spark, returns=[ret("R1", "I1")]).returns) == []

@@ -288,7 +288,8 @@ def fit_quality(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", lab
     waves = Waves([means[f"m{i}"] for i in range(size)], [s if s > 1e-9 else 1.0 for s in spread], 1.0)
     near = np.array([r["x"] for r in bounded_sample(learn.select("x").distinct(), WIDTH_ROWS, "x").collect()])
     near = waves.scaled(near)
-    between = np.sqrt(np.maximum(0.0, ((near[:, None, :] - near[None, :, :]) ** 2).sum(axis=2)))
+    square = (near * near).sum(axis=1)
+    between = np.sqrt(np.maximum(0.0, square[:, None] + square[None, :] - 2.0 * (near @ near.T)))
     waves.width = MEDIANS * float(np.median(between[np.triu_indices(len(near), 1)])) if len(near) > 1 else 1.0
     waves.width = waves.width or 1.0
 

@@ -504,7 +504,10 @@ class MartBuild:
 
     @cached_property
     def light(self) -> "MartBuild":
-        """This build without any stored intermediate: for a check of a few columns."""
+        """This build without any stored intermediate, for a check of a few columns; a build that has
+        stored some already reads those."""
+        if self.materialise or self._stored is not None:
+            return self
         return MartBuild(self.src, self.band_edges, fact_path=self.fact_path, store_rollup=False)
 
     def stored(self) -> dict[str, DataFrame]:

@@ -296,7 +296,7 @@ def c21_fulfilment_counts(b: MartBuild) -> DataFrame:
 
 # --------------------------------------------------------------- agreement
 def c22_net_revenue_agrees(b: MartBuild) -> DataFrame:
-    k = b.kept
+    k = b.light
     return _union([
         _recon("C22", f"{m}.{c}", _two(k.fct_order_items, F.col("net_revenue"),
                                        getattr(k, m), F.col(c)), PENCE)
@@ -305,7 +305,7 @@ def c22_net_revenue_agrees(b: MartBuild) -> DataFrame:
 
 
 def c23_margin_agrees(b: MartBuild) -> DataFrame:
-    k, cm = b.kept, F.col("contribution_margin")
+    k, cm = b.light, F.col("contribution_margin")
     return _union([
         _recon("C23", f"{m}.contribution_margin", _two(k.fct_order_items, cm, getattr(k, m), cm), PENCE)
         for m in ["dim_product", "fct_discount_bands"]])

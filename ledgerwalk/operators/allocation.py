@@ -43,9 +43,7 @@ def allocate_exact(df: DataFrame, key: str, line_id: str, total_cents: str, shar
     from ledgerwalk.sources.publish import materialise_frame
 
     total = F.col(total_cents).cast("long")
-    raw = F.abs(total).cast("double") * F.col(share).cast("double")
-    d = (df.withColumn("_al_base", F.floor(raw).cast("long"))
-         .withColumn("_al_rem", raw - F.col("_al_base").cast("double")))
+    d = _floors(df, total, share)
     d = materialise_frame(exact_blocks(d, key, line_id, block_lines),
                           run_folder(df.sparkSession, "allocation"), "blocks")
     local = d.withColumn("_al_local", F.row_number().over(
@@ -64,6 +62,27 @@ def allocate_exact(df: DataFrame, key: str, line_id: str, total_cents: str, shar
         "_al_base", "_al_rem", "_al_block", "_al_local", "_al_offset", "_al_missing")
 
 
+def _floors(df: DataFrame, total: Column, share: str) -> DataFrame:
+    """Each row's whole cents and the remainder that it may get one more for."""
+    raw = F.abs(total).cast("double") * F.col(share).cast("double")
+    return (df.withColumn("_al_base", F.floor(raw).cast("long"))
+            .withColumn("_al_rem", raw - F.col("_al_base").cast("double")))
+
+
+def allocate_exact_small(df: DataFrame, key: str, line_id: str, total_cents: str, share: str,
+                         out: str = "allocated_cents") -> DataFrame:
+    """``allocate_exact`` for keys of few rows (``BLOCK_LINES`` at most): each key is ranked in one
+    task, where the join that gave the rows their total has already dealt them."""
+    total = F.col(total_cents).cast("long")
+    whole = Window.partitionBy(key)
+    j = _floors(df, total, share).withColumns({
+        "_al_local": F.row_number().over(whole.orderBy(F.col("_al_rem").desc(), F.col(line_id))),
+        "_al_missing": F.max(F.abs(total)).over(whole) - F.sum("_al_base").over(whole)})
+    more = F.when(F.col("_al_local") <= F.col("_al_missing"), 1).otherwise(0)
+    return j.withColumn(out, (F.signum(total) * (F.col("_al_base") + more)).cast("long")).drop(
+        "_al_base", "_al_rem", "_al_local", "_al_missing")
+
+
 def exact_blocks(d: DataFrame, key: str, line_id: str, block_lines: int) -> DataFrame:
     """``d`` with ``_al_block``: the range partition by (key, remainder descending, line)."""
     parts = max(1, -(-d.count() // block_lines))

@@ -179,20 +179,34 @@ def order_item_economics(fact: DataFrame) -> DataFrame:
     return fact.select(*ECONOMICS_COLUMNS)
 
 
-def exact_freight_allocation(stg: Staged, orders: DataFrame | None = None) -> DataFrame:
+def exact_freight_allocation(stg: Staged, orders: DataFrame | None = None,
+                             block_lines: int | None = None) -> DataFrame:
     """T8 option: net freight per line by largest remainder, so the lines of an order
     add up to its header freight to the penny (the published margin walk keeps the
-    per-line rounding)."""
-    from ledgerwalk.operators.allocation import allocate_exact
+    per-line rounding). Orders of more than ``block_lines`` lines, of which there can only be few, are
+    ranked in blocks; all others where the join with their header has put them."""
+    from ledgerwalk.operators.allocation import BLOCK_LINES, allocate_exact, allocate_exact_small
+    from ledgerwalk.session import run_folder
+    from ledgerwalk.sources.publish import materialise_frame
 
+    block_lines = BLOCK_LINES if block_lines is None else block_lines
     orders = stg.orders if orders is None else orders
     hdr = orders.select(
         "order_id",
         ((F.col("shipping_cost") - F.col("shipping_fee_charged")) * 100).cast("long")
         .alias("freight_cents"))
-    lines = alloc.join(hdr, "order_id")
-    out = allocate_exact(lines, "order_id", "order_item_id", "freight_cents", "revenue_share",
-                         "freight_cents_allocated")
+
+    def lines(items: DataFrame) -> DataFrame:
+        return basket_allocation(items).join(hdr, "order_id")
+
+    how = ("order_id", "order_item_id", "freight_cents", "revenue_share", "freight_cents_allocated")
+    small = lines(stg.order_items).filter(F.col("order_line_count") <= block_lines)
+    out = allocate_exact_small(small, *how)
+    large = stg.order_items.groupBy("order_id").count().filter(F.col("count") > block_lines).select("order_id")
+    large = materialise_frame(large, run_folder(large.sparkSession, "allocation"), "large_orders")
+    if not large.isEmpty():
+        of_large = lines(stg.order_items.join(large, "order_id", "left_semi"))
+        out = out.unionByName(allocate_exact(of_large, *how))
     return out.select(
         "order_item_id", "order_id", "revenue_share", "freight_cents",
         (F.col("freight_cents_allocated").cast(DecimalType(20, 0)) / 100)

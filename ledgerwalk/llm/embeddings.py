@@ -17,7 +17,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, functions as F
 
 from .common import bounded_sample, small_batches, store
-from .groups import components, in_blocks, spanning_edges, whole_groups
+from .groups import components, in_blocks, whole_groups
 
 #: Distinct vectors aimed at per cell, and the most pivots (of all labels) that tasks get at first.
 CELL, MOST_PIVOTS = 2_000, 4_096
@@ -25,7 +25,7 @@ CELL, MOST_PIVOTS = 2_000, 4_096
 #: rows of a portion of it, and parts a row may go to on average if parting is to pay.
 LARGE, PARTS, MOST_LEVELS, PORTION, MOST_REPLICAS = 8_000, 256, 6, 50_000, 6
 #: Vectors of a cell that a task compares at once; beyond, blocks.
-BLOCK = 4_096
+BLOCK = 8_192
 #: Rows and columns of one tile of cosines.
 TILE = 1_024
 #: Slack of every bound, far above rounding errors: it can only add replicas.
@@ -94,9 +94,10 @@ def _radii(pivots_of: dict):
     return run
 
 
-def _cells(pivots_of: dict, radius: dict, eps: float):
+def _cells(pivots_of: dict, radius: dict, eps: float, count_only: bool = False):
     """A row for each vector's home cell and for each cell that may hold a partner. Labels
-    without pivots are one cell each."""
+    without pivots are one cell each. ``count_only``: of labels with pivots, how many rows and
+    vectors those are."""
     def assign(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
@@ -111,10 +112,14 @@ def _cells(pivots_of: dict, radius: dict, eps: float):
                 part, pivots = b.take(pa.array(at)), pivots_of[label]
                 r = np.array([radius.get((label, k), -4.0) for k in range(len(pivots))])
                 row, cell, home = _near_cells(unit_rows(part["vector"]), pivots, r, eps)
+                if count_only:
+                    yield pa.record_batch([part["label"][:1], pa.array([len(row)], pa.int64()), pa.array([len(at)], pa.int64())],
+                                          ["label", "n", "vectors"])
+                    continue
                 out = part.take(pa.array(row))
                 yield pa.record_batch([out["label"], pa.array(cell.astype(str).tolist(), pa.string()), pa.array(home),
                                        out["node"], out["copies"], out["vector"]], names)
-            if alone:
+            if alone and not count_only:
                 out = b.take(pa.array(np.concatenate(alone)))
                 yield pa.record_batch([out["label"], pa.array(["0"] * len(out), pa.string()),
                                        pa.array([True] * len(out)), out["node"], out["copies"], out["vector"]], names)
@@ -165,6 +170,12 @@ def _part_cells(eps: float | None, count_only: bool):
     return run
 
 
+def worth(parts: int) -> float:
+    """Parts that a row may go to on average if so many parts are to pay: each row at home meets all
+    rows of its part, while undivided each pair meets once."""
+    return min(MOST_REPLICAS, parts / 2)
+
+
 def part_large_cells(cells: DataFrame, eps: float) -> DataFrame:
     """``cells`` in which those of more than ``LARGE`` rows are parted by pivots of their own, in
     rounds; whatever the number of vectors, so are the cells.
@@ -210,8 +221,9 @@ def part_large_cells(cells: DataFrame, eps: float) -> DataFrame:
         full = store(pivots.join(radii, key).select(*key, "count", F.transform("own", lambda v, i: F.struct(
             v.alias("vector"), F.try_element_at("radii", i).alias("r"))).alias("pivots")), "cell-pivots-radii")
         n = with_pivots(full).mapInArrow(_part_cells(eps, True), f"label {kind['label']}, cell string, n long")
-        n = n.groupBy(*key).agg(F.sum("n").alias("n")).join(large, key)
-        parted = store(n.where(F.col("n") <= MOST_REPLICAS * F.col("count")).select(*key), "parted-cells")
+        n = n.groupBy(*key).agg(F.sum("n").alias("n")).join(full.select(*key, "count", F.size("pivots").alias("parts")), key)
+        most = F.least(F.lit(float(MOST_REPLICAS)), F.col("parts") / 2)  # as in ``worth``
+        parted = store(n.where(F.col("n") <= most * F.col("count")).select(*key), "parted-cells")
         done = store(done.unionByName(large.select(*key).join(parted, key, "left_anti")), "whole-cells")
         full = full.join(parted, key, "left_semi")
         rows = rows.join(parted, key, "left_semi")
@@ -221,46 +233,85 @@ def part_large_cells(cells: DataFrame, eps: float) -> DataFrame:
     return cells
 
 
+def _linked_pairs(x, narrow, left: slice, right: slice, cosine: float):
+    """(row, row) of every link between two tiles of unit rows. ``narrow``, the same in single
+    precision, rules out what is clearly below; the rest is settled in double precision."""
+    import numpy as np
+
+    slack = 2e-7 * (x.shape[1] + 8)  # above any rounding of a single precision product
+    i, j = np.nonzero(narrow[left] @ narrow[right].T >= cosine - slack)
+    i, j = i + left.start, j + right.start
+    if not len(i):
+        return i, j
+    hit = np.empty(len(i), dtype=bool)
+    for at in range(0, len(i), 1 << 16):
+        part = slice(at, at + (1 << 16))
+        got = np.einsum("ij,ij->i", x[i[part]], x[j[part]])
+        hit[part] = got >= cosine
+        for k in np.flatnonzero(np.abs(got - cosine) < 1e-12).tolist():  # doubtful last bits
+            hit[at + k] = math.fsum(x[i[at + k]] * x[j[at + k]]) >= cosine
+    return i[hit], j[hit]
+
+
+def _connect(root, i, j) -> list:
+    """Edges, among the links (i, j), that connect what ``root`` doesn't hold together yet; ``root``
+    (each row's group) is brought up to date."""
+    import numpy as np
+
+    far = root[i] != root[j]
+    i, j = i[far], j[far]
+    edges = []
+    starts = np.flatnonzero(np.concatenate((np.ones(min(1, len(i)), bool), np.diff(i) != 0)))
+    for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(i)]):
+        of, first = np.unique(root[j[s:e]], return_index=True)
+        new = of != root[i[s]]
+        if new.any():
+            edges.extend((int(i[s]), k) for k in j[s:e][first[new]].tolist())
+            root[np.isin(root, of[new])] = root[i[s]]
+    return edges
+
+
 def _join_cells(cosine: float):
     def join(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        def linked(x, y):
-            """Which rows of y link with each row of x; doubtful last bits are settled exactly."""
-            got = x @ y.T
-            hit = got >= cosine
-            for i, j in zip(*np.nonzero(np.abs(got - cosine) < 1e-12)):
-                hit[i, j] = math.fsum(x[i] * y[j]) >= cosine
-            return hit
-
         for table, starts in whole_groups(batches, ["label", "cell", "lo", "hi"], rows=2_000):
             ends = np.append(starts[1:], len(table))
             for s, e in zip(starts.tolist(), ends.tolist()):
                 part = table.slice(s, e - s)
+                lo, hi = part["lo"][0].as_py(), part["hi"][0].as_py()
+                home = part["home"].combine_chunks().to_numpy(zero_copy_only=False)
+                first = part["chunk"].combine_chunks().to_numpy() == lo
+                # first chunk before second, in each the rows at home before the replicas
+                part = part.take(pa.array(np.lexsort((~home, ~first))))
+                home = part["home"].combine_chunks().to_numpy(zero_copy_only=False)
                 x = unit_rows(part["vector"].combine_chunks())
+                narrow = x.astype(np.float32)
                 node = part["node"].combine_chunks()
-                copies = part["copies"].combine_chunks().to_numpy()
-                home = part["home"].combine_chunks().to_numpy(zero_copy_only=False)
-                chunk = part["chunk"].combine_chunks().to_numpy()
-                lo, hi = part["lo"][0].as_py(), part["hi"][0].as_py()
+                copies = part["copies"].combine_chunks().to_numpy().astype(np.int64)
+                cut = int(first.sum())
                 links = np.zeros(len(x), dtype=np.int64)
-                seen = np.zeros(len(x), dtype=bool)
-                for i in range(0, len(x), TILE):
-                    for j in range(0, len(x), TILE):
-                        hit = linked(x[i:i + TILE], x[j:j + TILE])
-                        if lo != hi:  # inside a chunk, the chunk's own block compares
-                            hit &= chunk[i:i + TILE, None] != chunk[None, j:j + TILE]
+                root, pairs = np.arange(len(x)), []
+                for i in range(0, cut, TILE):
+                    left = slice(i, min(i + TILE, cut))
+                    # inside a chunk, each pair once; two chunks meet across only
+                    for j in range(i if lo == hi else cut, len(x), TILE):
+                        right = slice(j, min(j + TILE, len(x)))
+                        if not home[left.start] and not home[right.start]:
+                            continue  # two replicas meet where one of them is at home
+                        a, b = _linked_pairs(x, narrow, left, right, cosine)
                         if i == j:
-                            np.fill_diagonal(hit, False)
-                        links[i:i + TILE] += hit @ copies[j:j + TILE]
-                        seen[i:i + TILE] |= hit.any(axis=1)
-                at = np.flatnonzero(seen)
-                own = x[at]
-                pairs = spanning_edges(len(at), lambda i, rest: linked(own[i:i + 1], own[rest])[0])
-                a = pa.array([int(at[i]) for i, _ in pairs], pa.int64())
-                b = pa.array([int(at[j]) for _, j in pairs], pa.int64())
-                if len(pairs):
+                            once = a < b
+                            a, b = a[once], b[once]
+                        one = home[a] | home[b]
+                        a, b = a[one], b[one]
+                        if len(a):
+                            np.add.at(links, a, copies[b])
+                            np.add.at(links, b, copies[a])
+                            pairs += _connect(root, a, b)
+                if pairs:
+                    a, b = pa.array([i for i, _ in pairs], pa.int64()), pa.array([j for _, j in pairs], pa.int64())
                     yield pa.record_batch([node.take(a), node.take(b), pa.array([0] * len(pairs), pa.int64())],
                                           ["a", "b", "n"])
                 count = np.flatnonzero(home & (links > 0))
@@ -280,8 +331,9 @@ def embedding_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
       they link with each other. Rows that share an id are vectors of their own: each has
       its own links, and a component's id is the smallest of its rows' ids.
     * vectors of different length link with nothing. Empty table: no rows.
-    * labels without pivots in the sample are one cell, and cells are parted again until
-      they are small; one that can't be parted is compared in blocks of bounded size.
+    * labels without pivots in the sample, or whose vectors would nearly all have to go to most of
+      their cells, are one cell, and cells are parted again until they are small; one that
+      can't be parted is compared in blocks of bounded size, each pair once.
     * names of other columns can't clash; they aren't read.
     """
     spark = vectors.sparkSession
@@ -316,6 +368,12 @@ def embedding_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     radius = {(r["label"], r["cell"]): r["r"] for r in shape.mapInArrow(
         _radii(pivots_of), f"label {label_kind}, cell int, r double")
         .groupBy("label", "cell").agg(F.max("r").alias("r")).collect()} if pivots_of else {}
+    if pivots_of:
+        # cells that most of a label's vectors have to be replicated to would compare its pairs many times over
+        pays = shape.mapInArrow(_cells(pivots_of, radius, eps, True), f"label {label_kind}, n long, vectors long")
+        pays = pays.groupBy("label").agg(F.sum("n").alias("n"), F.sum("vectors").alias("vectors")).collect()  # a row a label
+        kept = {r["label"] for r in pays if r["n"] <= worth(len(pivots_of[r["label"]])) * r["vectors"]}
+        pivots_of = {label: p for label, p in pivots_of.items() if label in kept}
     cells = shape.mapInArrow(_cells(pivots_of, radius, eps), f"label {label_kind}, cell string, home boolean, "
                              f"node long, copies long, vector {vector_kind}")
     cells = part_large_cells(store(cells, "cells"), eps)
